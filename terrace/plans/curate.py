@@ -124,5 +124,6 @@ def sales(listings: DataFrame, income: DataFrame, moves: DataFrame) -> DataFrame
     wide = (listings.withColumn("year", year_of("queryDate"))
                     .join(latest, PLACE)
                     .join(sums, PLACE_YEAR)
-                    .withColumn("queryDate", query_date("queryDate")))
+                    .withColumn("queryDate", query_date("queryDate"))
+                    .drop("year"))
     return conform(wide, schemas.SALES)

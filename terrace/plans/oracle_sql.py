@@ -139,3 +139,221 @@ JOIN in_sum b ON b.d = l.district_id AND b.n = l.neighborhood_id
 
 ORACLE: dict[str, str] = {}
 ORACLE.update(GOLD)
+
+
+def _listing_select(filled: dict[str, str]) -> str:
+    cols = []
+    for f in schemas.LISTING.fields:
+        if f.name in filled:
+            cols.append(f"{filled[f.name]} AS {f.name}")
+        else:
+            cols.append(f"CAST(NULL AS {sql_type(f.dataType)}) AS {f.name}")
+    return ",\n  ".join(cols)
+
+
+PLACES = """places AS (
+  SELECT n.n_nationkey, n.n_name, n.n_regionkey, r.r_regionkey, r.r_name
+  FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey)"""
+
+RAW_MOVES = """raw_moves AS (
+  SELECT CAST(s.s_nationkey AS BIGINT) AS origin, CAST(c.c_nationkey AS BIGINT) AS destination,
+         CAST(year(l.l_shipdate) AS BIGINT) AS year,
+         CASE WHEN l.l_returnflag = 'R' THEN NULL ELSE CAST(l.l_quantity AS BIGINT) END AS moved
+  FROM lineitem l JOIN supplier s ON s.s_suppkey = l.l_suppkey
+  JOIN orders o ON o.o_orderkey = l.l_orderkey
+  JOIN customer c ON c.c_custkey = o.o_custkey)"""
+
+RAW_INCOME_FLAT = """raw_income AS (
+  SELECT p.n_name AS neighborhood_name, p.r_name AS district_name,
+         CAST(year(o.o_orderdate) AS BIGINT) AS year, count(*) AS pop, max(o.o_totalprice) AS RFD
+  FROM orders o JOIN customer c ON c.c_custkey = o.o_custkey
+  JOIN places p ON p.n_nationkey = c.c_nationkey
+  GROUP BY p.n_name, p.r_name, CAST(year(o.o_orderdate) AS BIGINT))"""
+
+PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
+
+
+def _priority_col(label: str) -> str:
+    import re
+    return "priority_" + re.sub(r"[^0-9A-Za-z]+", "_", label).strip("_")
+
+
+MORE = {
+    "scan_parquet_project": """
+SELECT o_orderkey AS order_id, o_custkey AS customer_id, o_totalprice AS price,
+       o_orderpriority AS priority FROM orders""",
+
+    "scan_csv_header": """
+SELECT CAST(n_nationkey AS BIGINT) AS n_nationkey, n_name, CAST(n_regionkey AS BIGINT) AS n_regionkey
+FROM nation""",
+
+    "scan_json_nested": """
+SELECT CAST(r.r_regionkey AS BIGINT) AS region_key, r.r_name AS region,
+       CAST(n.n_nationkey AS BIGINT) AS nation_key, n.n_name AS nation
+FROM region r JOIN nation n ON n.n_regionkey = r.r_regionkey""",
+
+    "scan_file_provenance": """
+SELECT strftime(o_orderdate, '%Y') || '_01_01' AS queryDate, count(*) AS orders
+FROM orders GROUP BY 1""",
+
+    "flatten_structs": """
+SELECT l_orderkey, l_linenumber, l_quantity,
+       coalesce(CASE WHEN l_linestatus = 'F' THEN 'final' END, l_returnflag) AS flag,
+       l_extendedprice
+FROM lineitem""",
+
+    "align_schema": """
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority
+FROM orders WHERE o_orderstatus = 'F'
+UNION ALL
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate,
+       CAST(NULL AS VARCHAR) AS o_orderpriority
+FROM orders WHERE o_orderstatus IS DISTINCT FROM 'F'""",
+
+    "rename_override_drop": """
+SELECT c_custkey, upper(c_name) AS customer_name, CAST(c_nationkey AS BIGINT) AS c_nationkey,
+       c_acctbal, c_acctbal < 0 AS in_debt
+FROM customer""",
+
+    "union_all_files": "SELECT o_orderkey, o_custkey, o_totalprice FROM orders",
+
+    "ledger_skip_processed": """
+SELECT o_orderkey, CAST(year(o_orderdate) AS BIGINT) AS year FROM orders
+WHERE year(o_orderdate) NOT IN (
+  SELECT y FROM (SELECT DISTINCT year(o_orderdate) AS y FROM orders) t ORDER BY y LIMIT 2)""",
+
+    "overwrite_or_append": """
+SELECT 'run1' AS state, count(*) AS rows FROM nation WHERE n_regionkey < 2
+UNION ALL SELECT 'run2', count(*) FROM nation
+UNION ALL SELECT 'reset_run', count(*) FROM nation""",
+
+    "newer_than_gate": """
+SELECT true AS run_first, false AS run_after_record, true AS run_after_rewrite,
+       false AS fresh_first, true AS fresh_after_record, false AS fresh_after_rewrite,
+       count(*) AS rows
+FROM region""",
+
+    "publish_replace": "SELECT * FROM region",
+
+    "publish_status_retry": """
+SELECT 'region' AS "table", CAST(1 AS BIGINT) AS attempts, 'SUCCESS' AS status,
+       (SELECT count(*) FROM region) AS rows
+UNION ALL SELECT 'nation', 2, 'FAILED_UPDATE', NULL
+UNION ALL SELECT 'customer', 2, 'SUCCESS', (SELECT count(*) FROM customer)""",
+
+    "lookup_explode_join": with_(PLACES) + """
+SELECT CAST(r_regionkey AS VARCHAR) AS district_id, r_name AS district_raw,
+       lower(r_name) AS district, CAST(n_nationkey AS VARCHAR) AS neighborhood_id,
+       n_name AS neighborhood_raw, replace(n_name, '_', ' ') AS neighborhood
+FROM places""",
+
+    "lookup_code_bridge": with_(PLACES) + """
+SELECT CAST(n_nationkey AS BIGINT) AS code, replace(n_name, '_', ' ') AS neighborhood_name,
+       CAST(n_nationkey AS VARCHAR) AS neighborhood_id, lower(r_name) AS district_name,
+       CAST(r_regionkey AS VARCHAR) AS district_id
+FROM places""",
+
+    "reconcile_listings": with_(PLACES) + f"""
+SELECT
+  {_listing_select({
+      "propertyCode": "CAST(o.o_orderkey AS VARCHAR)", "price": "o.o_totalprice",
+      "status": "CASE WHEN o.o_orderstatus = 'O' THEN 'open' ELSE o.o_orderstatus END",
+      "typology": "o.o_orderpriority", "district": "lower(p.r_name)",
+      "district_id": "CAST(p.r_regionkey AS VARCHAR)",
+      "neighborhood": "replace(p.n_name, '_', ' ')",
+      "neighborhood_id": "CAST(p.n_nationkey AS VARCHAR)",
+      "queryDate": "strftime(o.o_orderdate, '%Y') || '_01_01'"})}
+FROM orders o JOIN customer c ON c.c_custkey = o.o_custkey
+JOIN places p ON p.n_nationkey = c.c_nationkey""",
+
+    "reconcile_both_ends": with_(GEO, MOVES) + "SELECT * FROM moves",
+
+    "reconcile_income": with_(*ALL_VIEWS) + "SELECT * FROM income",
+
+    "sentinel_to_null": with_(RAW_MOVES) + "SELECT * FROM raw_moves",
+
+    "explode_info": with_(PLACES, RAW_INCOME_FLAT) + "SELECT * FROM raw_income",
+
+    "dedup_keep_first": """
+SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount,
+       l_tax, l_returnflag, l_linestatus, l_shipdate
+FROM (SELECT *, row_number() OVER (
+        PARTITION BY l_orderkey, l_linenumber
+        ORDER BY l_partkey NULLS FIRST, l_suppkey NULLS FIRST, l_quantity NULLS FIRST,
+                 l_extendedprice NULLS FIRST, l_discount NULLS FIRST, l_tax NULLS FIRST,
+                 l_returnflag NULLS FIRST, l_linestatus NULLS FIRST, l_shipdate NULLS FIRST) AS rn
+      FROM lineitem) t
+WHERE rn = 1""",
+
+    "agg_null_preserving_sum": with_(GEO, MOVES) + f"""
+SELECT neighborhood_id, dest_neighborhood_id, year, {S('moved')} AS moved
+FROM moves GROUP BY neighborhood_id, dest_neighborhood_id, year""",
+
+    "agg_sum_with_names": with_(GEO, MOVES, IN_SUM) + """
+SELECT d AS district_id, n AS neighborhood_id, y AS year, m AS moved_in, district_name,
+       neighbourhood_name
+FROM in_sum""",
+
+    "agg_count_per_key": with_(*STANDIN) + """
+SELECT district_id, neighborhood_id, CAST(substr(queryDate, 1, 4) AS BIGINT) AS year,
+       count(*) AS advertisements
+FROM listings GROUP BY 1, 2, 3""",
+
+    "latest_per_key": with_(*ALL_VIEWS, LATEST) + """
+SELECT district_id, neighborhood_id, year, pop, RFD FROM latest""",
+
+    "date_string_parse": """
+SELECT o_orderkey, strftime(o_orderdate, '%Y_%m_%d') AS queryDate,
+       CAST(year(o_orderdate) AS BIGINT) AS year,
+       strptime(strftime(o_orderdate, '%Y_%m_%d'), '%Y_%m_%d') AS query_ts,
+       CAST(strptime(strftime(o_orderdate, '%Y_%m_%d'), '%Y_%m_%d') AS DATE) AS query_day
+FROM orders""",
+
+    "clean_features": """
+SELECT * FROM (
+  SELECT p_partkey,
+         TRY_CAST(CASE WHEN fl = 'bj' THEN '0' ELSE fl END AS DOUBLE) AS floor,
+         p_size AS size, p_brand AS brand, price
+  FROM (SELECT p_partkey, p_size, p_brand,
+               CASE WHEN p_size % 5 = 0 THEN 'bj' WHEN p_size % 7 = 0 THEN 'en'
+                    ELSE CAST(p_size AS VARCHAR) END AS fl,
+               CASE WHEN p_partkey % 10 = 0 THEN NULL ELSE p_retailprice END AS price
+        FROM part) a) b
+WHERE price IS NOT NULL AND p_partkey IS NOT NULL AND floor IS NOT NULL
+  AND size IS NOT NULL AND brand IS NOT NULL""",
+
+    "split_by_hash": """
+SELECT o_orderkey,
+       ('0x' || substr(md5(CAST(o_orderkey AS VARCHAR)), 1, 7))::BIGINT % 5 AS bucket,
+       CASE WHEN ('0x' || substr(md5(CAST(o_orderkey AS VARCHAR)), 1, 7))::BIGINT % 5 = 0
+            THEN 'test' ELSE 'train' END AS split
+FROM orders""",
+
+    "impute_median_mode": """
+WITH g AS (
+  SELECT o_orderkey,
+         CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE o_totalprice END AS price,
+         CASE WHEN o_orderkey % 11 = 0 THEN NULL ELSE o_orderpriority END AS priority
+  FROM orders),
+med AS (SELECT quantile_cont(price, 0.5) AS m FROM g),
+mo AS (SELECT priority AS p FROM g WHERE priority IS NOT NULL
+       GROUP BY priority ORDER BY count(*) DESC, priority ASC LIMIT 1)
+SELECT o_orderkey, coalesce(price, (SELECT m FROM med)) AS price,
+       coalesce(priority, (SELECT p FROM mo)) AS priority
+FROM g""",
+
+    "standardise_columns": """
+WITH s AS (SELECT avg(o_totalprice) AS m, stddev_pop(o_totalprice) AS sd FROM orders)
+SELECT o_orderkey, round((o_totalprice - (SELECT m FROM s)) / (SELECT sd FROM s), 6) AS price_z
+FROM orders""",
+
+    "one_hot_categories": "SELECT o_orderkey, " + ", ".join(
+        f"CASE WHEN o_orderpriority = '{p}' THEN 1.0 ELSE 0.0 END AS {_priority_col(p)}"
+        for p in PRIORITIES) + " FROM orders",
+
+    "regression_metrics": """
+SELECT round(avg(abs(e)), 6) AS mae, round(sqrt(avg(e * e)), 6) AS rmse, count(*) AS entries
+FROM (SELECT (o_totalprice * 0.95 + 500.0) - o_totalprice AS e FROM orders) t""",
+}
+
+ORACLE.update(MORE)
