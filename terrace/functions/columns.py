@@ -138,12 +138,11 @@ def lenient_number(c: Column | str, replace: dict[str, str] | None = None) -> Co
     return c.try_cast("double")
 
 
-def landing_item(suffix_regex: str) -> Column:
+def landing_item(suffix_regex: str, path_col: str = "_metadata.file_path") -> Column:
     """A7 helper: the name of the landing item (file or directory) a row came
     from, found in the row's source file path. ``suffix_regex`` matches the
     end of the item name (e.g. ``_idealista``)."""
-    return F.regexp_extract(F.col("_metadata.file_path"),
-                            rf"/([^/]*{suffix_regex})(?:/|$)", 1)
+    return F.regexp_extract(F.col(path_col), rf"/([^/]*{suffix_regex})(?:/|$)", 1)
 
 
 def stem_of(item: Column) -> Column:

@@ -314,6 +314,16 @@ def reconcile_listings(spark: SparkSession, sf: str) -> DataFrame:
     return standardise.read_formatted(spark, formatted, "idealista", schemas.LISTING)
 
 
+def stream_listings(spark: SparkSession, sf: str) -> DataFrame:
+    """P1 through Structured Streaming (file source, availableNow trigger,
+    checkpoint as the ledger); a second run finds nothing new."""
+    land = _landing(spark, sf, "lookups", "listings")
+    formatted = scratch_path(spark, "formatted")
+    standardise.stream_listings(spark, land, formatted)
+    standardise.stream_listings(spark, land, formatted)
+    return standardise.read_formatted(spark, formatted, "idealista", schemas.LISTING)
+
+
 def reconcile_both_ends(spark: SparkSession, sf: str) -> DataFrame:
     """P2 end to end: CSV movements, origin and destination reconciled."""
     land = _landing(spark, sf, "lookups", "moves")
@@ -525,6 +535,7 @@ QUERIES: dict[str, Query] = {
     "lookup_explode_join": lookup_explode_join,
     "lookup_code_bridge": lookup_code_bridge,
     "reconcile_listings": reconcile_listings,
+    "stream_listings": stream_listings,
     "reconcile_both_ends": reconcile_both_ends,
     "reconcile_income": reconcile_income,
     "sentinel_to_null": sentinel_to_null_q,

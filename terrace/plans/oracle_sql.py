@@ -357,3 +357,6 @@ FROM (SELECT (o_totalprice * 0.95 + 500.0) - o_totalprice AS e FROM orders) t"""
 }
 
 ORACLE.update(MORE)
+
+# The streamed P1 run must give exactly the batch P1 result.
+ORACLE["stream_listings"] = ORACLE["reconcile_listings"]

@@ -61,7 +61,10 @@ def moves_lookup(spark: SparkSession, lookups: str) -> DataFrame:
 
 def standardise_listings(raw: DataFrame, lookup: DataFrame) -> DataFrame:
     """B1 flatten, A7 per-row file date, D2 reconciliation, B4 override, B6."""
-    tagged = raw.select("*", landing_item(LISTING_SUFFIX).alias("_item"))
+    if "_file" in raw.columns:      # streamed micro-batch: path already attached
+        tagged = raw.select("*", landing_item(LISTING_SUFFIX, "_file").alias("_item")).drop("_file")
+    else:
+        tagged = raw.select("*", landing_item(LISTING_SUFFIX).alias("_item"))
     flat = flatten_structs(tagged)
     flat = flat.withColumn("queryDate", item_prefix("_item", 10)).drop("_item")
     lk = checked_broadcast(lookup, name="listing lookup")
@@ -190,6 +193,17 @@ def commit_income(spark: SparkSession, land: Landing, formatted: str) -> list[st
     return [version]
 
 
+def stream_listings(spark: SparkSession, land: Landing, formatted: str) -> None:
+    """P1 as a Structured Streaming run: the stream checkpoint replaces the
+    ledger; every new ``*_idealista`` file is standardised exactly once."""
+    from ..streaming.file_feed import ingest_available
+    lookup = listing_lookup(spark, land.lookups)
+    glob = f"{land.listings}/*{LISTING_SUFFIX}"
+    schema = spark.read.option("mergeSchema", "true").parquet(glob).schema
+    ingest_available(spark, glob, schema, lambda b: standardise_listings(b, lookup),
+                     f"{formatted}/idealista/out", f"{formatted}/idealista/_stream_checkpoint")
+
+
 def read_formatted(spark: SparkSession, formatted: str, source: str, schema) -> DataFrame:
     """A formatted table; the ``batch`` partition column is bookkeeping."""
     df = spark.read.parquet(f"{formatted}/{source}/out")
