@@ -44,13 +44,9 @@ def write_orders_by_year(spark: SparkSession, sf: str, root: str) -> list[str]:
     """Orders as dated landing items ``<yyyy>_01_01_orders`` (one per order
     year), the shape of the dated listing deliveries."""
     orders = _t(spark, sf, "orders").withColumn("_y", F.year("o_orderdate"))
-    years = [r[0] for r in orders.select("_y").distinct().orderBy("_y").collect()]
-    items = []
-    for y in years:
-        item = f"{y:04d}_01_01{ORDER_ITEM_SUFFIX}"
-        orders.where(F.col("_y") == y).drop("_y").write.mode("overwrite").parquet(f"{root}/{item}")
-        items.append(item)
-    return items
+    return landing.write_items(spark, orders, "_y", root,
+                               lambda y: f"{y:04d}_01_01{ORDER_ITEM_SUFFIX}",
+                               lambda df, path: df.write.mode("overwrite").parquet(path))
 
 
 # --- sources ------------------------------------------------------------------

@@ -14,11 +14,13 @@ star schema (same roles as ``standins``):
                                record per neighbourhood with an ``info`` array
 
 Items are written one per year: a landing item is a unit of arrival, and the
-year list is a handful of values.
+year list is a handful of values. The raw rows are computed once and staged
+partitioned by year; each item is a pruned read of the stage.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -146,30 +148,44 @@ def raw_income(spark: SparkSession, sf: str) -> DataFrame:
                           F.col("r_name").alias("district_name"), "info"))
 
 
-def _years(df: DataFrame) -> list[int]:
-    return [r[0] for r in df.select("_year").distinct().orderBy("_year").collect()]
-
-
-def write_listings(spark: SparkSession, sf: str, land: Landing, years: list[int] | None = None):
-    raw = raw_listings(spark, sf)
+def write_items(spark: SparkSession, df: DataFrame, key: str, root: str,
+                name_of: Callable[[object], str],
+                write: Callable[[DataFrame, str], None],
+                keys: list | None = None) -> list[str]:
+    """One landing item per distinct value of ``key`` (a handful of years).
+
+    The source plan (a join over the fact tables) runs once: its rows are
+    written partitioned by ``key`` to a staging folder under the shared
+    root, and each item is then a partition-pruned read of that folder, so
+    the per-item loop never recomputes or rescans the whole input.
+    """
+    if keys is not None:
+        df = df.where(F.col(key).isin(list(keys)))
+    stage = scratch_path(spark, "stage")
+    df.write.partitionBy(key).parquet(stage)
+    staged = spark.read.parquet(stage)
+    found = sorted(r[0] for r in staged.select(key).distinct().collect())
     written = []
-    for y in years if years is not None else _years(raw):
-        item = f"{y:04d}_01_01{LISTING_SUFFIX}"
-        raw.where(F.col("_year") == y).drop("_year").write.mode("overwrite").parquet(
-            f"{land.listings}/{item}")
+    for k in found:
+        item = name_of(k)
+        write(staged.where(F.col(key) == k).drop(key), f"{root}/{item}")
         written.append(item)
     return written
 
 
-def write_moves(spark: SparkSession, sf: str, land: Landing, years: list[int] | None = None):
-    raw = raw_moves(spark, sf)
-    written = []
-    for y in years if years is not None else _years(raw):
-        item = f"{y:04d}{MOVES_SUFFIX}"
-        (raw.where(F.col("_year") == y).drop("_year")
-            .write.mode("overwrite").option("header", "true").csv(f"{land.moves}/{item}"))
-        written.append(item)
-    return written
+def write_listings(spark: SparkSession, sf: str, land: Landing,
+                   years: list[int] | None = None) -> list[str]:
+    return write_items(spark, raw_listings(spark, sf), "_year", land.listings,
+                       lambda y: f"{y:04d}_01_01{LISTING_SUFFIX}",
+                       lambda df, path: df.write.mode("overwrite").parquet(path), years)
+
+
+def write_moves(spark: SparkSession, sf: str, land: Landing,
+                years: list[int] | None = None) -> list[str]:
+    return write_items(spark, raw_moves(spark, sf), "_year", land.moves,
+                       lambda y: f"{y:04d}{MOVES_SUFFIX}",
+                       lambda df, path: (df.write.mode("overwrite").option("header", "true")
+                                           .csv(path)), years)
 
 
 def write_income(spark: SparkSession, sf: str, land: Landing) -> None:
