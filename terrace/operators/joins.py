@@ -25,13 +25,31 @@ MAX_BROADCAST_ROWS = 2_000_000
 MAX_BROADCAST_BYTES = 256 * 1024 * 1024
 
 
-_WIDTH = {"string": 20, "binary": 20, "array": 64, "map": 64, "struct": 32,
-          "boolean": 1, "byte": 1, "short": 2, "integer": 4, "float": 4, "date": 4}
+# Fixed-width types count their width per row; variable-width values are
+# measured (strings and binary by their byte length, nested values by the
+# length of their JSON text).
+_WIDTH = {"boolean": 1, "byte": 1, "short": 2, "integer": 4, "float": 4, "date": 4}
+_VARIABLE = ("string", "binary")
+_NESTED = ("array", "map", "struct")
 
 
-def _row_width(df: DataFrame) -> int:
-    """Rough bytes per row from the schema (8 for other fixed-width types)."""
-    return max(8, sum(_WIDTH.get(f.dataType.typeName(), 8) for f in df.schema.fields))
+def _bytes_expr(field) -> "F.Column":
+    name = field.dataType.typeName()
+    c = F.col(f"`{field.name}`")
+    if name in _VARIABLE:
+        return F.coalesce(F.sum(F.octet_length(c)), F.lit(0))
+    if name in _NESTED:
+        return F.coalesce(F.sum(F.octet_length(F.to_json(c))), F.lit(0))
+    return F.count(F.lit(1)) * F.lit(_WIDTH.get(name, 8))
+
+
+def measure(df: DataFrame) -> tuple[int, int]:
+    """(rows, bytes) of ``df`` from one aggregate over it: a partial
+    aggregation, so only one small row per task is shuffled."""
+    exprs = [F.count(F.lit(1)).alias("rows")]
+    exprs += [_bytes_expr(f).cast("long").alias(f"_b{i}") for i, f in enumerate(df.schema.fields)]
+    r = df.agg(*exprs).first()
+    return r["rows"], sum(r[f"_b{i}"] or 0 for i in range(len(df.schema.fields)))
 
 
 def checked_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS,
@@ -40,18 +58,17 @@ def checked_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS,
     """Broadcast ``df`` if, and only if, its measured size is within bounds.
 
     The side is persisted (memory and disk, recomputable from lineage if an
-    executor is lost) and counted; the count job materialises it, so the main
-    job reads it from cache instead of recomputing it. Over the bound, the
-    un-hinted DataFrame is returned and the planner chooses a shuffle join.
+    executor is lost) and measured; the measuring job materialises it, so the
+    main job reads it from cache instead of recomputing it. Over the bound,
+    the un-hinted DataFrame is returned and the planner chooses a shuffle join.
     """
     if persist:
         df = df.persist(StorageLevel.MEMORY_AND_DISK)
-    n = df.count()
-    est = n * _row_width(df)
-    if n <= max_rows and est <= max_bytes:
-        log.info("broadcasting %s: %d rows, ~%d bytes", name, n, est)
+    n, size = measure(df)
+    if n <= max_rows and size <= max_bytes:
+        log.info("broadcasting %s: %d rows, %d bytes", name, n, size)
         return F.broadcast(df)
-    log.warning("not broadcasting %s: %d rows, ~%d bytes over bound", name, n, est)
+    log.warning("not broadcasting %s: %d rows, %d bytes over bound", name, n, size)
     return df
 
 

@@ -399,12 +399,14 @@ def date_string_parse(spark: SparkSession, sf: str) -> DataFrame:
 # --- curated tables (P4-P7) --------------------------------------------------------
 
 def gold_neighbourhood(spark: SparkSession, sf: str) -> DataFrame:
-    lst = standins.listings(spark, sf)
-    return curate.neighbourhood(standins.income(spark, sf, lst), standins.moves(spark, sf))
+    geo = standins.geography(spark, sf)
+    lst = standins.listings(spark, sf, geo)
+    return curate.neighbourhood(standins.income(spark, sf, lst), standins.moves(spark, sf, geo))
 
 
 def gold_real_estate(spark: SparkSession, sf: str) -> DataFrame:
-    return curate.real_estate(standins.moves(spark, sf), standins.listings(spark, sf))
+    geo = standins.geography(spark, sf)
+    return curate.real_estate(standins.moves(spark, sf, geo), standins.listings(spark, sf, geo))
 
 
 def gold_sale_prices(spark: SparkSession, sf: str) -> DataFrame:
@@ -412,9 +414,14 @@ def gold_sale_prices(spark: SparkSession, sf: str) -> DataFrame:
     return curate.sale_prices(lst, standins.income(spark, sf, lst))
 
 
+def _sales(spark: SparkSession, sf: str) -> DataFrame:
+    geo = standins.geography(spark, sf)
+    lst = standins.listings(spark, sf, geo)
+    return curate.sales(lst, standins.income(spark, sf, lst), standins.moves(spark, sf, geo))
+
+
 def gold_sales(spark: SparkSession, sf: str) -> DataFrame:
-    lst = standins.listings(spark, sf)
-    return curate.sales(lst, standins.income(spark, sf, lst), standins.moves(spark, sf))
+    return _sales(spark, sf)
 
 
 # --- model steps (P8) ----------------------------------------------------------------
@@ -504,8 +511,7 @@ def regression_metrics(spark: SparkSession, sf: str) -> DataFrame:
 
 def train_price_model(spark: SparkSession, sf: str) -> DataFrame:
     """L6-L8 + A19 + G2: the forest on the wide table (few shallow trees)."""
-    lst = standins.listings(spark, sf)
-    sales = curate.sales(lst, standins.income(spark, sf, lst), standins.moves(spark, sf))
+    sales = _sales(spark, sf)
     root = scratch_path(spark, "model")
     return price_model.train(spark, sales, "propertyCode",
                              numeric=["population", "RFD", "move_in", "move_out"],

@@ -50,13 +50,14 @@ def geography(spark: SparkSession, sf_dir: str) -> DataFrame:
     return checked_broadcast(geo, name="geography")
 
 
-def listings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Formatted listings (declared 44-field record)."""
+def listings(spark: SparkSession, sf_dir: str, geo: DataFrame | None = None) -> DataFrame:
+    """Formatted listings (declared 44-field record). ``geo`` lets several
+    stand-ins of one query share one measured geography side."""
     orders = table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_totalprice", "o_orderdate", "o_orderstatus",
         "o_orderpriority")
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    geo = geography(spark, sf_dir)
+    geo = geo if geo is not None else geography(spark, sf_dir)
     df = (orders.join(customer, orders.o_custkey == customer.c_custkey)
                 .join(geo, F.col("c_nationkey") == geo.n_nationkey)
                 .select(F.col("o_orderkey").cast("string").alias("propertyCode"),
@@ -68,7 +69,7 @@ def listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conform(df, schemas.LISTING)
 
 
-def moves(spark: SparkSession, sf_dir: str) -> DataFrame:
+def moves(spark: SparkSession, sf_dir: str, geo: DataFrame | None = None) -> DataFrame:
     """Formatted movements. The order -> customer nation mapping is joined
     first as a narrow two-column table, so the large line-item shuffle carries
     only the columns it needs."""
@@ -79,7 +80,7 @@ def moves(spark: SparkSession, sf_dir: str) -> DataFrame:
                     .join(table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey"),
                           F.col("o_custkey") == F.col("c_custkey"))
                     .select("o_orderkey", "c_nationkey"))
-    geo = geography(spark, sf_dir)
+    geo = geo if geo is not None else geography(spark, sf_dir)
     src = geo.select(F.col("n_nationkey").alias("_src"),
                      F.col("neighborhood").alias("neighborhood_name"), "neighborhood_id",
                      F.col("district").alias("district_name"), "district_id")

@@ -151,3 +151,22 @@ def test_mode_ties_go_to_smallest(spark):
     df = spark.createDataFrame([("b",), ("a",), ("b",), ("a",), ("c",), (None,), (None,),
                                 (None,)], "v string")
     assert mode_value(df, "v") == "a"
+
+
+def test_broadcast_only_within_measured_size(spark):
+    from terrace.operators.joins import checked_broadcast, measure
+    side = spark.range(100).select(F.col("id").alias("k"), F.repeat(F.lit("x"), 1000).alias("s"))
+    assert measure(side) == (100, 100 * 8 + 100 * 1000)
+    big = spark.range(10_000).select(F.col("id").alias("k"))
+    prev = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        within = big.join(checked_broadcast(side, max_bytes=200_000, persist=False), "k")
+        over = big.join(checked_broadcast(side, max_bytes=50_000, persist=False), "k")
+        assert "BroadcastHashJoin" in within._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" not in over._jdf.queryExecution().executedPlan().toString()
+        assert within.count() == over.count() == 100
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
