@@ -49,7 +49,7 @@ def test_output_schemas_are_declared(spark, name, schema):
         [(f.name, f.dataType) for f in schema.fields]
 
 
-def test_sales_keeps_reference_naming_of_moves(spark):
+def test_sales_keeps_source_naming_of_moves(spark):
     """move_in is the ORIGIN sum and move_out the DESTINATION sum."""
     from pyspark.sql import functions as F
     lst = standins.listings(spark, SF_SMALL)
