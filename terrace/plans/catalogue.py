@@ -23,7 +23,7 @@ from ..operators.aggregates import keep_first, null_preserving_sum, sum_per_key
 from ..operators.quantiles import exact_median, fill, mode_value
 from ..session import scratch_path
 from ..sources import files, ledger
-from ..sources.sinks import publish, write_refresh
+from ..sources.sinks import new_version, publish, write_refresh
 from . import curate, landing, price_model, standardise, standins
 from .extract import publish_tracked
 
@@ -239,15 +239,19 @@ def newer_than_gate(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def publish_replace(spark: SparkSession, sf: str) -> DataFrame:
-    """A10 + A17: a table published twice holds the second content once."""
+    """A10 + A17: a table published twice holds the second content once;
+    the first version's folder is left as it was."""
     root = scratch_path(spark, "pub")
     region = _t(spark, sf, "region")
-    out = f"{root}/out"
     name = f"region_{root.rsplit('-', 1)[-1]}"
-    write_refresh(region.where(F.col("r_regionkey") < 2), out)
-    publish(spark, out, "descriptive", name, f"{root}/descriptive.db")
-    write_refresh(region, out)
-    return spark.table(publish(spark, out, "descriptive", name, f"{root}/descriptive.db"))
+    first, second = new_version(root), new_version(root)
+    write_refresh(region.where(F.col("r_regionkey") < 2), first)
+    publish(spark, first, "descriptive", name, f"{root}/descriptive.db")
+    write_refresh(region, second)
+    table = publish(spark, second, "descriptive", name, f"{root}/descriptive.db")
+    if spark.read.parquet(first).count() != region.where(F.col("r_regionkey") < 2).count():
+        raise AssertionError("publishing changed an earlier version")
+    return spark.table(table)
 
 
 def publish_status_retry(spark: SparkSession, sf: str) -> DataFrame:

@@ -3,9 +3,10 @@ status and retry (A18).
 
 A run recomputes a curated table only when the version vector of its inputs
 (latest modification time under each input folder) differs from the vector
-recorded by its last run. Publishing re-reads the written Parquet into a
-managed table; a failed publish is recorded with what it needs for a retry,
-and a later run retries it even when the data are fresh.
+recorded by its last run. Each refresh is written to a new version folder and
+publishing points the table at it (no copy). A failed publish is recorded
+with the folder it needs for a retry, and a later run retries it even when
+the data are fresh; meanwhile the table keeps reading the previous version.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..sources import files, ledger
-from ..sources.sinks import publish, write_refresh
+from ..sources.sinks import new_version, publish, write_refresh
 from . import curate
 from .standardise import read_formatted
 
@@ -59,7 +60,7 @@ def extract(spark: SparkSession, table: str, formatted: str, exploitation: str)
     current = version_vector(spark, {i: f"{formatted}/{i}/out" for i in inputs})
     if ledger.version_vector_fresh(spark, current, led).first()["fresh"]:
         return None
-    out = f"{exploitation}/{table}/out"
+    out = new_version(f"{exploitation}/{table}")
     write_refresh(plan(spark, formatted), out)
     ledger.record_versions(spark, current, led, table)
     return out

@@ -72,8 +72,8 @@ def test_extract_is_skipped_when_fresh_and_retries_failed_publish(spark):
         {"neighbourhood": "fresh"}
     # a failed publish is remembered and retried although the data are fresh
     log = f"{exploitation}/_publish_status"
-    ledger.record_status(spark, log, "neighbourhood", ledger.FAILED,
-                         f"{exploitation}/neighbourhood/out", "descriptive")
+    out = ledger.last_status(spark, log).where(F.col("pipe") == "neighbourhood").first().output
+    ledger.record_status(spark, log, "neighbourhood", ledger.FAILED, out, "descriptive")
     assert extract.run(spark, formatted, exploitation, ["neighbourhood"], loc) == \
         {"neighbourhood": "SUCCESS"}
     last = ledger.last_status(spark, log).where(F.col("pipe") == "neighbourhood").first()
