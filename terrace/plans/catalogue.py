@@ -59,38 +59,37 @@ def scan_parquet_project(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def scan_csv_header(spark: SparkSession, sf: str) -> DataFrame:
-    """A2 + S1: headered CSV, all text, strict integer parse."""
+    """A2 + S1: headered CSV, all text, strict number parse."""
     root = scratch_path(spark, "csv")
-    _t(spark, sf, "nation").write.option("header", "true").csv(root)
+    _t(spark, sf, "customer").select("c_custkey", "c_name", "c_nationkey", "c_acctbal") \
+        .write.option("header", "true").csv(root)
     raw = files.read_csv_text(spark, [root])
-    return raw.select(strict_long("n_nationkey").alias("n_nationkey"), "n_name",
-                      strict_long("n_regionkey").alias("n_regionkey"))
+    return raw.select(strict_long("c_custkey").alias("c_custkey"), "c_name",
+                      strict_long("c_nationkey").alias("c_nationkey"),
+                      F.col("c_acctbal").cast("double").alias("c_acctbal"))
 
 
-NESTED_REGION = T.StructType([
-    T.StructField("region_key", T.LongType()), T.StructField("region", T.StringType()),
-    T.StructField("nations", T.ArrayType(T.StructType([
-        T.StructField("key", T.LongType()), T.StructField("name", T.StringType())]))),
+NESTED_ORDER = T.StructType([
+    T.StructField("order_key", T.LongType()),
+    T.StructField("attributes", T.ArrayType(T.StructType([
+        T.StructField("kind", T.StringType()), T.StructField("value", T.StringType())]))),
 ])
 
 
 def scan_json_nested(spark: SparkSession, sf: str) -> DataFrame:
     """A3/A4 + S10: JSON lines with an array of structs, declared schema,
-    explode and struct field access."""
+    explode and struct field access. Each order is one record whose array
+    is built from its own columns (bounded, no grouping)."""
     root = scratch_path(spark, "json")
-    region, nation = _t(spark, sf, "region"), _t(spark, sf, "nation")
-    (region.join(nation, region.r_regionkey == nation.n_regionkey)
-           .groupBy("r_regionkey", "r_name")
-           .agg(F.sort_array(F.collect_list(F.struct(F.col("n_nationkey").alias("key"),
-                                                     F.col("n_name").alias("name"))))
-                .alias("nations"))
-           .select(F.col("r_regionkey").alias("region_key"), F.col("r_name").alias("region"),
-                   "nations")
-           .write.json(root))
-    df = files.read_json(spark, root, NESTED_REGION)
-    return (df.select("region_key", "region", F.explode("nations").alias("n"))
-              .select("region_key", "region", F.col("n.key").alias("nation_key"),
-                      F.col("n.name").alias("nation")))
+    attr = lambda kind, c: F.struct(F.lit(kind).alias("kind"), F.col(c).alias("value"))
+    (_t(spark, sf, "orders")
+        .select(F.col("o_orderkey").alias("order_key"),
+                F.array(attr("status", "o_orderstatus"),
+                        attr("priority", "o_orderpriority")).alias("attributes"))
+        .write.json(root))
+    df = files.read_json(spark, root, NESTED_ORDER)
+    return (df.select("order_key", F.explode("attributes").alias("a"))
+              .select("order_key", F.col("a.kind").alias("kind"), F.col("a.value").alias("value")))
 
 
 def scan_file_provenance(spark: SparkSession, sf: str) -> DataFrame:
@@ -195,18 +194,19 @@ def overwrite_or_append(spark: SparkSession, sf: str) -> DataFrame:
     run 3 (ledger empty again: overwrite with everything)."""
     root = scratch_path(spark, "ovw")
     land, led, out = f"{root}/landing", f"{root}/_ledger", f"{root}/out"
-    nation = _t(spark, sf, "nation")
+    orders = _t(spark, sf, "orders")
+    done = F.coalesce(F.col("o_orderstatus") == "F", F.lit(False))
     load = lambda paths: files.read_parquet(spark, paths)
-    pattern = r"part_[ab]_nation"
-    nation.where(F.col("n_regionkey") < 2).write.parquet(f"{land}/part_a_nation")
+    pattern = r"part_[ab]_orders"
+    orders.where(done).write.parquet(f"{land}/part_a_orders")
     counts = []
-    standardise.commit_items(spark, land, pattern, out, led, "nation", load)
+    standardise.commit_items(spark, land, pattern, out, led, "orders", load)
     counts.append(("run1", spark.read.parquet(out).count()))
-    nation.where(~(F.col("n_regionkey") < 2)).write.parquet(f"{land}/part_b_nation")
-    standardise.commit_items(spark, land, pattern, out, led, "nation", load)
+    orders.where(~done).write.parquet(f"{land}/part_b_orders")
+    standardise.commit_items(spark, land, pattern, out, led, "orders", load)
     counts.append(("run2", spark.read.parquet(out).count()))
-    ledger.reset(spark, led, "nation")
-    standardise.commit_items(spark, land, pattern, out, led, "nation", load)
+    ledger.reset(spark, led, "orders")
+    standardise.commit_items(spark, land, pattern, out, led, "orders", load)
     counts.append(("reset_run", spark.read.parquet(out).count()))
     return spark.createDataFrame(counts, "state string, rows long")
 
@@ -216,19 +216,19 @@ def newer_than_gate(spark: SparkSession, sf: str) -> DataFrame:
     vector equal to the last run's) over a folder Spark writes and rewrites."""
     root = scratch_path(spark, "gate")
     src, led15, led16 = f"{root}/src", f"{root}/_l15", f"{root}/_l16"
-    region = _t(spark, sf, "region")
-    region.write.parquet(src)
+    orders = _t(spark, sf, "orders")
+    orders.write.parquet(src)
     mt = files.max_mtime(spark, src)
     run_first = ledger.newer_than_all(spark, mt, led15).first()["run"]
-    ledger.append(spark, led15, "region", [str(mt.first()["mtime"])], kind=ledger.VERSION)
+    ledger.append(spark, led15, "orders", [str(mt.first()["mtime"])], kind=ledger.VERSION)
     run_after = ledger.newer_than_all(spark, files.max_mtime(spark, src), led15).first()["run"]
     vec = lambda: files.max_mtime(spark, src).select(
-        F.lit("region").alias("source"), F.col("mtime").cast("string").alias("version"))
+        F.lit("orders").alias("source"), F.col("mtime").cast("string").alias("version"))
     fresh_first = ledger.version_vector_fresh(spark, vec(), led16).first()["fresh"]
-    ledger.record_versions(spark, vec(), led16, "region")
+    ledger.record_versions(spark, vec(), led16, "orders")
     fresh_after = ledger.version_vector_fresh(spark, vec(), led16).first()["fresh"]
     rows = spark.read.parquet(src).count()
-    region.write.mode("overwrite").parquet(src)
+    orders.write.mode("overwrite").parquet(src)
     fresh_rewritten = ledger.version_vector_fresh(spark, vec(), led16).first()["fresh"]
     run_rewritten = ledger.newer_than_all(spark, files.max_mtime(spark, src), led15).first()["run"]
     return spark.createDataFrame(
@@ -242,14 +242,15 @@ def publish_replace(spark: SparkSession, sf: str) -> DataFrame:
     """A10 + A17: a table published twice holds the second content once;
     the first version's folder is left as it was."""
     root = scratch_path(spark, "pub")
-    region = _t(spark, sf, "region")
-    name = f"region_{root.rsplit('-', 1)[-1]}"
+    orders = _t(spark, sf, "orders")
+    done = orders.where(F.col("o_orderstatus") == "F")
+    name = f"orders_{root.rsplit('-', 1)[-1]}"
     first, second = new_version(root), new_version(root)
-    write_refresh(region.where(F.col("r_regionkey") < 2), first)
+    write_refresh(done, first)
     publish(spark, first, "descriptive", name, f"{root}/descriptive.db")
-    write_refresh(region, second)
+    write_refresh(orders, second)
     table = publish(spark, second, "descriptive", name, f"{root}/descriptive.db")
-    if spark.read.parquet(first).count() != region.where(F.col("r_regionkey") < 2).count():
+    if spark.read.parquet(first).count() != done.count():
         raise AssertionError("publishing changed an earlier version")
     return spark.table(table)
 
@@ -260,10 +261,10 @@ def publish_status_retry(spark: SparkSession, sf: str) -> DataFrame:
     root = scratch_path(spark, "status")
     log, db, loc = f"{root}/_status", "descriptive", f"{root}/descriptive.db"
     tag = root.rsplit("-", 1)[-1]
-    names = {t: f"{t}_{tag}" for t in ("region", "nation", "customer")}
-    write_refresh(_t(spark, sf, "region"), f"{root}/region")
-    publish_tracked(spark, names["region"], f"{root}/region", db, log, loc)
-    publish_tracked(spark, names["nation"], f"{root}/missing_nation", db, log, loc)
+    names = {t: f"{t}_{tag}" for t in ("orders", "supplier", "customer")}
+    write_refresh(_t(spark, sf, "orders"), f"{root}/orders")
+    publish_tracked(spark, names["orders"], f"{root}/orders", db, log, loc)
+    publish_tracked(spark, names["supplier"], f"{root}/missing_supplier", db, log, loc)
     publish_tracked(spark, names["customer"], f"{root}/customer", db, log, loc)
     write_refresh(_t(spark, sf, "customer"), f"{root}/customer")   # output appears later
     for r in ledger.retry_candidates(spark, log).collect():

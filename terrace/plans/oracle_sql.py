@@ -184,13 +184,14 @@ SELECT o_orderkey AS order_id, o_custkey AS customer_id, o_totalprice AS price,
        o_orderpriority AS priority FROM orders""",
 
     "scan_csv_header": """
-SELECT CAST(n_nationkey AS BIGINT) AS n_nationkey, n_name, CAST(n_regionkey AS BIGINT) AS n_regionkey
-FROM nation""",
+SELECT CAST(c_custkey AS BIGINT) AS c_custkey, c_name, CAST(c_nationkey AS BIGINT) AS c_nationkey,
+       CAST(c_acctbal AS DOUBLE) AS c_acctbal
+FROM customer""",
 
     "scan_json_nested": """
-SELECT CAST(r.r_regionkey AS BIGINT) AS region_key, r.r_name AS region,
-       CAST(n.n_nationkey AS BIGINT) AS nation_key, n.n_name AS nation
-FROM region r JOIN nation n ON n.n_regionkey = r.r_regionkey""",
+SELECT o_orderkey AS order_key, 'status' AS kind, o_orderstatus AS value FROM orders
+UNION ALL
+SELECT o_orderkey, 'priority', o_orderpriority FROM orders""",
 
     "scan_file_provenance": """
 SELECT strftime(o_orderdate, '%Y') || '_01_01' AS queryDate, count(*) AS orders
@@ -223,22 +224,22 @@ WHERE year(o_orderdate) NOT IN (
   SELECT y FROM (SELECT DISTINCT year(o_orderdate) AS y FROM orders) t ORDER BY y LIMIT 2)""",
 
     "overwrite_or_append": """
-SELECT 'run1' AS state, count(*) AS rows FROM nation WHERE n_regionkey < 2
-UNION ALL SELECT 'run2', count(*) FROM nation
-UNION ALL SELECT 'reset_run', count(*) FROM nation""",
+SELECT 'run1' AS state, count(*) AS rows FROM orders WHERE o_orderstatus = 'F'
+UNION ALL SELECT 'run2', count(*) FROM orders
+UNION ALL SELECT 'reset_run', count(*) FROM orders""",
 
     "newer_than_gate": """
 SELECT true AS run_first, false AS run_after_record, true AS run_after_rewrite,
        false AS fresh_first, true AS fresh_after_record, false AS fresh_after_rewrite,
        count(*) AS rows
-FROM region""",
+FROM orders""",
 
-    "publish_replace": "SELECT * FROM region",
+    "publish_replace": "SELECT * FROM orders",
 
     "publish_status_retry": """
-SELECT 'region' AS "table", CAST(1 AS BIGINT) AS attempts, 'SUCCESS' AS status,
-       (SELECT count(*) FROM region) AS rows
-UNION ALL SELECT 'nation', 2, 'FAILED_UPDATE', NULL
+SELECT 'orders' AS "table", CAST(1 AS BIGINT) AS attempts, 'SUCCESS' AS status,
+       (SELECT count(*) FROM orders) AS rows
+UNION ALL SELECT 'supplier', 2, 'FAILED_UPDATE', NULL
 UNION ALL SELECT 'customer', 2, 'SUCCESS', (SELECT count(*) FROM customer)""",
 
     "lookup_explode_join": with_(PLACES) + """
