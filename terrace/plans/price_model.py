@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import datetime as _dt
 
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import (Imputer, OneHotEncoder, StandardScaler, StringIndexer,
                                 VectorAssembler)
@@ -96,16 +97,22 @@ def train(spark: SparkSession, table: DataFrame, key: str, numeric: list[str],
           num_trees: int = 100, max_depth: int = 30) -> DataFrame:
     """Clean, split, fit, evaluate, store model + metrics row (A19);
     returns the model store preview (G2)."""
-    entries = table.where(F.col(target).isNotNull()).count()          # E6
-    data = (table.where(F.col(target).isNotNull())                    # C2
-                 .na.drop(subset=numeric + categorical)               # C3
-                 .select(key, *numeric, *categorical, target))        # B11
-    for c in categorical:
-        data = data.withColumn(c, F.col(c).cast("string"))
-    train_df, test_df = split(data, key)
-    model = build_pipeline(numeric, categorical, target, num_trees, max_depth).fit(train_df)
-    pred = model.transform(test_df)
-    m = regression_metrics(pred, target, "prediction").first()
+    labelled = table.where(F.col(target).isNotNull())                 # C2
+    entries = labelled.count()                                        # E6
+    data = (labelled.na.drop(subset=numeric + categorical)            # C3
+                    .select(key, *numeric, *[F.col(c).cast("string").alias(c)
+                                             for c in categorical], target))   # B11
+    # Every stage's fit and the forest's first pass scan the training rows:
+    # keep the narrow projection (memory and disk, rebuilt from lineage if an
+    # executor is lost) instead of recomputing the input plan each time.
+    data = data.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        train_df, test_df = split(data, key)
+        model = build_pipeline(numeric, categorical, target, num_trees, max_depth).fit(train_df)
+        pred = model.transform(test_df)
+        m = regression_metrics(pred, target, "prediction").first()
+    finally:
+        data.unpersist()
     model.write().overwrite().save(model_path)
     now = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
     (spark.createDataFrame([(model_path, now, m["mae"], m["rmse"], entries)],
