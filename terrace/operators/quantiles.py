@@ -2,16 +2,19 @@
 
 ``percentile``/``median`` aggregates keep every distinct value of the column
 in one final aggregation buffer, which does not survive 100 TB. The exact
-k-th smallest value is found instead by narrowing a value range:
+values at ranks k..k+w-1 are found instead by narrowing a value range:
 
-1. approximate quantiles (bounded-memory sketch, partial aggregation) bracket
-   the k-th value;
-2. one filtered count pass checks the bracket and re-bases k;
+1. approximate quantiles (bounded-memory sketch, partial aggregation) give a
+   bracket [a, b] around those ranks;
+2. one filtered count pass checks the bracket and re-bases the ranks; each
+   bound is applied only if it is verified, so a miss never loses a value;
 3. repeat on the bracket until it holds few rows (or a single distinct
-   value), then take the k-th of those with a bounded ``orderBy().offset()``.
+   value), then read the ranks with a bounded ``orderBy().offset()``.
 
-Each pass is a scan plus a tiny aggregate; only scalars reach the driver.
-A value shared by a third of all rows is handled by the single-value exit.
+Each round is two passes over the (shrinking) column plus tiny aggregates;
+the range filters reach the Parquet scan, so later rounds skip row groups.
+Only scalars reach the driver. A value shared by a third of all rows ends
+the search as soon as a bracket holds only that value.
 """
 
 from __future__ import annotations
@@ -24,47 +27,52 @@ ACCURACY = 20_000
 MAX_PASSES = 12
 
 
-def kth_smallest(df: DataFrame, col: str, k: int):
-    """Exact k-th smallest (1-based) non-null value of ``col``."""
-    c = F.col(col)
-    cur = df.select(c.alias("v")).where(F.col("v").isNotNull())
+def smallest_at(df: DataFrame, col: str, k: int, width: int = 1,
+                n: int | None = None) -> list:
+    """Exact non-null values of ``col`` at ranks ``k .. k+width-1`` (1-based,
+    ascending). ``n`` is the non-null count if already known."""
     v = F.col("v")
+    cur = df.select(F.col(col).alias("v")).where(v.isNotNull())
+    if n is None:
+        n = cur.count()
+    last = k + width - 1
+    if not 1 <= k <= last <= n:
+        raise ValueError(f"ranks {k}..{last} outside 1..{n}")
     for _ in range(MAX_PASSES):
-        st = cur.agg(F.count(F.lit(1)).alias("n"), F.min(v).alias("lo"),
-                     F.max(v).alias("hi")).first()
-        n, lo, hi = st["n"], st["lo"], st["hi"]
-        if not 1 <= k <= n:
-            raise ValueError(f"rank {k} outside 1..{n}")
-        if lo == hi:
-            return lo
         if n <= FINAL_ROWS:
-            return cur.orderBy(v).offset(k - 1).limit(1).first()["v"]
-        q = k / n
+            break
         eps = 4.0 / ACCURACY
-        qs = [max(0.0, q - eps), min(1.0, q + eps)]
+        qs = [max(0.0, (k - 1) / n - eps), min(1.0, last / n + eps)]
         a, b = cur.agg(F.percentile_approx(v, qs, ACCURACY)).first()[0]
-        cnt = cur.agg(F.sum(F.when(v < a, 1).otherwise(0)).alias("lt"),
-                      F.sum(F.when(v <= b, 1).otherwise(0)).alias("le")).first()
-        lt, le = cnt["lt"] or 0, cnt["le"] or 0
-        if lt < k <= le:
-            cur, k = cur.where((v >= a) & (v <= b)), k - lt
-        elif k <= lt:
-            cur = cur.where(v < a)
-        else:
-            cur, k = cur.where(v > b), k - le
-    return cur.orderBy(v).offset(k - 1).limit(1).first()["v"]
+        cnt = cur.agg(F.count(F.when(v < a, 1)).alias("lt"),
+                      F.count(F.when(v <= b, 1)).alias("le")).first()
+        lt, le = cnt["lt"], cnt["le"]
+        low_ok, high_ok = lt < k, last <= le
+        if low_ok and high_ok and a == b:
+            return [a] * width
+        if low_ok:
+            cur, k, last, n = cur.where(v >= a), k - lt, last - lt, n - lt
+            le -= lt
+        if high_ok:
+            cur, n = cur.where(v <= b), le
+    return [r["v"] for r in cur.orderBy(v).offset(k - 1).limit(width).collect()]
+
+
+def kth_smallest(df: DataFrame, col: str, k: int):
+    """Exact k-th smallest (1-based) non-null value of ``col``."""
+    return smallest_at(df, col, k)[0]
 
 
 def exact_median(df: DataFrame, col: str):
     """Median with interpolation between the two middle values (as SQL
-    ``median``/``quantile_cont(0.5)``)."""
+    ``median``/``quantile_cont(0.5)``); both middle values come from one
+    search."""
     n = df.where(F.col(col).isNotNull()).count()
     if n == 0:
         return None
     if n % 2:
-        return float(kth_smallest(df, col, (n + 1) // 2))
-    a = kth_smallest(df, col, n // 2)
-    b = kth_smallest(df, col, n // 2 + 1)
+        return float(smallest_at(df, col, (n + 1) // 2, 1, n)[0])
+    a, b = smallest_at(df, col, n // 2, 2, n)
     return (float(a) + float(b)) / 2.0
 
 

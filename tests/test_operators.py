@@ -147,6 +147,18 @@ def test_kth_smallest_hot_value(spark, monkeypatch):
         assert kth_smallest(df, "v", k) == vals[k - 1]
 
 
+def test_exact_median_narrowing_even_and_hot(spark, monkeypatch):
+    import terrace.operators.quantiles as q
+    monkeypatch.setattr(q, "FINAL_ROWS", 50)
+    df = spark.range(0, 5000).select(((F.col("id") * 7919) % 5000).cast("double").alias("v"))
+    assert exact_median(df, "v") == 2499.5
+    hot = spark.range(0, 3000).select(
+        F.when(F.col("id") < 1400, F.lit(7.0)).otherwise(F.col("id").cast("double")).alias("v"))
+    vals = sorted(r.v for r in hot.collect())
+    assert exact_median(hot, "v") == (vals[1499] + vals[1500]) / 2
+    assert q.smallest_at(hot, "v", 1399, 3) == vals[1398:1401]
+
+
 def test_mode_ties_go_to_smallest(spark):
     df = spark.createDataFrame([("b",), ("a",), ("b",), ("a",), ("c",), (None,), (None,),
                                 (None,)], "v string")
