@@ -78,3 +78,33 @@ def test_extract_is_skipped_when_fresh_and_retries_failed_publish(spark):
         {"neighbourhood": "SUCCESS"}
     last = ledger.last_status(spark, log).where(F.col("pipe") == "neighbourhood").first()
     assert last.status == ledger.SUCCESS
+
+
+def test_retry_after_a_crash_between_write_and_ledger_does_not_duplicate(spark, monkeypatch):
+    land = landing.build(spark, SF_SMALL, ("lookups",))
+    formatted = scratch_path(spark, "fmt")
+    raw = landing.raw_listings(spark, SF_SMALL)
+    years = [r[0] for r in raw.select("_year").distinct().orderBy("_year").collect()]
+    landing.write_listings(spark, SF_SMALL, land, years[:2])
+    standardise.commit_listings(spark, land, formatted)
+    landing.write_listings(spark, SF_SMALL, land, years[2:4])
+
+    real_append = ledger.append
+
+    def crash(*args, **kwargs):
+        raise RuntimeError("driver lost after the write")
+    monkeypatch.setattr(ledger, "append", crash)
+    try:
+        standardise.commit_listings(spark, land, formatted)
+    except RuntimeError:
+        pass
+    monkeypatch.setattr(ledger, "append", real_append)
+    out = f"{formatted}/idealista/out"
+    assert spark.read.parquet(out).select("batch").distinct().count() == 2   # orphan batch
+
+    landing.write_listings(spark, SF_SMALL, land, years[4:])   # more arrives before the retry
+    assert len(standardise.commit_listings(spark, land, formatted)) == len(years) - 2
+    df = spark.read.parquet(out)
+    assert df.count() == raw.count()
+    assert df.select("propertyCode").distinct().count() == raw.count()
+    assert df.select("batch").distinct().count() == 2
