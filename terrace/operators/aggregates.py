@@ -31,11 +31,24 @@ def count_rows() -> Column:
 def sum_per_key(df: DataFrame, keys: list[str], value: str, alias: str,
                 carry: dict[str, str] | None = None) -> DataFrame:
     """Null-preserving sum per key, optionally carrying columns that
-    are functionally dependent on the key (any row gives the same value, so
-    ``min`` is a deterministic pick)."""
-    aggs = [null_preserving_sum(value).alias(alias)]
-    aggs += [F.min(src).alias(dst) for dst, src in (carry or {}).items()]
-    return df.groupBy(*keys).agg(*aggs)
+    are functionally dependent on the key (the smallest value is the pick).
+
+    ``min`` of a string cannot live in a hash-aggregation buffer, so a direct
+    ``groupBy(keys).agg(min(name))`` sorts every input row. With ``carry``
+    the rows are therefore hash-aggregated by key *and* carried columns first
+    (count, sum, max: fixed-width buffers, partial aggregation), and only
+    those few rows per key are merged by key, where ``min`` is cheap."""
+    if not carry:
+        return df.groupBy(*keys).agg(null_preserving_sum(value).alias(alias))
+    v = F.col(value)
+    pre = (df.groupBy(*keys, *[F.col(src).alias(dst) for dst, src in carry.items()])
+             .agg(F.count(F.lit(1)).alias("_n"), F.sum(v).alias("_s"), F.max(v).alias("_m")))
+    merged = (pre.groupBy(*keys)
+                 .agg(F.sum("_n").alias("_n"), F.sum("_s").alias("_s"), F.max("_m").alias("_m"),
+                      *[F.min(dst).alias(dst) for dst in carry]))
+    total = (F.when(F.col("_n") == 1, F.col("_m"))
+              .otherwise(F.coalesce(F.col("_s"), F.lit(0).cast("long"))))
+    return merged.select(*keys, total.alias(alias), *carry)
 
 
 def latest_per_key(df: DataFrame, keys: list[str], order: str) -> DataFrame:

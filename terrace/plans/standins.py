@@ -101,11 +101,19 @@ def moves(spark: SparkSession, sf_dir: str, geo: DataFrame | None = None) -> Dat
 
 
 def income(spark: SparkSession, sf_dir: str, listing_df: DataFrame | None = None) -> DataFrame:
-    """Formatted income: one record per (district, neighbourhood, year)."""
+    """Formatted income: one record per (district, neighbourhood, year).
+
+    Hash-aggregated by key and names first (fixed-width buffers), then the
+    few rows per key are merged; ``min`` of the names runs only there, so no
+    listing row is ever sorted for it."""
     lst = listing_df if listing_df is not None else listings(spark, sf_dir)
-    df = (lst.groupBy("district_id", "neighborhood_id", year_of("queryDate").alias("year"))
-             .agg(F.count(F.lit(1)).alias("pop"),
-                  F.max("price").alias("RFD"),
+    keys = ["district_id", "neighborhood_id", "year"]
+    pre = (lst.groupBy("district_id", "neighborhood_id", year_of("queryDate").alias("year"),
+                       "district", "neighborhood")
+              .agg(F.count(F.lit(1)).alias("_n"), F.max("price").alias("_rfd")))
+    df = (pre.groupBy(*keys)
+             .agg(F.sum("_n").alias("pop"),
+                  F.max("_rfd").alias("RFD"),
                   F.min("district").alias("district_name"),
                   F.min("neighborhood").alias("neighborhood_name")))
     return conform(df, schemas.INCOME)

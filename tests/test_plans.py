@@ -65,3 +65,17 @@ def test_sales_keeps_source_naming_of_moves(spark):
         (F.col("district_id") == r.district_id) & (F.col("neighborhood_id") == r.neighborhood_id)
         & (F.col("year") == y)).first().m
     assert (r.move_in, r.move_out) == (origin, dest)
+
+
+def _deepest_aggregate(df) -> str:
+    lines = [ln for ln in plan_text(df).splitlines() if "Aggregate" in ln]
+    return lines[-1].split("Aggregate")[0].split()[-1] + "Aggregate"
+
+
+def test_fact_rows_are_hash_aggregated_not_sorted(spark):
+    """Carrying names (min of a string) must not put a sort under the fact
+    rows: the aggregate next to the scan is a HashAggregate."""
+    mv = standins.moves(spark, SF_SMALL)
+    assert _deepest_aggregate(curate.destination_sums(mv, "m", with_names=True)) \
+        .endswith("HashAggregate")
+    assert _deepest_aggregate(standins.income(spark, SF_SMALL)).endswith("HashAggregate")
