@@ -182,3 +182,13 @@ def test_broadcast_only_within_measured_size(spark):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
         spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_reject_count_reports_rows_an_inner_lookup_join_drops(spark):
+    from terrace.operators.joins import reject_count
+    rows = spark.createDataFrame([("Gracia", "la Salut"), ("Gracia", "La Salut"),
+                                  ("Sants", "Hostafrancs"), (None, "x")], "d string, n string")
+    lookup = spark.createDataFrame([("Gracia", "la Salut", "7"), ("Sants", "Hostafrancs", "9")],
+                                   "d string, n string, id string")
+    assert reject_count(rows, lookup, ["d", "n"]).first().rejected == 2   # case differs; null
+    assert rows.join(lookup, ["d", "n"]).count() == 2                      # result unchanged
