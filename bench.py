@@ -7,7 +7,9 @@ run so sides persisted for a broadcast size check are recomputed each time.
 
     BENCH_SF_DIR=/root/testdata/sf0.1 BENCH_CPUS=8 python bench.py
 
-Prints one JSON line.
+``BENCH_SHUFFLE_ONLY=1`` is the ablation: no measured broadcast and
+``autoBroadcastJoinThreshold=-1``, i.e. every join a shuffle join (the source
+system's plan shape). Prints one JSON line.
 """
 
 from __future__ import annotations
@@ -43,9 +45,13 @@ def main() -> None:
     sf = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     names = sys.argv[1:] or HEADLINE
+    extra = {"spark.driver.memory": "16g"}
+    shuffle_only = os.environ.get("BENCH_SHUFFLE_ONLY", "") == "1"
+    if shuffle_only:
+        extra.update({"spark.terrace.broadcast": "false",
+                      "spark.sql.autoBroadcastJoinThreshold": "-1"})
     spark = build_session(f"local[{cpus}]", app="terrace-bench",
-                          shuffle_partitions=max(8, 2 * cpus),
-                          extra={"spark.driver.memory": "16g"})
+                          shuffle_partitions=max(8, 2 * cpus), extra=extra)
     results = {}
     for name in names:
         fn = catalogue.QUERIES[name]
@@ -63,6 +69,7 @@ def main() -> None:
         "cpus": cpus,
         "shuffle_partitions": max(8, 2 * cpus),
         "headline": "gold_sales",
+        "joins": "shuffle_only" if shuffle_only else "measured_broadcast",
     }))
 
 

@@ -22,6 +22,9 @@ log = logging.getLogger(__name__)
 # (district, neighbourhood, year) are thousands. Anything past these bounds is
 # not dimension-sized any more and goes through a shuffle join instead.
 MAX_BROADCAST_ROWS = 2_000_000
+# Session switch for ablations: "false" turns every measured broadcast into
+# a planner-chosen join (with autoBroadcastJoinThreshold=-1: shuffle joins).
+BROADCAST_SWITCH = "spark.terrace.broadcast"
 MAX_BROADCAST_BYTES = 256 * 1024 * 1024
 
 
@@ -64,6 +67,8 @@ def checked_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS,
     """
     if persist:
         df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    if df.sparkSession.conf.get(BROADCAST_SWITCH, "true").lower() == "false":
+        return df
     n, size = measure(df)
     if n <= max_rows and size <= max_bytes:
         log.info("broadcasting %s: %d rows, %d bytes", name, n, size)
