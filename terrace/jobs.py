@@ -109,6 +109,5 @@ def train_published(spark: SparkSession, model_root: str, database: str = "predi
         cols["distance"] = F.col("distance").cast("double")
     typed = sales.select(*[c.alias(n) for n, c in cols.items()])
     return price_model.train(spark, typed, "propertyCode", numeric=numeric,
-                             categorical=categorical, model_path=f"{model_root}/model",
-                             store_path=f"{model_root}/model_store",
+                             categorical=categorical, model_root=model_root,
                              num_trees=num_trees, max_depth=max_depth)

@@ -521,7 +521,7 @@ def train_price_model(spark: SparkSession, sf: str) -> DataFrame:
     return price_model.train(spark, sales, "propertyCode",
                              numeric=["population", "RFD", "move_in", "move_out"],
                              categorical=["district", "neighborhood", "typology"],
-                             model_path=f"{root}/model", store_path=f"{root}/model_store",
+                             model_root=root,
                              num_trees=5, max_depth=4)
 
 

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..functions.columns import lenient_number
+from ..sources.sinks import new_version
 
 # The source system's feature lists and target.
 FEATURES = ["bathrooms", "typology", "distance", "district", "exterior", "size", "rooms",
@@ -93,10 +94,12 @@ def build_pipeline(numeric: list[str], categorical: list[str], target: str = TAR
 
 
 def train(spark: SparkSession, table: DataFrame, key: str, numeric: list[str],
-          categorical: list[str], model_path: str, store_path: str, target: str = TARGET,
+          categorical: list[str], model_root: str, target: str = TARGET,
           num_trees: int = 100, max_depth: int = 30) -> DataFrame:
-    """Clean, split, fit, evaluate, store model + metrics row (A19);
-    returns the model store preview (G2)."""
+    """Clean, split, fit, evaluate, store (A19): each run saves its
+    model in its own folder under ``model_root/models`` and appends one
+    metrics row naming it to ``model_root/model_store``; returns the first
+    rows of the store (G2)."""
     labelled = table.where(F.col(target).isNotNull())                 # C2
     entries = labelled.count()                                        # E6
     data = (labelled.na.drop(subset=numeric + categorical)            # C3
@@ -113,9 +116,11 @@ def train(spark: SparkSession, table: DataFrame, key: str, numeric: list[str],
         m = regression_metrics(pred, target, "prediction").first()
     finally:
         data.unpersist()
-    model.write().overwrite().save(model_path)
+    model_path = new_version(f"{model_root}/models")     # one saved model per run
+    model.write().save(model_path)
+    store_path = f"{model_root}/model_store"
     now = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
     (spark.createDataFrame([(model_path, now, m["mae"], m["rmse"], entries)],
                            schemas.MODEL_METRICS)
           .coalesce(1).write.mode("append").parquet(store_path))
-    return spark.read.parquet(store_path).limit(5)
+    return spark.read.parquet(store_path).orderBy("timestamp", "model_path").limit(5)

@@ -2,6 +2,7 @@
 published -> model trained from the published table (P1-P8, A8)."""
 
 import pytest
+from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from terrace import jobs
@@ -37,13 +38,17 @@ def test_zone_jobs_end_to_end(spark):
     assert _same_rows(spark.table("descriptive.real_estate"),
                       catalogue.gold_real_estate(spark, SF_SMALL))
 
-    preview = jobs.train_published(
-        spark, scratch_path(spark, "model"),
-        numeric=["population", "RFD", "move_in", "move_out"],
+    model_root = scratch_path(spark, "model")
+    train = lambda: jobs.train_published(
+        spark, model_root, numeric=["population", "RFD", "move_in", "move_out"],
         categorical=["district", "neighborhood", "typology"], num_trees=3, max_depth=3)
-    row = preview.first()
+    row = train().first()
     assert row.entries == spark.table("predictive.sales").where(F.col("price").isNotNull()).count()
     assert row.mae > 0 and row.rmse >= row.mae
+    runs = train().collect()                  # a second run adds a row and a model
+    assert len(runs) == 2 and runs[0].model_path != runs[1].model_path
+    first = PipelineModel.load(runs[0].model_path)
+    assert first.transform(spark.table("predictive.sales")).count() > 0
 
 
 def test_reset_makes_the_next_commit_overwrite(spark):
