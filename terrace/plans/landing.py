@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
+from ..sources import files
 from .standins import district_reconciled, neighbourhood_reconciled, table
 
 LISTING_SUFFIX = "_idealista"
@@ -164,7 +165,11 @@ def write_items(spark: SparkSession, df: DataFrame, key: str, root: str,
     stage = scratch_path(spark, "stage")
     df.write.partitionBy(key).parquet(stage)
     staged = spark.read.parquet(stage)
-    found = sorted(r[0] for r in staged.select(key).distinct().collect())
+    # The key values are the partition folder names: a file listing, no scan.
+    parts = files.list_items(spark, stage, rf"{key}=[^/]+").select(
+        F.regexp_extract("item", rf"^{key}=(.*)$", 1).alias("v"))
+    field = staged.schema[key].dataType
+    found = sorted(r.v for r in parts.select(F.col("v").cast(field).alias("v")).collect())
     written = []
     for k in found:
         item = name_of(k)
