@@ -138,18 +138,6 @@ def _stem(path: str) -> str:
     return name.rsplit(".", 1)[0] if "." in name else name
 
 
-def orphan_batch(spark: SparkSession, out: str, led: str) -> str | None:
-    """A batch folder in the output that no ledger row records: the write of
-    a run that stopped before its ledger append. Found from the file listing
-    (no data read); the next run reuses its id, so dynamic partition
-    overwrite replaces it instead of adding the same rows again."""
-    written = files.list_items(spark, out, r"batch=[^/]+").select(
-        F.regexp_extract("item", r"^batch=(.*)$", 1).alias("batch"))
-    recorded = ledger.read(spark, led).select(F.col("run_id").alias("batch"))
-    found = written.join(recorded, "batch", "left_anti").agg(F.min("batch")).first()[0]
-    return found
-
-
 def commit_items(spark: SparkSession, root: str, item_regex: str, out: str, led: str, pipe: str,
                  load: Callable[[list[str]], DataFrame]) -> list[str]:
     """A9 + A11 + A12: process only items whose stem is not in the ledger;
@@ -157,15 +145,17 @@ def commit_items(spark: SparkSession, root: str, item_regex: str, out: str, led:
     then record the stems under the batch id. ``load`` turns the new item
     paths into the standardised DataFrame (one multi-path scan).
 
-    A run that stopped between its write and its ledger append is repaired
-    by the next run: it takes over the unrecorded batch (whose items are
-    still unrecorded, so they are all in its input) and overwrites it."""
+    The batch id is recorded as an intent before the write. A run that
+    stopped after its write but before recording its items left such an
+    unfinished batch; the next run takes over its id (its items are still
+    unrecorded, so all of them are in the new input) and overwrites it."""
     items = files.list_items(spark, root, item_regex)
     paths = files.new_items(spark, items, ledger.processed_items(spark, led))
     if not paths:
         return []
     first = ledger.is_empty(spark, led)
-    batch = (None if first else orphan_batch(spark, out, led)) or _run_id()
+    batch = (None if first else ledger.unfinished_batch(spark, led)) or _run_id()
+    ledger.begin(spark, led, pipe, batch)
     write_first_or_append(load(paths), out, first, batch=batch)
     stems = [_stem(p) for p in paths]
     ledger.append(spark, led, pipe, stems, run_id=batch)

@@ -16,7 +16,7 @@ from pyspark.sql.utils import AnalysisException
 
 from .. import schemas
 
-ITEM, VERSION, RESET = "item", "version", "reset"
+ITEM, VERSION, RESET, PENDING = "item", "version", "reset", "pending"
 
 
 def _now() -> _dt.datetime:
@@ -61,7 +61,24 @@ def reset(spark: SparkSession, path: str, pipe: str) -> None:
 
 
 def is_empty(spark: SparkSession, path: str) -> bool:
-    return active(spark, path).limit(1).count() == 0
+    """No processed entry since the latest reset (write intents do not count)."""
+    return active(spark, path).where(F.col("kind") != PENDING).limit(1).count() == 0
+
+
+def begin(spark: SparkSession, path: str, pipe: str, batch: str) -> None:
+    """Write-ahead intent: the batch about to be written, recorded before the
+    write so that a run stopping between its write and its ``append`` can be
+    recognised from the ledger alone."""
+    append(spark, path, pipe, [batch], kind=PENDING, run_id=batch)
+
+
+def unfinished_batch(spark: SparkSession, path: str) -> str | None:
+    """A batch whose intent is recorded but whose items are not: its write may
+    be in the output. The next run reuses the id, so it overwrites it."""
+    led = active(spark, path)
+    pending = led.where(F.col("kind") == PENDING).select("run_id")
+    done = led.where(F.col("kind") == ITEM).select("run_id")
+    return pending.join(done, "run_id", "left_anti").agg(F.min("run_id")).first()[0]
 
 
 def newer_than_all(spark: SparkSession, source_mtime: DataFrame, path: str) -> DataFrame:

@@ -91,8 +91,10 @@ def test_retry_after_a_crash_between_write_and_ledger_does_not_duplicate(spark,
 
     real_append = ledger.append
 
-    def crash(*args, **kwargs):
-        raise RuntimeError("driver lost after the write")
+    def crash(spark, path, pipe, entries, kind=ledger.ITEM, run_id=None):
+        if kind == ledger.ITEM:
+            raise RuntimeError("driver lost after the write")
+        real_append(spark, path, pipe, entries, kind, run_id)
     monkeypatch.setattr(ledger, "append", crash)
     try:
         standardise.commit_listings(spark, land, formatted)
