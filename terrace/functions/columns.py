@@ -123,12 +123,6 @@ def query_date(c: Column | str) -> Column:
     return F.to_date(c, QUERY_DATE_FORMAT)
 
 
-def zero_if_null(c: Column | str) -> Column:
-    """S7."""
-    c = F.col(c) if isinstance(c, str) else c
-    return F.coalesce(c, F.lit(0))
-
-
 def lenient_number(c: Column | str, replace: dict[str, str] | None = None) -> Column:
     """S11 + S12: optional code replacement, then text -> double with
     unparsable values as null."""

@@ -23,11 +23,6 @@ def null_preserving_sum(c: Column | str) -> Column:
             .otherwise(F.coalesce(F.sum(c), F.lit(0).cast("long"))))
 
 
-def count_rows() -> Column:
-    """Count per key (sum of ones)."""
-    return F.count(F.lit(1))
-
-
 def sum_per_key(df: DataFrame, keys: list[str], value: str, alias: str,
                 carry: dict[str, str] | None = None) -> DataFrame:
     """Null-preserving sum per key, optionally carrying columns that
