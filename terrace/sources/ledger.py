@@ -3,7 +3,9 @@
 The ledger is an append-only Parquet table per pipe. Nothing is ever deleted:
 a reset appends a marker, and readers only see entries after the latest
 marker. Each append is one small Spark write; the gates are aggregates over
-the ledger (``max``/``max_by``), evaluated in Spark.
+the ledger (``max``/``max_by``), evaluated in Spark. An append run records
+its batch id as an intent before writing and its items after, so an
+interrupted run is visible in the ledger itself.
 """
 
 from __future__ import annotations

@@ -1,9 +1,10 @@
 """Sinks and publishing.
 
 Outputs are Parquet folders. Appends are made idempotent by writing each run
-into its own ``batch=<id>`` partition with dynamic partition overwrite: a
-retried run replaces its own batch and nothing else (the source system's
-"write, then log" gap, where a crash re-appends the same files, is closed).
+into its own ``batch=<id>`` partition with dynamic partition overwrite; a run
+that retries an unfinished batch (see ``ledger.unfinished_batch``) reuses its
+id and so replaces it and nothing else (the source system's "write, then log"
+gap, where a crash re-appends the same files, is closed).
 
 Curated refreshes go to a new version folder each time, and publishing points
 the table at it: a metadata change, not a second copy of the data. Until a
