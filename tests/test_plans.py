@@ -79,3 +79,23 @@ def test_fact_rows_are_hash_aggregated_not_sorted(spark):
     assert _deepest_aggregate(curate.destination_sums(mv, "m", with_names=True)) \
         .endswith("HashAggregate")
     assert _deepest_aggregate(standins.income(spark, SF_SMALL)).endswith("HashAggregate")
+
+
+@pytest.mark.parametrize("name", ["gold_sales", "gold_real_estate"])
+def test_shuffle_fallback_gives_the_same_rows(spark, name):
+    """Over the broadcast bound a side is joined by shuffle instead; the
+    answer must not change."""
+    want = catalogue.QUERIES[name](spark, SF_SMALL)
+    want_rows = want.collect()
+    prev = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.terrace.broadcast", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.catalog.clearCache()
+    try:
+        got = catalogue.QUERIES[name](spark, SF_SMALL)
+        assert "BroadcastHashJoin" not in plan_text(got)
+        assert sorted(map(tuple, got.collect()), key=repr) == \
+            sorted(map(tuple, want_rows), key=repr)
+    finally:
+        spark.conf.set("spark.terrace.broadcast", "true")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
