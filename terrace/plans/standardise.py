@@ -21,7 +21,7 @@ from ..functions.columns import (conform, flatten_structs, item_prefix, landing_
 from ..operators.aggregates import keep_first
 from ..operators.joins import checked_broadcast, explode_lookup
 from ..sources import files, ledger
-from ..sources.sinks import write_first_or_append, write_refresh
+from ..sources.sinks import new_version, write_first_or_append, write_refresh
 from .landing import INCOME_ITEM, LISTING_SUFFIX, MOVES_SUFFIX, Landing
 
 LISTING_ITEMS = r"[^/]*" + LISTING_SUFFIX
@@ -183,7 +183,12 @@ def commit_moves(spark: SparkSession, land: Landing, formatted: str) -> list[str
 
 def commit_income(spark: SparkSession, land: Landing, formatted: str) -> list[str]:
     """P3 run, gated (A15): only when the income file is strictly newer than
-    every recorded version; always a full refresh."""
+    every recorded version; always a full refresh.
+
+    The refresh goes to a new version folder, recorded in the ledger only
+    after the write; readers take the latest recorded folder, so a run that
+    stops mid-write never exposes a partial table and the rerun (the gate is
+    still open) writes a fresh version."""
     out, led = f"{formatted}/income_opendata/out", f"{formatted}/income_opendata/_ledger"
     src = f"{land.income}/{INCOME_ITEM}"
     mtime = files.max_mtime(spark, src)
@@ -195,7 +200,9 @@ def commit_income(spark: SparkSession, land: Landing, formatted: str) -> list[st
                         schemas.INCOME_DISTRICT)
     n = files.read_json(spark, f"{land.lookups}/income_lookup_neighborhood.json",
                         schemas.INCOME_NEIGHBOURHOOD)
-    write_refresh(standardise_income(raw, d, n), out)
+    folder = new_version(out)
+    write_refresh(standardise_income(raw, d, n), folder)
+    ledger.append(spark, led, "income_opendata", [folder], kind=ledger.OUTPUT)
     ledger.append(spark, led, "income_opendata", [version], kind=ledger.VERSION)
     return [version]
 
@@ -212,6 +219,9 @@ def stream_listings(spark: SparkSession, land: Landing, formatted: str) -> None:
 
 
 def read_formatted(spark: SparkSession, formatted: str, source: str, schema) -> DataFrame:
-    """A formatted table; the ``batch`` partition column is bookkeeping."""
-    df = spark.read.parquet(f"{formatted}/{source}/out")
+    """A formatted table: the latest recorded version folder for a fully
+    refreshed table, else the batch-partitioned output (``batch`` is
+    bookkeeping)."""
+    current = ledger.current_output(spark, f"{formatted}/{source}/_ledger")
+    df = spark.read.parquet(current or f"{formatted}/{source}/out")
     return conform(df.drop("batch"), schema)

@@ -18,7 +18,7 @@ from pyspark.sql.utils import AnalysisException
 
 from .. import schemas
 
-ITEM, VERSION, RESET, PENDING = "item", "version", "reset", "pending"
+ITEM, VERSION, RESET, PENDING, OUTPUT = "item", "version", "reset", "pending", "output"
 
 
 def _now() -> _dt.datetime:
@@ -67,6 +67,13 @@ def is_empty(spark: SparkSession, path: str) -> bool:
     return active(spark, path).where(F.col("kind") != PENDING).limit(1).count() == 0
 
 
+def current_output(spark: SparkSession, path: str) -> str | None:
+    """The output folder of the latest completed full refresh (all ledger
+    rows, resets included: a reset does not remove the data)."""
+    return (read(spark, path).where(F.col("kind") == OUTPUT)
+            .agg(F.max_by("item", "ts")).first()[0])
+
+
 def begin(spark: SparkSession, path: str, pipe: str, batch: str) -> None:
     """Write-ahead intent: the batch about to be written, recorded before the
     write so that a run stopping between its write and its ``append`` can be

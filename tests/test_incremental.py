@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from terrace import schemas
 from terrace.plans import extract, landing, standardise
 from terrace.session import scratch_path
 from terrace.sources import files, ledger
@@ -44,8 +45,14 @@ def test_income_gate_runs_once_per_version(spark):
     formatted = scratch_path(spark, "fmt")
     assert standardise.commit_income(spark, land, formatted)
     assert standardise.commit_income(spark, land, formatted) == []
+    read = lambda: standardise.read_formatted(
+        spark, formatted, "income_opendata", schemas.INCOME)
+    n = read().count()
     landing.write_income(spark, SF_SMALL, land)          # a newer delivery
     assert standardise.commit_income(spark, land, formatted)
+    assert read().count() == n                           # the new version only
+    ledger.reset(spark, f"{formatted}/income_opendata/_ledger", "income_opendata")
+    assert read().count() == n                           # a reset keeps the data
 
 
 def test_item_listing_matches_pattern_only(spark):
