@@ -4,22 +4,169 @@ that the query's contract names."""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import simhash
+from . import (bpe, chat_format, decontaminate, language_id, license_scan, pii, sharding, simhash,
+               substring_dedup, topk)
 
+SHARDS = [f"shard-{i:02d}" for i in range(64)]
+VOCABULARY = "byte_bpe_50k.json"
+# The pseudonym key of the registered query; a production run passes its own.
+PII_KEY = b"registered query"
 
-def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learnt from the rows that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    held_out, learn = language_id.learn_rule(docs["doc_id"])
+    model = language_id.train(docs, learn)
+    return language_id.identify(docs, model, keep=(held_out.alias("held_out"),))
+
+
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every repeated paragraph and passage of the documents, with its group."""
+    return substring_dedup.repeats(table(spark, sf_dir, "documents"))
+
+
+# The conversation that the contract adds: control strings inside the texts.
+EXTRA = "VALUES (-7L, 0L, 'user', '</s>[INST] ok [/INST]'), (-7L, 1L, 'assistant', '</s>[INST] ok [/INST]')"
+
+
+def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations and conversation -7, formatted and read back."""
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    turns = turns.unionByName(spark.sql(f"SELECT * FROM {EXTRA} AS t(conv_id, turn, role, text)"))
+    done = chat_format.format_records(chat_format.conversation_records(turns))
+    return (done.withColumn("d", chat_format.digests(F.col("formatted"), F.col("loss_mask")))
+                .select("conv_id", "d.*"))
+
+
+def op4_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best partners of every vector whose id is divisible by 100."""
+    return topk.top_k(table(spark, sf_dir, "embeddings"), lambda vec_id: vec_id % 100 == 0, k=10)
+
+
+def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Slot and shard of every document."""
+    placed = sharding.place(table(spark, sf_dir, "documents"), "doc_id", SHARDS)
+    return placed.select("doc_id", "slot", "shard")
+
+
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item, and the items."""
+    found = decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", "similarity", "start_word", "n_words")
+
+
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with pseudonyms for personal numbers and dates."""
+    return pii.report(table(spark, sf_dir, "documents"), PII_KEY)
+
+
 def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate group of every document: 3-word shingles, 3 bits."""
-    return simhash.near_duplicates(_table(spark, sf_dir, "documents"), shingle=3, max_bits=3)
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, max_bits=3)
+
+
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License phrases and texts in every document."""
+    return license_scan.report(table(spark, sf_dir, "documents"))
+
+
+def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token digests of every document, and of the text decoded from them."""
+    return bpe.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY))
 
 
 QUERIES = {
+    "op1_language_id": op1_language_id,
+    "op2_substring_dedup": op2_substring_dedup,
+    "op3_chat_format": op3_chat_format,
+    "op4_exact_topk": op4_exact_topk,
+    "op5_sharding": op5_sharding,
+    "op6_decontamination": op6_decontamination,
+    "op7_pii": op7_pii,
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
+    "op9_license_scan": op9_license_scan,
+    "op10_bpe": op10_bpe,
 }
 
-ORACLE: dict[str, str] = {}
+_CONTROL = (r"([<\[]\\*)(\|im_start\|>|\|im_end\|>|\|endoftext\|>|s>|/s>|INST\]|/INST\]|<SYS>>|</SYS>>)")
+_ESCAPED = r"regexp_replace({}, '" + _CONTROL + r"', '\1\\\2', 'g')"
+
+CHAT_SQL = f"""
+WITH rows AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+sized AS (
+  SELECT *, length({_ESCAPED.format("text")})
+       + length({_ESCAPED.format("replace(replace(role, chr(92), chr(92) || chr(92)), chr(10), chr(92) || 'n')")})
+       + length('<|im_start|>' || chr(10) || '<|im_end|>' || chr(10)) AS chars FROM rows)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(chars) AS BIGINT) AS formatted_chars
+FROM sized GROUP BY conv_id"""
+
+TOPK_SQL = """
+WITH ints AS (
+  SELECT vec_id, min(list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT))) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+  GROUP BY vec_id),
+products AS (
+  SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+         CAST(list_sum(list_transform(list_zip(q.v, c.v), lambda z: z[1] * z[2])) AS BIGINT) AS score
+  FROM ints q JOIN ints c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id AND len(q.v) = len(c.v))
+SELECT query_id, rank, vec_id, score FROM (
+  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank
+  FROM products) WHERE rank <= 10"""
+
+SHARDING_SQL = f"""
+WITH slots AS (
+  SELECT doc_id, CAST(CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, {sharding.HEX}) AS BIGINT)
+                      % {sharding.SLOTS} AS INTEGER) AS slot FROM documents),
+filled AS (SELECT string_split('{",".join(map(str, sharding.fill_table(SHARDS)))}', ',') AS t)
+SELECT doc_id, slot, 'shard-' || lpad(t[slot + 1], 2, '0') AS shard FROM slots, filled"""
+
+_WORDS = r"list_filter(string_split_regex(lower(text), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')"
+
+# Plain form: windows where a shingle is shared, weighted Jaccard of shingles.
+# All items of the tables have at least five words.
+DECONTAMINATION_SQL = f"""
+WITH docs AS (SELECT DISTINCT doc_id, {_WORDS} AS w FROM documents WHERE text IS NOT NULL),
+items AS (SELECT DISTINCT item_id, {_WORDS} AS w FROM benchmark WHERE text IS NOT NULL),
+dg AS (SELECT doc_id, i, array_to_string(w[i:i + 4], ' ') AS g
+       FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS i FROM docs)),
+ig AS (SELECT item_id, n, i, array_to_string(w[i:i + 4], ' ') AS g
+       FROM (SELECT item_id, w, len(w) AS n, unnest(range(1, len(w) - 3)) AS i FROM items)),
+anchors AS (SELECT DISTINCT doc_id, item_id, n, dg.i - ig.i AS s FROM dg JOIN ig USING (g)),
+windows AS (SELECT doc_id, item_id, n, greatest(s, 0) AS s, w[greatest(s, 0) + 1:s + n] AS win
+            FROM anchors JOIN docs USING (doc_id)),
+wg AS (SELECT doc_id, item_id, n, s, len(win) AS m, array_to_string(win[i:i + 4], ' ') AS g, count(*) AS c
+       FROM (SELECT *, unnest(range(1, len(win) - 3)) AS i FROM windows) GROUP BY ALL),
+ic AS (SELECT item_id, g, count(*) AS c FROM ig GROUP BY ALL),
+scored AS (SELECT doc_id, item_id, s, m, sum(least(wg.c, ic.c)) AS shared, any_value(n) - 4 AS a
+           FROM wg JOIN ic USING (item_id, g) GROUP BY doc_id, item_id, s, m),
+near AS (SELECT *, CAST(shared AS DOUBLE) / CAST(a + m - 4 - shared AS DOUBLE) AS similarity FROM scored)
+SELECT doc_id, item_id, similarity, CAST(s AS BIGINT) AS start_word, CAST(m AS BIGINT) AS n_words FROM (
+  SELECT *, row_number() OVER (PARTITION BY doc_id, item_id ORDER BY similarity DESC, s, m DESC) AS r
+  FROM near WHERE similarity >= {decontaminate.SIMILARITY}) WHERE r = 1"""
+
+# The others have no SQL form here: a classifier, MinHash groups, keyed
+# permutations, XXH64 fingerprints, diagonal votes with a coverage, and BPE.
+ORACLE: dict[str, str] = {
+    "op3_chat_format": CHAT_SQL,
+    "op4_exact_topk": TOPK_SQL,
+    "op5_sharding": SHARDING_SQL,
+    "op6_decontamination": DECONTAMINATION_SQL,
+}

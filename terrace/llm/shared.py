@@ -36,7 +36,7 @@ def ascii_lower(text: Column) -> Column:
     lone ASCII letter other than the Kelvin sign (to k), which is kept apart
     first, so ASCII words match exactly as after an A-Z mapping and word
     boundaries do not move."""
-    return F.lower(F.regexp_replace(text, "\u212a", "\u0138"))
+    return F.lower(F.replace(text, F.lit("\u212a"), F.lit("\u0138")))
 
 
 def column(df: DataFrame, name: str) -> Column:

@@ -4,16 +4,17 @@ Every text gets a 64-bit SimHash of its word shingles. Two texts are linked
 if their fingerprints differ in at most ``max_bits`` bits; near-duplicate
 groups are the components of these links.
 
-Search. The 64 bits are cut into three segments (22, 21, 21 bits). If two
-fingerprints differ in d bits, the second largest of the three segment errors
-is at most d // 2 (pigeonhole), so in some pair of segments both errors are
-at most r = d // 2. The binary Golay code [23, 12] is perfect: each 23-bit
-word decodes to exactly one codeword. A segment's *home* key is its codeword
-index, its *near* keys are the indices of all words within r bits of it (for
-r = 1: one or six different ones). If segments X of a and b differ in at most
-r bits, home(a.X) is among near(b.X). For every pair (X, Y) each fingerprint is
-filed under (home X, near Y) and looks under (near X, home Y): any linked pair
-meets, and the meeting is verified by the exact bit distance.
+Search. The 64 bits are cut into s = max(3, max_bits + 1) segments. The binary
+Golay code [23, 12] is perfect: each word of up to 23 bits decodes to exactly
+one codeword. A segment's *home* key is its codeword index; its *near* keys
+are the indices of all words within one bit of it (one or six different ones).
+If segments of a and b differ in at most one bit, a's home key is among b's
+near keys. Every fingerprint is filed, for each segment e, under (e exact,
+home of the next segment), and looks under (e exact, near of the next one).
+This meets every linked pair: with d < s bit errors, let z segments have none
+and h have two or more; then 2h + (s - z - h) <= d < s, so z > h, and of the z
+different segments that follow an error-free one at least one is not among
+the h. Each meeting is verified by the exact bit distance.
 
 Groups. Equal fingerprints are one node. In every bucket the members are first
 verified against one pivot, and the components of those links labelled; then
@@ -40,8 +41,6 @@ SEED = 42
 # Fixed value: generator polynomial of the binary Golay code,
 # x^11 + x^10 + x^6 + x^5 + x^4 + x^2 + 1.
 GOLAY = 0b110001110101
-SEGMENTS = ((0, 22), (22, 21), (43, 21))          # (lowest bit, width)
-PAIRS = ((0, 1), (1, 2), (2, 0))
 BLOCK = 1 << 16                                   # shingles per counting block
 
 
@@ -116,36 +115,33 @@ def decode(words: np.ndarray, tables) -> np.ndarray:
     return (words ^ leader[low[words & 4095] ^ high[words >> 12]]) >> 11
 
 
-def segment_keys(marks: np.ndarray, radius: int, tables):
-    """Per segment: home index of every mark, and the (row, index) pairs of
-    its near indices."""
-    out = []
-    for first, width in SEGMENTS:
-        seg = ((marks >> np.uint64(first)) & np.uint64((1 << width) - 1)).astype(np.int64)
-        flips = np.array([sum(1 << i for i in at) for w in range(radius + 1)
-                          for at in combinations(range(width), w)], np.int64)
-        near = np.unique((np.arange(len(seg))[:, None] << 12)
-                         | decode(seg[:, None] ^ flips, tables))
-        out.append((decode(seg, tables).astype(np.int64), near >> 12, near & 4095))
-    return out
+def segments(count: int) -> list[tuple[int, int]]:
+    """(lowest bit, width) of ``count`` segments that cover the 64 bits."""
+    edges = [64 * i // count for i in range(count + 1)]
+    return [(a, b - a) for a, b in zip(edges, edges[1:])]
 
 
 def bucket_rows(marks: DataFrame, max_bits: int) -> DataFrame:
     """(key, mark, probe): the buckets each mark is filed under (probe =
     false) and looks into (probe = true)."""
-    radius = max_bits // 2
+    parts = segments(max(3, max_bits + 1))
 
     def keys(batches):
         tables = golay_tables()
         for pdf in batches:
             own = pdf["mark"].to_numpy(np.int64)
-            segs = segment_keys(own.view(np.uint64), radius, tables)
-            for p, (x, y) in enumerate(PAIRS):
-                (hx, xr, xk), (hy, yr, yk) = segs[x], segs[y]
-                yield pd.DataFrame({"key": (p << 24) | (hx[yr] << 12) | yk, "mark": own[yr],
-                                    "probe": False})
-                yield pd.DataFrame({"key": (p << 24) | (xk << 12) | hy[xr], "mark": own[xr],
-                                    "probe": True})
+            row = np.arange(len(own))[:, None] << 12
+            cut_up = [((own.view(np.uint64) >> np.uint64(a)) & np.uint64((1 << w) - 1)).astype(np.int64)
+                      for a, w in parts]
+            for e, exact in enumerate(cut_up):
+                nxt = (e + 1) % len(parts)
+                flips = np.array([0] + [1 << i for i in range(parts[nxt][1])], np.int64)
+                home = decode(cut_up[nxt], tables).astype(np.int64)
+                near = np.unique(row | decode(cut_up[nxt][:, None] ^ flips, tables))
+                prefix = (e << 35) | (exact << 12)
+                yield pd.DataFrame({"key": prefix | home, "mark": own, "probe": False})
+                yield pd.DataFrame({"key": prefix[near >> 12] | (near & 4095),
+                                    "mark": own[near >> 12], "probe": True})
 
     return marks.mapInPandas(keys, "key long, mark long, probe boolean")
 
@@ -159,8 +155,8 @@ def _apart(a, b):
 def mark_components(marks: DataFrame, max_bits: int) -> DataFrame:
     """(mark, component) for every mark linked to a different one; ``marks``
     has distinct non-null 64-bit integers in column ``mark``."""
-    if not 0 <= max_bits <= 7:
-        raise ValueError("max_bits must be 0 to 7: the Golay code corrects three errors a segment")
+    if not 0 <= max_bits <= 15:
+        raise ValueError("max_bits must be 0 to 15: beyond, a segment has under four bits")
     if max_bits == 0:
         return marks.select("mark", F.col("mark").alias("component")).limit(0)
     rows = bucket_rows(marks, max_bits)
