@@ -97,11 +97,13 @@ def matches(docs: DataFrame, items: DataFrame, threshold: float = SIMILARITY, id
     text = text.withColumn("text_key", F.xxhash64("text"))
     split = text.where(F.col("text").isNotNull()).select("text_key", words(F.col("text")).alias("w"))
 
+    # posexplode_outer: for posexplode the optimiser would add a filter on the
+    # array's size and compute all grams again in it. The join drops the nulls.
     anchors = None
     for k in ks:
         own = ready.where(F.col("k") == k).select("item_id", "n_words", F.posexplode("grams").alias("at", "gram"))
         side = checked_broadcast(cut(own, "decontaminate-shingles"), name="item shingles", persist=False)
-        grams = with_grams(split, k, "g").select("text_key", F.posexplode("g").alias("pos", "gram"))
+        grams = with_grams(split, k, "g").select("text_key", F.posexplode_outer("g").alias("pos", "gram"))
         hits = grams.join(side, "gram").select(
             "text_key", "item_id", "n_words", F.lit(k).alias("k"), (F.col("pos") - F.col("at")).alias("start"))
         anchors = hits if anchors is None else anchors.unionByName(hits)
