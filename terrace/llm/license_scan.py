@@ -81,10 +81,11 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", phrase
                              persist=False)
     text = docs.select(column(docs, text_col).alias("text")).where(F.col("text").isNotNull())
     split = text.select(F.xxhash64("text").alias("text_key"), words(F.col("text")).alias("w"))
-    # One array: all 2-grams, then all 4-grams; the place tells which.
+    # One array: all 2-grams, then all 4-grams; the place tells which. Exploded
+    # with nulls, as otherwise a filter on its size would compute it again.
     both = with_grams(split, TEXT_K, "g")
     grams = both.select("text_key", F.size("g2").alias("n_short"),
-                        F.posexplode(F.concat("g2", "g")).alias("place", "gram"))
+                        F.posexplode_outer(F.concat("g2", "g")).alias("place", "gram"))
     hits = grams.join(side, "gram")
     hits = hits.where((F.col("place") < F.col("n_short")) == (F.col("k") == PHRASE_K))
     pos = F.when(F.col("k") == PHRASE_K, F.col("place")).otherwise(F.col("place") - F.col("n_short"))
