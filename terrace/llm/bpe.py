@@ -41,8 +41,8 @@ from .shared import column, free_name, small_batches
 # Fixed value: the public split pattern of byte-level BPE vocabularies.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 NEVER = 1 << 40                        # a rank later than any merge
-CACHE_WORDS = 200_000                  # distinct words kept per Python worker
-CACHE_PAIRS = 1_000_000                # verified pairs kept per Python worker
+CACHE_WORDS = 100_000                  # distinct words kept per Python worker
+CACHE_PAIRS = 150_000                  # verified pairs kept per Python worker
 LONG_MERGE = 100                       # bytes; longer words are merged with a heap
 LONG_WORD = 400                        # bytes; longer words skip the cache
 
