@@ -27,6 +27,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from terrace.operators.joins import checked_broadcast
+
 from .shared import column, cut, free_name, small_batches
 
 PER_LANGUAGE = 500        # bound: expected training texts of each language
@@ -140,6 +142,7 @@ def sample_training(docs: DataFrame, learn: Column, per_language: int, id_col: s
     rows = rows.where("learn AND lang IS NOT NULL AND text IS NOT NULL")
     sizes = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
     spot = F.pmod(F.xxhash64("id", F.lit("language")), F.lit(1_000_003))
+    sizes = checked_broadcast(sizes, name="language sizes", persist=False)     # a row per language
     return (rows.join(sizes, "lang")
                 .where(spot < F.lit(per_language) * 1_000_003 / F.col("n"))
                 .select("lang", "text"))
