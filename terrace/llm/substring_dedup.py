@@ -165,7 +165,7 @@ def extract_units(texts: DataFrame, how: Units) -> DataFrame:
 
 
 def _paragraph_sets(texts: DataFrame, units: DataFrame, nodes: DataFrame, how: Units) -> DataFrame:
-    """(node, shingles) for paragraphs ``nodes``, read again from one text each."""
+    """(node, shingles, bands) for paragraphs ``nodes``, read again from one text each."""
     place = (units.where(F.col("kind") == PARAGRAPH).join(nodes, F.col("d1") == F.col("node"), "left_semi")
                   .groupBy("d1").agg(F.min(F.struct("doc_id", "start", "n_words")).alias("at"))
                   .select("d1", "at.*"))
@@ -179,11 +179,13 @@ def _paragraph_sets(texts: DataFrame, units: DataFrame, nodes: DataFrame, how: U
                 for p in own:
                     part = words[p["start"]:p["start"] + p["n_words"]]
                     if _signed(xxhash.xxh3_128_intdigest(" ".join(part)) >> 64) == p["d1"]:
-                        rows.append((p["d1"], how.paragraph_set(part)))
-            yield pd.DataFrame(rows, columns=["node", "shingles"])
+                        own_set = how.paragraph_set(part)
+                        bands = how.paragraph_bands(own_set.view(np.uint64), np.array([0]), np.array([len(own_set)]))
+                        rows.append((p["d1"], own_set, bands[0].view(np.int64)))
+            yield pd.DataFrame(rows, columns=["node", "shingles", "bands"])
 
     return (texts.join(listed, "doc_id").select("text", "own")
-                 .mapInPandas(run, "node long, shingles array<long>").dropDuplicates(["node"]))
+                 .mapInPandas(run, "node long, shingles array<long>, bands array<long>").dropDuplicates(["node"]))
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
@@ -199,9 +201,15 @@ def paragraph_links(texts: DataFrame, units: DataFrame, how: Units, threshold: f
     """(node, component) for paragraphs similar to a different one; a node is
     the first hash of a paragraph's words."""
     rows = units.where(F.col("kind") == PARAGRAPH).select(F.col("d1").alias("node"), F.explode("bands").alias("key"))
-    shared = (rows.groupBy("key").agg(F.min("node").alias("pivot"), F.max("node").alias("hi"))
-                  .where(F.col("pivot") != F.col("hi")).select("key", "pivot"))
+    shared = (rows.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi"), F.count(F.lit(1)).alias("n"))
+                  .where(F.col("lo") != F.col("hi")).select("key", "n"))
     rows = cut(rows.join(shared, "key").distinct(), "substring-buckets")
+    # The pivot of a bucket is the member that meets the most others in all its
+    # buckets: of a group of near copies, one near its centre.
+    central = rows.groupBy("node").agg(F.sum("n").alias("met"))
+    pivots = (rows.select("key", "node").join(central, "node").groupBy("key")
+                  .agg(F.max(F.struct("met", "node")).alias("p")).select("key", F.col("p.node").alias("pivot")))
+    rows = cut(rows.select("key", "node").join(pivots, "key"), "substring-pivots")
     sets = cut(_paragraph_sets(texts, units, rows.select("node").distinct(), how), "substring-sets")
     star = (rows.where(F.col("node") != F.col("pivot"))
                 .select(F.col("node").alias("u"), F.col("pivot").alias("v")).distinct())
@@ -209,13 +217,22 @@ def paragraph_links(texts: DataFrame, units: DataFrame, how: Units, threshold: f
     rows = (rows.join(first, "node", "left").select("key", "node", F.coalesce("component", "node").alias("c")))
     mixed = (rows.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi"))
                  .where(F.col("lo") != F.col("hi")).select("key"))
-    rows = cut(rows.join(mixed, "key"), "substring-mixed")
-    a = rows.select("key", F.col("node").alias("u"), F.col("c").alias("cu"))
-    b = rows.select(F.col("key").alias("key_b"), F.col("node").alias("v"), F.col("c").alias("cv"))
-    cross = a.join(b, (F.col("key") == F.col("key_b")) & (F.col("u") < F.col("v"))
-                   & (F.col("cu") != F.col("cv"))).select("u", "v").distinct()
+    # Members of different groups in a mixed bucket are compared inside the
+    # join, each pair in the first bucket that it shares.
+    own = sets.select("node", F.col("shingles").alias("s"), "bands")
+    before = F.slice("bands", F.lit(1), F.array_position("bands", F.col("key")).cast("int") - 1)
+    rows = cut(rows.join(mixed, "key").join(own, "node").select("key", "node", "c", "s", before.alias("b")),
+               "substring-mixed")
+    a = rows.select("key", F.col("node").alias("u"), F.col("c").alias("cu"), F.col("s").alias("su"), F.col("b").alias("bu"))
+    b = rows.select(F.col("key").alias("key_b"), F.col("node").alias("v"), F.col("c").alias("cv"),
+                    F.col("s").alias("sv"), F.col("b").alias("bv"))
+    both = F.size(F.array_intersect("su", "sv"))
+    cross = a.join(b, (F.col("key") == F.col("key_b")) & (F.col("u") < F.col("v")) & (F.col("cu") != F.col("cv"))
+                   & (F.least(F.size("su"), F.size("sv")) >= threshold * F.greatest(F.size("su"), F.size("sv")))
+                   & ~F.arrays_overlap("bu", "bv")
+                   & (both >= threshold * (F.size("su") + F.size("sv") - both))).select("u", "v")
     known = first.select(F.col("node").alias("u"), F.col("component").alias("v"))
-    return components(known.unionByName(_verified(cross, sets, threshold)), "substring-links")
+    return components(known.unionByName(cross), "substring-links")
 
 
 def repeats(docs: DataFrame, threshold: float = SIMILARITY, recall: float = RECALL, min_words: int = MIN_WORDS,
