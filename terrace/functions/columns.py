@@ -86,14 +86,18 @@ def conform(df: DataFrame, schema: T.StructType, extra: str = "drop",
 # --- scalar helpers (S1-S12) ------------------------------------------------
 
 def strict_long(c: Column | str) -> Column:
-    """Text -> bigint; bad text fails the job (ANSI cast)."""
-    return F.col(c).cast("long") if isinstance(c, str) else c.cast("long")
+    """Text -> bigint; bad text fails the job, whatever the session's ANSI
+    setting."""
+    c = F.col(c) if isinstance(c, str) else c
+    value = c.try_cast("long")
+    bad = F.raise_error(F.concat(F.lit("not an integer: "), c.cast("string"))).cast("long")
+    return F.when(c.isNotNull() & value.isNull(), bad).otherwise(value)
 
 
 def sentinel_to_null(c: Column | str, sentinel: str = "..") -> Column:
     """The sentinel becomes null, anything else is parsed strictly."""
     c = F.col(c) if isinstance(c, str) else c
-    return F.when(c == F.lit(sentinel), F.lit(None).cast("long")).otherwise(c.cast("long"))
+    return F.when(c == F.lit(sentinel), F.lit(None).cast("long")).otherwise(strict_long(c))
 
 
 def year_of(c: Column | str) -> Column:
@@ -132,11 +136,12 @@ def lenient_number(c: Column | str, replace: dict[str, str] | None = None) -> Co
     return c.try_cast("double")
 
 
-def landing_item(suffix_regex: str, path_col: str = "_metadata.file_path") -> Column:
+def landing_item(suffix_regex: str, path_col: str = "_metadata.file_path", below: str = "/") -> Column:
     """A7 helper: the name of the landing item (file or directory) a row came
     from, found in the row's source file path. ``suffix_regex`` matches the
-    end of the item name (e.g. ``_idealista``)."""
-    return F.regexp_extract(F.col(path_col), rf"/([^/]*{suffix_regex})(?:/|$)", 1)
+    end of the item name (e.g. ``_idealista``); ``below`` the path up to it
+    (see ``files.below_root``)."""
+    return F.regexp_extract(F.col(path_col), rf"{below}([^/]*{suffix_regex})(?:/|$)", 1)
 
 
 def stem_of(item: Column) -> Column:

@@ -76,6 +76,8 @@ def extract_zone(spark: SparkSession, formatted: str, exploitation: str,
     for table in tables or list(extract.CURATED):
         try:
             done.update(extract.run(spark, formatted, exploitation, [table], location))
+            if done[table] == ledger.FAILED:
+                failed[table] = RuntimeError("not published; the log has the error, the next run tries again")
         except Exception as e:  # noqa: BLE001
             failed[table] = e
     if failed:

@@ -55,6 +55,17 @@ def measure(df: DataFrame) -> tuple[int, int]:
     return r["rows"], sum(r[f"_b{i}"] or 0 for i in range(len(df.schema.fields)))
 
 
+_HELD: list[DataFrame] = []
+
+
+def release_sides() -> None:
+    """Unpersist the sides that ``checked_broadcast`` has persisted. Jobs call
+    it after each write: Spark finds cached data by plan, so a side kept longer
+    would hide later changes of its files."""
+    while _HELD:
+        _HELD.pop().unpersist()
+
+
 def checked_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS,
                       max_bytes: int = MAX_BROADCAST_BYTES, name: str = "side",
                       persist: bool = True) -> DataFrame:
@@ -67,6 +78,7 @@ def checked_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS,
     """
     if persist:
         df = df.persist(StorageLevel.MEMORY_AND_DISK)
+        _HELD.append(df)
     if df.sparkSession.conf.get(BROADCAST_SWITCH, "true").lower() == "false":
         return df
     n, size = measure(df)

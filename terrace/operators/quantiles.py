@@ -6,15 +6,15 @@ values at ranks k..k+w-1 are found instead by narrowing a value range:
 
 1. approximate quantiles (bounded-memory sketch, partial aggregation) give a
    bracket [a, b] around those ranks;
-2. one filtered count pass checks the bracket and re-bases the ranks; each
-   bound is applied only if it is verified, so a miss never loses a value;
-3. repeat on the bracket until it holds few rows (or a single distinct
-   value), then read the ranks with a bounded ``orderBy().offset()``.
+2. one filtered count pass verifies each bound and counts the rows equal to
+   it: ranks that fall on a bound are answered, and the bound's rows, however
+   many, leave the search;
+3. repeat strictly inside the bracket until at most FINAL_ROWS rows are left,
+   then read the ranks with a bounded ``orderBy().offset()``.
 
 Each round is two passes over the (shrinking) column plus tiny aggregates;
 the range filters reach the Parquet scan, so later rounds skip row groups.
-Only scalars reach the driver. A value shared by a third of all rows ends
-the search as soon as a bracket holds only that value.
+Only scalars reach the driver.
 """
 
 from __future__ import annotations
@@ -24,7 +24,6 @@ from pyspark.sql import functions as F
 
 FINAL_ROWS = 50_000
 ACCURACY = 20_000
-MAX_PASSES = 12
 
 
 def smallest_at(df: DataFrame, col: str, k: int, width: int = 1,
@@ -38,24 +37,29 @@ def smallest_at(df: DataFrame, col: str, k: int, width: int = 1,
     last = k + width - 1
     if not 1 <= k <= last <= n:
         raise ValueError(f"ranks {k}..{last} outside 1..{n}")
-    for _ in range(MAX_PASSES):
-        if n <= FINAL_ROWS:
-            break
+    head, tail = [], []                       # answers found at the bounds
+    while n > FINAL_ROWS:
         eps = 4.0 / ACCURACY
         qs = [max(0.0, (k - 1) / n - eps), min(1.0, last / n + eps)]
         a, b = cur.agg(F.percentile_approx(v, qs, ACCURACY)).first()[0]
-        cnt = cur.agg(F.count(F.when(v < a, 1)).alias("lt"),
-                      F.count(F.when(v <= b, 1)).alias("le")).first()
-        lt, le = cnt["lt"], cnt["le"]
-        low_ok, high_ok = lt < k, last <= le
-        if low_ok and high_ok and a == b:
-            return [a] * width
-        if low_ok:
-            cur, k, last, n = cur.where(v >= a), k - lt, last - lt, n - lt
-            le -= lt
-        if high_ok:
-            cur, n = cur.where(v <= b), le
-    return [r["v"] for r in cur.orderBy(v).offset(k - 1).limit(width).collect()]
+        c = cur.agg(*[F.count(F.when(cond, 1)).alias(name) for name, cond in (
+            ("lt_a", v < a), ("le_a", v <= a), ("lt_b", v < b), ("le_b", v <= b))]).first()
+        before = n
+        if c["le_b"] >= last:                 # no wanted value above b
+            if k > c["lt_b"]:
+                return head + [b] * (last - k + 1) + tail
+            same = max(0, last - c["lt_b"])
+            tail, last = [b] * same + tail, last - same
+            cur, n = cur.where(v < b), c["lt_b"]
+        if c["lt_a"] < k and a < b:           # no wanted value below a
+            same = max(0, min(last, c["le_a"]) - k + 1)
+            head, k = head + [a] * same, k + same
+            if k > last:
+                return head + tail
+            cur, n, k, last = cur.where(v > a), n - c["le_a"], k - c["le_a"], last - c["le_a"]
+        if n == before:
+            raise RuntimeError("the quantile sketch missed its error bound")
+    return head + [r["v"] for r in cur.orderBy(v).offset(k - 1).limit(last - k + 1).collect()] + tail
 
 
 def kth_smallest(df: DataFrame, col: str, k: int):

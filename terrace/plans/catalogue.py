@@ -220,10 +220,11 @@ def newer_than_gate(spark: SparkSession, sf: str) -> DataFrame:
     orders.write.parquet(src)
     mt = files.max_mtime(spark, src)
     run_first = ledger.newer_than_all(spark, mt, led15).first()["run"]
-    ledger.append(spark, led15, "orders", [str(mt.first()["mtime"])], kind=ledger.VERSION)
+    version = mt.select(F.unix_micros("mtime").cast("string").alias("v")).first()["v"]
+    ledger.append(spark, led15, "orders", [version], kind=ledger.VERSION)
     run_after = ledger.newer_than_all(spark, files.max_mtime(spark, src), led15).first()["run"]
     vec = lambda: files.max_mtime(spark, src).select(
-        F.lit("orders").alias("source"), F.col("mtime").cast("string").alias("version"))
+        F.lit("orders").alias("source"), F.unix_micros("mtime").cast("string").alias("version"))
     fresh_first = ledger.version_vector_fresh(spark, vec(), led16).first()["fresh"]
     ledger.record_versions(spark, vec(), led16, "orders")
     fresh_after = ledger.version_vector_fresh(spark, vec(), led16).first()["fresh"]

@@ -11,17 +11,21 @@ the data are fresh; meanwhile the table keeps reading the previous version.
 
 from __future__ import annotations
 
+import logging
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
+from ..operators.joins import release_sides
 from ..sources import files, ledger
 from ..sources.sinks import new_version, publish, write_refresh
 from . import curate
 from .standardise import read_formatted
 
+log = logging.getLogger(__name__)
+
 # table -> (database, inputs in order, plan)
 CURATED = {
     "neighbourhood": ("descriptive", ["income_opendata", "padro_opendata"],
@@ -47,7 +51,7 @@ CURATED = {
 def version_vector(spark: SparkSession, roots: dict[str, str]) -> DataFrame:
     """(source, version) rows: latest file time under each input folder."""
     parts = [files.max_mtime(spark, path).select(F.lit(name).alias("source"),
-                                                 F.col("mtime").cast("string").alias("version"))
+                                                 F.unix_micros("mtime").cast("string").alias("version"))
              for name, path in roots.items()]
     return reduce(DataFrame.unionByName, parts)
 
@@ -61,7 +65,13 @@ def extract(spark: SparkSession, table: str, formatted: str, exploitation: str)
     if ledger.version_vector_fresh(spark, current, led).first()["fresh"]:
         return None
     out = new_version(f"{exploitation}/{table}")
-    write_refresh(plan(spark, formatted), out)
+    try:
+        write_refresh(plan(spark, formatted), out)
+    finally:
+        release_sides()
+    # The folder is recorded before the versions: a run that stops between
+    # here and publishing leaves what the next run needs to publish it.
+    ledger.append(spark, led, table, [out], kind=ledger.OUTPUT)
     ledger.record_versions(spark, current, led, table)
     return out
 
@@ -72,6 +82,7 @@ def publish_tracked(spark: SparkSession, table: str, out: str, database: str,
     try:
         publish(spark, out, database, table, location)
     except Exception:  # noqa: BLE001 - any failure is recorded for a retry
+        log.exception("publishing %s failed", table)
         ledger.record_status(spark, status_log, table, ledger.FAILED, out, database)
         return False
     ledger.record_status(spark, status_log, table, ledger.SUCCESS, out, database)
@@ -80,17 +91,23 @@ def publish_tracked(spark: SparkSession, table: str, out: str, database: str,
 
 def run(spark: SparkSession, formatted: str, exploitation: str, tables: list[str] | None = None,
         location: str | None = None) -> dict[str, str]:
-    """Extract and publish; a fresh table is skipped, but a table whose last
-    publish failed is published again from the remembered output."""
+    """Extract and publish; a fresh table is skipped, unless its last output has
+    not been published (the publish failed or was never reached) or this
+    session's catalog does not have the table: then it is published again."""
     status_log = f"{exploitation}/_publish_status"
-    retry = {r.pipe: (r.output, r.database)
-             for r in ledger.retry_candidates(spark, status_log).collect()}
+    last = {r.pipe: r for r in ledger.last_status(spark, status_log).collect()}
     result = {}
     for table in tables or list(CURATED):
         database = CURATED[table][0]
         out = extract(spark, table, formatted, exploitation)
-        if out is None and table in retry:
-            out, database = retry[table]
+        if out is None:
+            current = ledger.current_output(spark, f"{exploitation}/{table}/_ledger")
+            seen = last.get(table)
+            if seen is not None and seen.status != ledger.SUCCESS:
+                out, database = current or seen.output, seen.database or database
+            elif current and (seen is None or seen.output != current
+                              or not spark.catalog.tableExists(f"{database}.{table}")):
+                out = current
         if out is None:
             result[table] = "fresh"
             continue

@@ -54,7 +54,8 @@ def hash_bucket(key: Column | str, buckets: int = 5) -> Column:
     """L1: repeatable bucket from the md5 of the key's text (first 28 bits)."""
     key = F.col(key) if isinstance(key, str) else key
     h = F.conv(F.substring(F.md5(key.cast("string")), 1, 7), 16, 10).cast("long")
-    return h % F.lit(buckets)
+    # A row without a key goes to a bucket too, so that no row is lost.
+    return F.coalesce(h % F.lit(buckets), F.lit(1).cast("long"))
 
 
 def split(df: DataFrame, key: str, test_bucket: int = 0, buckets: int = 5):

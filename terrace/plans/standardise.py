@@ -10,6 +10,7 @@ aggregation) for income.
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,7 +20,7 @@ from .. import schemas
 from ..functions.columns import (conform, flatten_structs, item_prefix, landing_item,
                                  sentinel_to_null, strict_long)
 from ..operators.aggregates import keep_first
-from ..operators.joins import checked_broadcast, explode_lookup
+from ..operators.joins import checked_broadcast, release_sides, explode_lookup
 from ..sources import files, ledger
 from ..sources.sinks import new_version, write_first_or_append, write_refresh
 from .landing import INCOME_ITEM, LISTING_SUFFIX, MOVES_SUFFIX, Landing
@@ -59,12 +60,12 @@ def moves_lookup(spark: SparkSession, lookups: str) -> DataFrame:
 
 # --- P1 listings --------------------------------------------------------------
 
-def standardise_listings(raw: DataFrame, lookup: DataFrame) -> DataFrame:
+def standardise_listings(raw: DataFrame, lookup: DataFrame, below: str = "/") -> DataFrame:
     """B1 flatten, A7 per-row file date, D2 reconciliation, B4 override, B6."""
     if "_file" in raw.columns:      # streamed micro-batch: path already attached
-        tagged = raw.select("*", landing_item(LISTING_SUFFIX, "_file").alias("_item")).drop("_file")
+        tagged = raw.select("*", landing_item(LISTING_SUFFIX, "_file", below).alias("_item")).drop("_file")
     else:
-        tagged = raw.select("*", landing_item(LISTING_SUFFIX).alias("_item"))
+        tagged = raw.select("*", landing_item(LISTING_SUFFIX, below=below).alias("_item"))
     flat = flatten_structs(tagged)
     flat = flat.withColumn("queryDate", item_prefix("_item", 10)).drop("_item")
     lk = checked_broadcast(lookup, name="listing lookup")
@@ -156,7 +157,10 @@ def commit_items(spark: SparkSession, root: str, item_regex: str, out: str, led:
     first = ledger.is_empty(spark, led)
     batch = (None if first else ledger.unfinished_batch(spark, led)) or _run_id()
     ledger.begin(spark, led, pipe, batch)
-    write_first_or_append(load(paths), out, first, batch=batch)
+    try:
+        write_first_or_append(load(paths), out, first, batch=batch)
+    finally:
+        release_sides()
     stems = [_stem(p) for p in paths]
     ledger.append(spark, led, pipe, stems, run_id=batch)
     return stems
@@ -168,8 +172,9 @@ def commit_listings(spark: SparkSession, land: Landing, formatted: str) -> list[
     return commit_items(
         spark, land.listings, LISTING_ITEMS, f"{formatted}/idealista/out",
         f"{formatted}/idealista/_ledger", "idealista",
-        lambda paths: standardise_listings(files.read_parquet(spark, paths, merge_schema=True),
-                                           lookup))
+        lambda paths: reduce(DataFrame.unionByName, [
+            standardise_listings(g, lookup, files.below_root(land.listings))
+            for g in files.parquet_groups(spark, paths)]))
 
 
 def commit_moves(spark: SparkSession, land: Landing, formatted: str) -> list[str]:
@@ -178,7 +183,8 @@ def commit_moves(spark: SparkSession, land: Landing, formatted: str) -> list[str
     return commit_items(
         spark, land.moves, MOVES_ITEMS, f"{formatted}/padro_opendata/out",
         f"{formatted}/padro_opendata/_ledger", "padro_opendata",
-        lambda paths: standardise_moves(files.read_csv_text(spark, paths), lookup))
+        lambda paths: standardise_moves(
+            files.read_csv_items(spark, paths, schemas.RAW_MOVES_COLUMNS), lookup))
 
 
 def commit_income(spark: SparkSession, land: Landing, formatted: str) -> list[str]:
@@ -192,16 +198,21 @@ def commit_income(spark: SparkSession, land: Landing, formatted: str) -> list[st
     out, led = f"{formatted}/income_opendata/out", f"{formatted}/income_opendata/_ledger"
     src = f"{land.income}/{INCOME_ITEM}"
     mtime = files.max_mtime(spark, src)
+    if mtime.first()["mtime"] is None:
+        raise FileNotFoundError(src)
     if not ledger.newer_than_all(spark, mtime, led).first()["run"]:
         return []
-    version = str(mtime.first()["mtime"])
+    version = mtime.select(F.unix_micros("mtime").cast("string").alias("v")).first()["v"]
     raw = files.read_json(spark, src, schemas.RAW_INCOME)
     d = files.read_json(spark, f"{land.lookups}/income_lookup_district.json",
                         schemas.INCOME_DISTRICT)
     n = files.read_json(spark, f"{land.lookups}/income_lookup_neighborhood.json",
                         schemas.INCOME_NEIGHBOURHOOD)
     folder = new_version(out)
-    write_refresh(standardise_income(raw, d, n), folder)
+    try:
+        write_refresh(standardise_income(raw, d, n), folder)
+    finally:
+        release_sides()
     ledger.append(spark, led, "income_opendata", [folder], kind=ledger.OUTPUT)
     ledger.append(spark, led, "income_opendata", [version], kind=ledger.VERSION)
     return [version]
@@ -214,7 +225,7 @@ def stream_listings(spark: SparkSession, land: Landing, formatted: str) -> None:
     lookup = listing_lookup(spark, land.lookups)
     glob = f"{land.listings}/*{LISTING_SUFFIX}"
     schema = spark.read.option("mergeSchema", "true").parquet(glob).schema
-    ingest_available(spark, glob, schema, lambda b: standardise_listings(b, lookup),
+    ingest_available(spark, glob, schema, lambda b: standardise_listings(b, lookup, files.below_root(land.listings)),
                      f"{formatted}/idealista/out", f"{formatted}/idealista/_stream_checkpoint")
 
 

@@ -54,6 +54,8 @@ def shared_root(spark: SparkSession) -> str:
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="terrace-ckpt-")
         spark.sparkContext.setCheckpointDir(root)
         root = spark.sparkContext.getCheckpointDir() or root
@@ -64,12 +66,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique folder name under the shared root (not created here;
     the first Spark write creates it)."""
     return f"{shared_root(spark)}/terrace/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme so local-only helpers (tests) can use os."""
-    if path.startswith("file:"):
-        path = path[5:]
-        while path.startswith("//"):
-            path = path[1:]
-    return os.path.abspath(path)

@@ -9,6 +9,8 @@ of files, not by rows.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -31,8 +33,11 @@ def list_items(spark: SparkSession, root: str, item_regex: str) -> DataFrame:
                       .select("path", "modificationTime"))
     except AnalysisException:
         return spark.createDataFrame([], ITEM_SCHEMA)
-    item = F.regexp_extract(F.col("path"), rf"/({item_regex})(?:/|$)", 1)
-    item_path = F.regexp_extract(F.col("path"), rf"^(.*?/(?:{item_regex}))(?:/|$)", 1)
+    # Only the first path part below root names an item; folders above root and
+    # deeper ones of the same form do not.
+    below = below_root(root)
+    item = F.regexp_extract(F.col("path"), rf"{below}({item_regex})(?:/|$)", 1)
+    item_path = F.regexp_extract(F.col("path"), rf"^(.*?{below}(?:{item_regex}))(?:/|$)", 1)
     return (files.select(item.alias("item"), item_path.alias("ipath"), "modificationTime")
                  .where(F.col("item") != "")
                  .groupBy("item")
@@ -42,6 +47,12 @@ def list_items(spark: SparkSession, root: str, item_regex: str) -> DataFrame:
                          "path", "mtime"))
 
 
+def below_root(root: str) -> str:
+    """Regex for the part of a file's path up to its name below ``root``."""
+    path = re.sub(r"^\w+:(?://)?", "", root).rstrip("/")
+    return "".join(c if c.isalnum() or c in "/_" else "\\" + c for c in path) + "/"
+
+
 def new_items(spark: SparkSession, items: DataFrame, processed: DataFrame) -> list[str]:
     """Paths of items whose stem is not in the ledger (left anti
     join). Returns file paths for the multi-path scan that follows; this is
@@ -55,6 +66,37 @@ def read_parquet(spark: SparkSession, paths: list[str], merge_schema: bool = Fal
     return spark.read.option("mergeSchema", str(merge_schema).lower()).parquet(*paths)
 
 
+def parquet_groups(spark: SparkSession, paths: list[str]) -> list[DataFrame]:
+    """One scan per schema that occurs among the items (footers only are read to
+    group them), so that items whose columns differ in type do not meet before
+    they are aligned."""
+    groups: dict[str, list[str]] = {}
+    for p in paths:
+        groups.setdefault(spark.read.parquet(p).schema.json(), []).append(p)
+    return [spark.read.parquet(*g) for g in groups.values()]
+
+
+def read_csv_items(spark: SparkSession, paths: list[str], columns: list[str]) -> DataFrame:
+    """A2 for items with headers of their own: the items are grouped by
+    header, each group is read under it, and ``columns`` are taken by name.
+    A column that an item lacks, or a part file whose header differs from its
+    item's, fails the job."""
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for p in paths:
+        header = tuple(spark.read.option("header", "true").option("inferSchema", "false").csv(p).columns)
+        groups.setdefault(header, []).append(p)
+    out = None
+    for header, items in groups.items():
+        missing = [c for c in columns if c not in header]
+        if missing:
+            raise ValueError(f"columns {missing} are not in the header of {items}")
+        schema = T.StructType([T.StructField(c, T.StringType()) for c in header])
+        part = (spark.read.schema(schema).option("header", "true").option("enforceSchema", "false")
+                     .csv(items).select(*[F.col(f"`{c}`") for c in columns]))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def read_csv_text(spark: SparkSession, paths: list[str]) -> DataFrame:
     """A2: headered CSV, every column as text. No schema inference pass:
     only the header line is read to name the columns."""
@@ -63,7 +105,7 @@ def read_csv_text(spark: SparkSession, paths: list[str]) -> DataFrame:
 
 def read_json(spark: SparkSession, paths: str | list[str], schema: T.StructType) -> DataFrame:
     """A3/A4: JSON lines with a declared schema (no inference pass)."""
-    return spark.read.schema(schema).json(paths)
+    return spark.read.schema(schema).option("mode", "FAILFAST").json(paths)
 
 
 def max_mtime(spark: SparkSession, root: str) -> DataFrame:

@@ -92,12 +92,13 @@ def unfinished_batch(spark: SparkSession, path: str) -> str | None:
 
 def newer_than_all(spark: SparkSession, source_mtime: DataFrame, path: str) -> DataFrame:
     """One-row DataFrame ``run`` = source mtime strictly greater than
-    every recorded version (true when nothing is recorded)."""
+    every recorded version (true when nothing is recorded). Versions are
+    recorded as microseconds since the epoch, so no time zone takes part."""
     rec = (active(spark, path).where(F.col("kind") == VERSION)
-           .agg(F.max(F.col("item").cast("timestamp"))).first()[0])
+           .agg(F.max(F.col("item").cast("long"))).first()[0])
     if rec is None:
         return source_mtime.select(F.lit(True).alias("run"))
-    return source_mtime.select((F.col("mtime") > F.lit(rec)).alias("run"))
+    return source_mtime.select((F.unix_micros("mtime") > F.lit(rec)).alias("run"))
 
 
 def last_versions(spark: SparkSession, path: str) -> DataFrame:

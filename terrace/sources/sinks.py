@@ -27,7 +27,7 @@ def write_first_or_append(df: DataFrame, path: str, first: bool, batch: str) ->
     out = df.withColumn("batch", F.lit(batch))
     w = out.write.partitionBy("batch")
     if first:
-        w.mode("overwrite").parquet(path)
+        w.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
     else:
         w.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
 
