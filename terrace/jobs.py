@@ -14,9 +14,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from .functions.columns import lenient_number
 from .plans import extract, price_model, standardise
 from .plans.landing import Landing
 from .sources import ledger
@@ -95,8 +93,8 @@ def train_published(spark: SparkSession, model_root: str, database: str = "predi
                     table: str = "sales", numeric: list[str] | None = None,
                     categorical: list[str] | None = None, num_trees: int = 100,
                     max_depth: int = 30) -> DataFrame:
-    """P8 on the published table: S11/S12 on ``floor``, strict parse of
-    ``distance``, then ``price_model.train`` (split, fit, evaluate, store).
+    """P8 on the published table: ``price_model.train`` (clean, split, fit,
+    evaluate, store).
 
     The feature lists default to the source system's; pass a subset when some
     of those columns are empty in the data at hand (every row with a null
@@ -104,12 +102,6 @@ def train_published(spark: SparkSession, model_root: str, database: str = "predi
     numeric = numeric if numeric is not None else price_model.NUMERIC
     categorical = categorical if categorical is not None else price_model.CATEGORICAL
     sales = published_sales(spark, database, table)
-    cols = {c: F.col(c) for c in sales.columns}
-    if "floor" in cols:
-        cols["floor"] = lenient_number(F.col("floor"), price_model.FLOOR_CODES)
-    if "distance" in cols:
-        cols["distance"] = F.col("distance").cast("double")
-    typed = sales.select(*[c.alias(n) for n, c in cols.items()])
-    return price_model.train(spark, typed, "propertyCode", numeric=numeric,
+    return price_model.train(spark, sales, "propertyCode", numeric=numeric,
                              categorical=categorical, model_root=model_root,
                              num_trees=num_trees, max_depth=max_depth)

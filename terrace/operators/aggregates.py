@@ -1,9 +1,11 @@
-"""Aggregations (E1-E5). All are declarative aggregates, so Spark runs them
-as partial (map-side) + final ``HashAggregate``/``ObjectHashAggregate``: a hot
-key is collapsed to one row per map task before the shuffle, and no group is
-ever materialised in one task. No window function is used for arg-max or
-de-duplication for exactly that reason (a window would pull a whole hot key
-into one task)."""
+"""Aggregations (E1-E5). All are declarative aggregates with a partial
+(map-side) step, so a hot key is collapsed to one row per map task before the
+shuffle, and no group is ever materialised in one task. Sums and counts have
+fixed-width buffers and run as ``HashAggregate``. The arg-max and keep-first of
+whole rows (E4, E5) keep a struct, which Spark aggregates by sorting: each map
+task sorts its rows by key (spilling if need be) before it collapses them. A
+window function would avoid neither the sort nor, for a hot key, the pull of
+all its rows into one task, so none is used."""
 
 from __future__ import annotations
 

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 from .. import schemas
+from .price_model import FEATURES
 
 _SQL_TYPES = {
     T.StringType: "VARCHAR", T.LongType: "BIGINT", T.DoubleType: "DOUBLE",
@@ -38,7 +39,14 @@ GEO = """geo AS (
 LISTINGS = """listings AS (
   SELECT CAST(o.o_orderkey AS VARCHAR) AS propertyCode, o.o_totalprice AS price,
          strftime(o.o_orderdate, '%Y_%m_%d') AS queryDate, o.o_orderpriority AS typology,
-         o.o_orderstatus AS status, g.district, g.district_id, g.neighborhood, g.neighborhood_id
+         o.o_orderstatus AS status, CAST(o.o_orderkey % 3 + 1 AS BIGINT) AS bathrooms,
+         CAST(o.o_orderkey % 6 + 1 AS BIGINT) AS rooms,
+         CAST(o.o_orderkey % 120 + 40 AS DOUBLE) AS size,
+         CAST(o.o_custkey % 5000 AS VARCHAR) AS distance,
+         CASE WHEN o.o_orderkey % 5 = 0 THEN 'bj' WHEN o.o_orderkey % 7 = 0 THEN 'en'
+              ELSE CAST(o.o_orderkey % 9 AS VARCHAR) END AS floor,
+         o.o_orderkey % 2 = 0 AS exterior, o.o_custkey % 3 <> 0 AS hasLift,
+         g.district, g.district_id, g.neighborhood, g.neighborhood_id
   FROM orders o JOIN customer c ON c.c_custkey = o.o_custkey
   JOIN geo g ON g.n_nationkey = c.c_nationkey)"""
 
@@ -86,7 +94,8 @@ STANDIN = (GEO, LISTINGS)
 ALL_VIEWS = (GEO, LISTINGS, MOVES, INCOME)
 
 LISTING_FILLED = {"propertyCode", "price", "queryDate", "typology", "status", "district",
-                  "district_id", "neighborhood", "neighborhood_id"}
+                  "district_id", "neighborhood", "neighborhood_id", "bathrooms", "rooms",
+                  "size", "distance", "floor", "exterior", "hasLift"}
 
 
 def _sales_select() -> str:
@@ -359,5 +368,24 @@ FROM (SELECT (o_totalprice * 0.95 + 500.0) - o_totalprice AS e FROM orders) t"""
 
 ORACLE.update(MORE)
 
+# The stream and the batch run fill one output: the same rows as either alone.
+ORACLE["batch_then_stream"] = ORACLE["reconcile_listings"]
+
+_BUCKET = "('0x' || substr(md5(propertyCode), 1, 7))::BIGINT % 5"
+ORACLE["train_price_model"] = f"""
+WITH sales AS ({GOLD['gold_sales']}),
+typed AS (
+  SELECT * REPLACE (TRY_CAST(CASE WHEN floor = 'bj' THEN '0' ELSE floor END AS DOUBLE) AS floor,
+                    CAST(distance AS DOUBLE) AS distance)
+  FROM sales WHERE price IS NOT NULL),
+complete AS (
+  SELECT {_BUCKET} AS bucket FROM typed
+  WHERE {" AND ".join(f"{c} IS NOT NULL" for c in FEATURES)})
+SELECT (SELECT count(*) FROM typed) AS entries, count(*) FILTER (WHERE bucket <> 0) AS train_rows,
+       count(*) FILTER (WHERE bucket = 0) AS test_rows,
+       count(*) FILTER (WHERE bucket = 0) AS predictions, CAST(1 AS BIGINT) AS store_rows,
+       true AS rmse_ge_mae, true AS reloaded_same
+FROM complete"""
+
 # The streamed P1 run must give exactly the batch P1 result.
 ORACLE["stream_listings"] = ORACLE["reconcile_listings"]

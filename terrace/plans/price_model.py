@@ -2,9 +2,10 @@
 
 The source system trains in one process; here every step is distributed:
 cleaning is column expressions, the split is a hash bucket of the row key
-(repeatable, no shuffle), imputation/scaling/encoding are ``ml.feature``
-stages and the forest is ``RandomForestRegressor``. Only the fitted model
-and one metrics row are written.
+(repeatable, no shuffle), imputation and scaling are expressions over exact
+statistics of the training rows, encoding is ``ml.feature`` and the forest is
+``RandomForestRegressor``. The expressions are a ``SQLTransformer``, so the
+saved model holds them. Only the fitted model and one metrics row are written.
 """
 
 from __future__ import annotations
@@ -13,14 +14,14 @@ import datetime as _dt
 
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline
-from pyspark.ml.feature import (Imputer, OneHotEncoder, StandardScaler, StringIndexer,
-                                VectorAssembler)
+from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
 from ..functions.columns import lenient_number
+from ..operators.quantiles import exact_median, mode_value
 from ..sources.sinks import new_version
 
 # The source system's feature lists and target.
@@ -33,11 +34,11 @@ TARGET = "price"
 FLOOR_CODES = {"bj": "0"}
 
 
-def clean(df: DataFrame, features: list[str] = FEATURES, target: str = TARGET,
-          numeric_text: tuple[str, ...] = ("floor",), strict_text: tuple[str, ...] = ("distance",)
-          ) -> DataFrame:
+def labelled(df: DataFrame, features: list[str] = FEATURES, target: str = TARGET,
+             numeric_text: tuple[str, ...] = ("floor",), strict_text: tuple[str, ...] = ("distance",),
+             keep: tuple[str, ...] = ()) -> DataFrame:
     """S11/S12 floor codes and lenient parse; strict parse of numeric text
-    columns; C2 drop null target; C3 drop rows with any null feature; B11."""
+    columns; C2 drop null target; B11. ``keep`` names further columns."""
     cols = {}
     for f in features:
         c = F.col(f)
@@ -46,8 +47,14 @@ def clean(df: DataFrame, features: list[str] = FEATURES, target: str = TARGET,
         elif f in strict_text:
             c = c.cast("double")
         cols[f] = c.alias(f)
-    out = df.where(F.col(target).isNotNull()).select(*cols.values(), F.col(target))
-    return out.na.drop(subset=features)
+    return df.where(F.col(target).isNotNull()).select(*keep, *cols.values(), F.col(target))
+
+
+def clean(df: DataFrame, features: list[str] = FEATURES, target: str = TARGET,
+          numeric_text: tuple[str, ...] = ("floor",), strict_text: tuple[str, ...] = ("distance",)
+          ) -> DataFrame:
+    """``labelled``, and C3: rows with any null feature are dropped."""
+    return labelled(df, features, target, numeric_text, strict_text).na.drop(subset=features)
 
 
 def hash_bucket(key: Column | str, buckets: int = 5) -> Column:
@@ -72,51 +79,90 @@ def regression_metrics(df: DataFrame, label: str, prediction: str, digits: int =
                   F.count(F.lit(1)).alias("entries"))
 
 
-def build_pipeline(numeric: list[str], categorical: list[str], target: str = TARGET,
-                   num_trees: int = 100, max_depth: int = 30, seed: int = 42) -> Pipeline:
-    """Median imputation + standardisation for numeric columns,
-    index + one-hot (unknown -> all zeros) for categorical ones, then the
-    forest. Categorical nulls were removed by ``clean``."""
-    imp = [f"{c}__imp" for c in numeric]
-    stages = [
-        Imputer(inputCols=numeric, outputCols=imp, strategy="median"),
-        VectorAssembler(inputCols=imp, outputCol="num_vec"),
-        StandardScaler(inputCol="num_vec", outputCol="num_scaled", withMean=True, withStd=True),
-    ]
+# --- preparation: SQL text, so that the saved model can hold it ---------------
+
+def _literal(value) -> str:
+    if isinstance(value, str):
+        return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return f"double('{float(value)!r}')"
+
+
+def imputed(col: str, value) -> str:
+    """L2/L4: the column with nulls replaced (a column without any value stays)."""
+    return f"`{col}`" if value is None else f"coalesce(`{col}`, {_literal(value)})"
+
+
+def z_score(expr: str, mean: float, sd: float) -> str:
+    """L3: zero mean, unit population variance; a constant column gives 0."""
+    return f"(({expr}) - {_literal(mean)}) / {_literal(sd or 1.0)}"
+
+
+def population_stats(df: DataFrame, exprs: dict[str, str]) -> dict[str, tuple[float, float]]:
+    """Mean and population deviation per named expression, in one aggregate."""
+    row = df.agg(*[f(F.expr(e)).alias(f"{k}{n}") for k, f in (("m_", F.avg), ("s_", F.stddev_pop))
+                   for n, e in exprs.items()]).first()
+    return {n: (row[f"m_{n}"], row[f"s_{n}"]) for n in exprs}
+
+
+def preparation(rows: DataFrame, numeric: list[str], categorical: list[str]) -> SQLTransformer:
+    """L2-L4 fitted on ``rows``: exact median and z-score of numeric columns,
+    most frequent value of categorical ones."""
+    filled = {c: imputed(c, exact_median(rows, c)) for c in numeric}
+    stats = population_stats(rows, filled)
+    cols = [f"{z_score(filled[c], *stats[c])} AS `{c}__z`" for c in numeric]
+    cols += [f"{imputed(c, mode_value(rows, c))} AS `{c}__full`" for c in categorical]
+    return SQLTransformer(statement=f"SELECT *, {', '.join(cols)} FROM __THIS__")
+
+
+def build_pipeline(prepare: SQLTransformer, numeric: list[str], categorical: list[str],
+                   target: str = TARGET, num_trees: int = 100, max_depth: int = 30, seed: int = 42,
+                   min_instances: int = 1) -> Pipeline:
+    """The fitted preparation, index + one-hot (unknown -> all zeros)
+    for categorical columns, then the forest."""
     idx = [f"{c}__idx" for c in categorical]
     ohe = [f"{c}__ohe" for c in categorical]
-    stages += [StringIndexer(inputCols=categorical, outputCols=idx, handleInvalid="keep",
-                             stringOrderType="alphabetAsc"),
-               OneHotEncoder(inputCols=idx, outputCols=ohe, dropLast=True, handleInvalid="keep"),
-               VectorAssembler(inputCols=["num_scaled"] + ohe, outputCol="features"),
-               RandomForestRegressor(featuresCol="features", labelCol=target, numTrees=num_trees,
-                                     maxDepth=max_depth, seed=seed, featureSubsetStrategy="all")]
-    return Pipeline(stages=stages)
+    return Pipeline(stages=[
+        prepare,
+        StringIndexer(inputCols=[f"{c}__full" for c in categorical], outputCols=idx,
+                      handleInvalid="keep", stringOrderType="alphabetAsc"),
+        OneHotEncoder(inputCols=idx, outputCols=ohe, dropLast=True, handleInvalid="keep"),
+        VectorAssembler(inputCols=[f"{c}__z" for c in numeric] + ohe, outputCol="features"),
+        RandomForestRegressor(featuresCol="features", labelCol=target, numTrees=num_trees,
+                              maxDepth=max_depth, seed=seed, featureSubsetStrategy="all",
+                              minInstancesPerNode=min_instances)])
+
+
+def model_rows(table: DataFrame, key: str, numeric: list[str], categorical: list[str],
+               target: str = TARGET) -> DataFrame:
+    """``labelled`` rows as the model takes them: the key, numbers as doubles
+    and categories as text."""
+    rows = labelled(table, numeric + categorical, target, keep=(key,))
+    return rows.select(key, *[F.col(c).cast("double").alias(c) for c in numeric],
+                       *[F.col(c).cast("string").alias(c) for c in categorical], target)
 
 
 def train(spark: SparkSession, table: DataFrame, key: str, numeric: list[str],
           categorical: list[str], model_root: str, target: str = TARGET,
-          num_trees: int = 100, max_depth: int = 30) -> DataFrame:
+          num_trees: int = 100, max_depth: int = 30, min_instances: int = 1) -> DataFrame:
     """Clean, split, fit, evaluate, store (A19): each run saves its
     model in its own folder under ``model_root/models`` and appends one
     metrics row naming it to ``model_root/model_store``; returns the first
-    rows of the store (G2)."""
-    labelled = table.where(F.col(target).isNotNull())                 # C2
-    entries = labelled.count()                                        # E6
-    data = (labelled.na.drop(subset=numeric + categorical)            # C3
-                    .select(key, *numeric, *[F.col(c).cast("string").alias(c)
-                                             for c in categorical], target))   # B11
-    # Every stage's fit and the forest's first pass scan the training rows:
-    # keep the narrow projection (memory and disk, rebuilt from lineage if an
-    # executor is lost) instead of recomputing the input plan each time.
-    data = data.persist(StorageLevel.MEMORY_AND_DISK)
+    rows of the store (G2).
+
+    The trees live in the driver and grow with the data up to ``max_depth``;
+    ``max_depth`` or ``min_instances`` (rows a leaf needs) bound them."""
+    # Every pass scans these rows: keep the narrow projection (memory and disk,
+    # rebuilt from lineage if an executor is lost), filled by the first count.
+    rows = model_rows(table, key, numeric, categorical, target).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        train_df, test_df = split(data, key)
-        model = build_pipeline(numeric, categorical, target, num_trees, max_depth).fit(train_df)
-        pred = model.transform(test_df)
-        m = regression_metrics(pred, target, "prediction").first()
+        entries = rows.count()                                        # E6
+        train_df, test_df = split(rows.na.drop(subset=numeric + categorical), key)   # C3
+        prepare = preparation(train_df, numeric, categorical)
+        model = build_pipeline(prepare, numeric, categorical, target, num_trees, max_depth,
+                               min_instances=min_instances).fit(train_df)
+        m = regression_metrics(model.transform(test_df), target, "prediction").first()
     finally:
-        data.unpersist()
+        rows.unpersist()
     model_path = new_version(f"{model_root}/models")     # one saved model per run
     model.write().save(model_path)
     store_path = f"{model_root}/model_store"

@@ -18,11 +18,12 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..functions.columns import (conform, flatten_structs, item_prefix, landing_item,
-                                 sentinel_to_null, strict_long)
+                                 sentinel_to_null, stem_of, strict_long)
 from ..operators.aggregates import keep_first
 from ..operators.joins import checked_broadcast, release_sides, explode_lookup
 from ..sources import files, ledger
 from ..sources.sinks import new_version, write_first_or_append, write_refresh
+from ..streaming.file_feed import FILE_COL, ingest_available
 from .landing import INCOME_ITEM, LISTING_SUFFIX, MOVES_SUFFIX, Landing
 
 LISTING_ITEMS = r"[^/]*" + LISTING_SUFFIX
@@ -74,7 +75,7 @@ def standardise_listings(raw: DataFrame, lookup: DataFrame, below: str = "/") ->
                               "neighborhood": F.col("_ne_re"),
                               "neighborhood_id": F.col("_ne_id")})
     return conform(out.drop("_di", "_di_re", "_di_id", "_ne", "_ne_re", "_ne_id"),
-                   schemas.LISTING, enforce_not_null=True)
+                   schemas.LISTING, extra="error", enforce_not_null=True)
 
 
 # --- P2 movements -------------------------------------------------------------
@@ -219,14 +220,41 @@ def commit_income(spark: SparkSession, land: Landing, formatted: str) -> list[st
 
 
 def stream_listings(spark: SparkSession, land: Landing, formatted: str) -> None:
-    """P1 as a Structured Streaming run: the stream checkpoint replaces the
-    ledger; every new ``*_idealista`` file is standardised exactly once."""
-    from ..streaming.file_feed import ingest_available
+    """P1 as a Structured Streaming run over the same output and ledger as
+    ``commit_listings``: items that a batch run recorded are left out, and the
+    streamed ones are recorded, so the two routes may alternate.
+
+    A micro-batch writes the batch named after its epoch and records its items
+    afterwards; a replay overwrites that batch. Only items of other runs are
+    left out: the checkpoint itself hands each file over once. A reset starts a
+    new checkpoint, and the first run after it overwrites the output."""
     lookup = listing_lookup(spark, land.lookups)
+    out, led = f"{formatted}/idealista/out", f"{formatted}/idealista/_ledger"
+    below = files.below_root(land.listings)
     glob = f"{land.listings}/*{LISTING_SUFFIX}"
     schema = spark.read.option("mergeSchema", "true").parquet(glob).schema
-    ingest_available(spark, glob, schema, lambda b: standardise_listings(b, lookup, files.below_root(land.listings)),
-                     f"{formatted}/idealista/out", f"{formatted}/idealista/_stream_checkpoint")
+    generation = f"s{ledger.last_reset(spark, led)}"
+
+    def sink(batch: DataFrame, epoch: int) -> None:
+        session, run = batch.sparkSession, f"{generation}_{epoch:09d}"
+        others = (ledger.active(session, led)
+                  .where((F.col("kind") == ledger.ITEM) & ~F.col("run_id").startswith(generation))
+                  .select(F.col("item").alias("_stem")))
+        fresh = (batch.withColumn("_stem", stem_of(landing_item(LISTING_SUFFIX, FILE_COL, below)))
+                      .join(others, "_stem", "left_anti"))
+        stems = [r["_stem"] for r in fresh.select("_stem").distinct().collect()]   # names only
+        if not stems:
+            return
+        first = ledger.is_empty(session, led)
+        try:
+            write_first_or_append(standardise_listings(fresh.drop("_stem"), lookup, below),
+                                  out, first, batch=run)
+        finally:
+            release_sides()
+        ledger.append(session, led, "idealista", sorted(stems), run_id=run)
+
+    ingest_available(spark, glob, schema, sink,
+                     f"{formatted}/idealista/_stream_checkpoint/{generation}")
 
 
 def read_formatted(spark: SparkSession, formatted: str, source: str, schema) -> DataFrame:

@@ -7,7 +7,8 @@ them unchanged.
 
 * district lookup        : region  (id = r_regionkey, reconciled = lower(r_name))
 * neighbourhood lookup   : nation  (id = n_nationkey, reconciled = n_name with '_' -> ' ')
-* listing                : an order, located at its customer's nation/region
+* listing                : an order, located at its customer's nation/region; its
+                           flat's features are remainders of the order's keys
 * movement               : a line item from the supplier's nation to the
                            customer's nation, in its ship year; no value when
                            the return flag is 'R'
@@ -65,6 +66,15 @@ def listings(spark: SparkSession, sf_dir: str, geo: DataFrame | None = None) ->
                         F.date_format("o_orderdate", "yyyy_MM_dd").alias("queryDate"),
                         F.col("o_orderpriority").alias("typology"),
                         F.col("o_orderstatus").alias("status"),
+                        (F.col("o_orderkey") % 3 + 1).alias("bathrooms"),
+                        (F.col("o_orderkey") % 6 + 1).alias("rooms"),
+                        (F.col("o_orderkey") % 120 + 40).cast("double").alias("size"),
+                        (F.col("o_custkey") % 5000).cast("string").alias("distance"),
+                        F.when(F.col("o_orderkey") % 5 == 0, F.lit("bj"))
+                         .when(F.col("o_orderkey") % 7 == 0, F.lit("en"))
+                         .otherwise((F.col("o_orderkey") % 9).cast("string")).alias("floor"),
+                        (F.col("o_orderkey") % 2 == 0).alias("exterior"),
+                        (F.col("o_custkey") % 3 != 0).alias("hasLift"),
                         "district", "district_id", "neighborhood", "neighborhood_id"))
     return conform(df, schemas.LISTING)
 

@@ -33,6 +33,12 @@ def read(spark: SparkSession, path: str) -> DataFrame:
         return spark.createDataFrame([], schemas.LEDGER)
 
 
+def last_reset(spark: SparkSession, path: str) -> int:
+    """Microseconds since the epoch of the latest reset marker, or 0."""
+    return (read(spark, path).where(F.col("kind") == RESET)
+            .agg(F.coalesce(F.max(F.unix_micros("ts")), F.lit(0).cast("long"))).first()[0])
+
+
 def active(spark: SparkSession, path: str) -> DataFrame:
     """Ledger rows written after the latest reset marker."""
     led = read(spark, path)

@@ -1,11 +1,10 @@
 """Structured Streaming counterpart of the processed-file ledger.
 
 A file stream over the landing items, run with ``trigger(availableNow=True)``,
-processes every file not yet recorded in the stream's checkpoint and stops:
-the checkpoint's source log *is* the ledger. Each micro-batch is written by
-``foreachBatch`` into its own ``batch=<epoch id>`` partition with dynamic
-partition overwrite, so a micro-batch replayed after a failure replaces
-exactly its own output (exactly-once output without a separate log step).
+processes every file not yet recorded in the stream's checkpoint and stops.
+Each micro-batch is handed to ``sink`` with its epoch number through
+``foreachBatch``; a sink that writes to a place named after the epoch replaces
+exactly its own output when a micro-batch is replayed after a failure.
 """
 
 from __future__ import annotations
@@ -20,13 +19,13 @@ FILE_COL = "_file"
 
 
 def ingest_available(spark: SparkSession, source_glob: str, schema: T.StructType,
-                     transform: Callable[[DataFrame], DataFrame], out: str, checkpoint: str,
+                     sink: Callable[[DataFrame, int], None], checkpoint: str,
                      fmt: str = "parquet", options: dict[str, str] | None = None,
                      max_files_per_trigger: int | None = None) -> None:
     """Process all new files under ``source_glob`` once, then stop.
 
-    ``transform`` receives each micro-batch with the source file path in
-    column ``_file`` (for per-file provenance) and returns the rows to write.
+    ``sink`` receives each micro-batch, with the source file path in column
+    ``_file`` (for per-file provenance), and the epoch number.
     """
     reader = spark.readStream.format(fmt).schema(schema)
     for k, v in (options or {}).items():
@@ -34,14 +33,7 @@ def ingest_available(spark: SparkSession, source_glob: str, schema: T.StructType
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     stream = reader.load(source_glob).select("*", F.col("_metadata.file_path").alias(FILE_COL))
-
-    def write_batch(batch: DataFrame, epoch_id: int) -> None:
-        (transform(batch).withColumn("batch", F.lit(f"s{epoch_id:09d}"))
-                         .write.mode("overwrite")
-                         .option("partitionOverwriteMode", "dynamic")
-                         .partitionBy("batch").parquet(out))
-
-    query = (stream.writeStream.foreachBatch(write_batch)
+    query = (stream.writeStream.foreachBatch(sink)
                    .option("checkpointLocation", checkpoint)
                    .trigger(availableNow=True)
                    .start())

@@ -71,11 +71,4 @@ def test_entry_smoke(spark):
 
 
 def test_every_query_has_oracle_or_is_declared_rows_only():
-    assert set(OWN) - set(E.oracle_sql()) == {"train_price_model"}
-
-
-@pytest.mark.skipif(not os.path.exists(f"{SF_SMALL}/orders.parquet"), reason="no data")
-def test_train_price_model_runs(spark):
-    df = E.queries()["train_price_model"](spark, SF_SMALL)
-    r = df.first()
-    assert r.entries > 0 and r.mae >= 0 and r.rmse >= r.mae
+    assert not set(OWN) - set(E.oracle_sql())
