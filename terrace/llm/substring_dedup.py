@@ -267,6 +267,9 @@ def repeats(docs: DataFrame, threshold: float = SIMILARITY, recall: float = RECA
     lead = (members.groupBy("kind", "component").agg(F.min(F.struct("doc_id", "start")).alias("at"))
                    .select("kind", "component", F.col("at.doc_id").alias("component_id"),
                            F.col("at.start").alias("component_start")))
+    # Written first, so that the join does not run in the aggregate's stage:
+    # the members of a hot group can then be split among tasks.
+    lead = cut(lead, "substring-leads")
     return members.join(lead, ["kind", "component"]).select(
         "doc_id", F.when(F.col("kind") == PARAGRAPH, "paragraph").otherwise("passage").alias("kind"),
         F.col("start").cast("long").alias("start_word"), F.col("n_words").cast("long").alias("n_words"),
