@@ -14,6 +14,7 @@ from __future__ import annotations
 import datetime as dt
 import hashlib
 import re
+from bisect import bisect_right
 from collections.abc import Callable
 from functools import lru_cache
 
@@ -236,10 +237,12 @@ def find(text: str, perm: Permutation) -> list[tuple[int, int, str, str]]:
         return found
     for kind, pattern, change in FORMATS:
         group = "value" if "value" in pattern.groupindex else 0
-        taken = sorted(found)
+        taken = sorted(found)                         # they do not overlap
+        ends = [y for _, y, _, _ in taken]
         for m in pattern.finditer(text):
             a, b = m.span(group)
-            if any(x < b and a < y for x, y, _, _ in taken):
+            i = bisect_right(ends, a)                 # the first that ends after a
+            if i < len(taken) and taken[i][0] < b:
                 continue
             new = change(m[group], perm)
             if new is not None:
