@@ -83,16 +83,18 @@ def extract_zone(spark: SparkSession, formatted: str, exploitation: str,
     return done
 
 
-def published_sales(spark: SparkSession, database: str = "predictive",
-                    table: str = "sales") -> DataFrame:
-    """The analysis input is the published table, read through the catalog."""
-    return spark.table(f"`{database}`.`{table}`")
+def published_sales(spark: SparkSession, database: str = "predictive", table: str = "sales",
+                    exploitation: str | None = None, location: str | None = None) -> DataFrame:
+    """The analysis input is the published table, read through the catalog;
+    with ``exploitation``, registered from its status log if the catalog lacks it."""
+    return extract.published(spark, database, table, exploitation, location)
 
 
 def train_published(spark: SparkSession, model_root: str, database: str = "predictive",
                     table: str = "sales", numeric: list[str] | None = None,
                     categorical: list[str] | None = None, num_trees: int = 100,
-                    max_depth: int = 30) -> DataFrame:
+                    max_depth: int = 30, exploitation: str | None = None,
+                    location: str | None = None) -> DataFrame:
     """P8 on the published table: ``price_model.train`` (clean, split, fit,
     evaluate, store).
 
@@ -101,7 +103,7 @@ def train_published(spark: SparkSession, model_root: str, database: str = "predi
     feature is dropped before training)."""
     numeric = numeric if numeric is not None else price_model.NUMERIC
     categorical = categorical if categorical is not None else price_model.CATEGORICAL
-    sales = published_sales(spark, database, table)
+    sales = published_sales(spark, database, table, exploitation, location)
     return price_model.train(spark, sales, "propertyCode", numeric=numeric,
                              categorical=categorical, model_root=model_root,
                              num_trees=num_trees, max_depth=max_depth)

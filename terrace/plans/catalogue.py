@@ -26,7 +26,7 @@ from ..session import scratch_path
 from ..sources import files, ledger
 from ..sources.sinks import new_version, publish, write_refresh
 from . import curate, landing, price_model, standardise, standins
-from .extract import publish_tracked
+from .extract import publish_tracked, published
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -444,6 +444,18 @@ def gold_sales(spark: SparkSession, sf: str) -> DataFrame:
     return _sales(spark, sf)
 
 
+def published_scan(spark: SparkSession, sf: str) -> DataFrame:
+    """The wide table is published, its catalog entry is lost (as in a
+    process with another catalog), and the table is read as published."""
+    root = scratch_path(spark, "published")
+    out, location = new_version(f"{root}/sales"), f"{root}/predictive.db"
+    table = f"sales_{root.rsplit('-', 1)[-1]}"
+    write_refresh(_sales(spark, sf), out)
+    publish_tracked(spark, table, out, "predictive", f"{root}/_publish_status", location)
+    spark.sql(f"DROP TABLE `predictive`.`{table}`")
+    return published(spark, "predictive", table, root, location)
+
+
 # --- model steps (P8) ----------------------------------------------------------------
 
 def feature_frame(spark: SparkSession, sf: str) -> DataFrame:
@@ -584,6 +596,7 @@ QUERIES: dict[str, Query] = {
     "gold_real_estate": gold_real_estate,
     "gold_sale_prices": gold_sale_prices,
     "gold_sales": gold_sales,
+    "published_scan": published_scan,
     "clean_features": clean_features,
     "split_by_hash": split_by_hash,
     "impute_median_mode": impute_median_mode,

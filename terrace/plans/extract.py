@@ -89,6 +89,19 @@ def publish_tracked(spark: SparkSession, table: str, out: str, database: str,
     return True
 
 
+def published(spark: SparkSession, database: str, table: str, exploitation: str | None = None,
+              location: str | None = None) -> DataFrame:
+    """A published table, read through the catalog. A catalog that lacks it
+    (another process, a session without a persistent metastore) gets it again
+    from the status log of ``exploitation``: the folder published last."""
+    if exploitation and not spark.catalog.tableExists(f"{database}.{table}"):
+        out = ledger.last_published(spark, f"{exploitation}/_publish_status", table)
+        if out is None:
+            raise LookupError(f"{table} has not been published under {exploitation}")
+        publish(spark, out, database, table, location)
+    return spark.table(f"`{database}`.`{table}`")
+
+
 def run(spark: SparkSession, formatted: str, exploitation: str, tables: list[str] | None = None,
         location: str | None = None) -> dict[str, str]:
     """Extract and publish; a fresh table is skipped, unless its last output has

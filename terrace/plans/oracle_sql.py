@@ -387,5 +387,8 @@ SELECT (SELECT count(*) FROM typed) AS entries, count(*) FILTER (WHERE bucket <>
        true AS rmse_ge_mae, true AS reloaded_same
 FROM complete"""
 
+# A published table is read back as it was written.
+ORACLE["published_scan"] = GOLD["gold_sales"]
+
 # The streamed P1 run must give exactly the batch P1 result.
 ORACLE["stream_listings"] = ORACLE["reconcile_listings"]

@@ -162,5 +162,15 @@ def last_status(spark: SparkSession, path: str) -> DataFrame:
     return log.groupBy("pipe").agg(z.alias("z")).select("pipe", "z.*")
 
 
+def last_published(spark: SparkSession, path: str, pipe: str) -> str | None:
+    """Output folder of the latest successful publish of ``pipe``."""
+    try:
+        log = spark.read.schema(schemas.PUBLISH_STATUS).parquet(path)
+    except AnalysisException:
+        return None
+    done = log.where((F.col("pipe") == pipe) & (F.col("status") == SUCCESS))
+    return done.agg(F.max_by("output", "ts").alias("output")).first()["output"]
+
+
 def retry_candidates(spark: SparkSession, path: str) -> DataFrame:
     return last_status(spark, path).where(F.col("status") == FAILED)

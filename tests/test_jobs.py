@@ -38,6 +38,13 @@ def test_zone_jobs_end_to_end(spark):
     assert _same_rows(spark.table("descriptive.real_estate"),
                       catalogue.gold_real_estate(spark, SF_SMALL))
 
+    # a catalog that lost the table gets it again from the status log
+    before = spark.table("predictive.sales").count()
+    spark.sql("DROP TABLE predictive.sales")
+    assert jobs.published_sales(spark, exploitation=exploitation, location=loc).count() == before
+    with pytest.raises(LookupError):
+        jobs.published_sales(spark, table="unknown", exploitation=exploitation)
+
     model_root = scratch_path(spark, "model")
     train = lambda: jobs.train_published(
         spark, model_root, numeric=["population", "RFD", "move_in", "move_out"],
