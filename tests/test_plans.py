@@ -1,8 +1,11 @@
 """Plan-shape and schema tests."""
 
+import re
+
 import pytest
 
 from terrace import schemas
+from terrace.operators.aggregates import keep_first, latest_per_key
 from terrace.plans import catalogue, curate, standins
 
 from .conftest import SF_SMALL
@@ -81,6 +84,17 @@ def test_fact_rows_are_hash_aggregated_not_sorted(spark):
     assert _deepest_aggregate(standins.income(spark, SF_SMALL)).endswith("HashAggregate")
 
 
+def test_row_choices_aggregate_before_the_shuffle(spark):
+    """E4 and E5 carry whole rows, so they sort and aggregate; the sorted
+    partial aggregate stands on both sides of the one shuffle, so that a hot
+    key sends a row per map task."""
+    line = standins.table(spark, SF_SMALL, "lineitem")
+    for df in (latest_per_key(line, ["l_orderkey"], "l_shipdate"), keep_first(line, ["l_orderkey", "l_linenumber"])):
+        text = plan_text(df)
+        nodes = re.findall(r"\b(SortAggregate|Exchange|Window)\b", text)
+        assert nodes == ["SortAggregate", "Exchange", "SortAggregate"], text
+
+
 @pytest.mark.parametrize("name", ["gold_sales", "gold_real_estate"])
 def test_shuffle_fallback_gives_the_same_rows(spark, name):
     """Over the broadcast bound a side is joined by shuffle instead; the
