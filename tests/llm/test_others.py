@@ -202,3 +202,26 @@ def test_pii_of_overlapping_formats_in_a_long_text():
     many, all_kinds = pii.pseudonymise_text(one * 5000, key)
     assert many == single * 5000 and len(all_kinds) == 20_000
     assert pii.pseudonymise_text(many, key, back=True)[0] == one * 5000
+
+
+CARD = "4465758382889437"
+
+
+@pytest.mark.parametrize("text", [
+    f"{CARD} {CARD}", f"{CARD}-{CARD} {CARD}", "4111 1111 1111 1111 12/27", "Qty 2 4111 1111 1111 1111", "4111111111111111 123",
+    "4111 1111 1111 1111 4111 1111 1111 1111", "2024-02-29 4111-1111-1111-1111 123-45-6789", "3782 822463 10005 3782 822463 10005"])
+def test_cards_beside_other_numbers(text):
+    """Every card is found, whatever digits stand before or after it."""
+    new, kinds = pii.pseudonymise_text(text, KEY)
+    shown = [c for c in (CARD, "4111 1111 1111 1111", "4111-1111-1111-1111", "4111111111111111", "3782 822463 10005") if c in text]
+    assert shown and kinds.count("card") == sum(text.count(c) for c in shown) and not any(c in new for c in shown)
+    assert [len(w) for w in new.split()] == [len(w) for w in text.split()]
+    assert pii.pseudonymise_text(new, KEY, back=True)[0] == text
+
+
+def test_cards_in_groups_of_no_usual_layout_and_in_long_runs():
+    new, kinds = pii.pseudonymise_text("411111 1111111111 99999", KEY)
+    assert kinds == ["card"] and "1111111111" not in new and new.endswith(" 99999")
+    rows = f"{CARD} " * 20_000
+    assert len(pii.pseudonymise_text(rows, KEY)[1]) == 20_000
+    assert pii.pseudonymise_text("0 " * 100_000, KEY)[1] == []
