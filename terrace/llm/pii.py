@@ -187,13 +187,20 @@ def _classes(text: str, perm: Permutation, domain: str) -> str | None:
     return "".join(reversed(out))
 
 
+def _iban_value(text: str) -> int:
+    return int("".join(str(int(c, 36)) for c in text))
+
+
+def valid_iban(plain: str) -> bool:
+    return 15 <= len(plain) <= 34 and _iban_value(plain[4:] + plain[:4]) % 97 == 1
+
+
 def iban(text: str, perm: Permutation) -> str | None:
     plain = text.replace(" ", "")
-    value = lambda s: int("".join(str(int(c, 36)) for c in s))
-    if not 15 <= len(plain) <= 34 or value(plain[4:] + plain[:4]) % 97 != 1:
+    if not valid_iban(plain):
         return None
     body = _classes(plain[4:], perm, "iban" + plain[:2])
-    check = f"{98 - value(body + plain[:2] + '00') % 97:02d}"
+    check = f"{98 - _iban_value(body + plain[:2] + '00') % 97:02d}"
     it = iter(plain[:2] + check + body)
     return "".join(c if c == " " else next(it) for c in text)
 
@@ -289,13 +296,48 @@ def _card_at(text: str, groups: list[tuple[int, int]], i: int, usual: bool) -> i
     return 0
 
 
+# Length of an IBAN by country, as registered.
+IBAN_LENGTHS = {code: n for n, codes in {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+    25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV",
+    29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU"}.items() for code in codes.split()}
+IBAN_HEAD = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}")
+IBAN_GROUP = re.compile(r" ?([A-Z0-9]{1,4})")
+IBAN_END = re.compile(r"(?![A-Za-z0-9])")
+
+
+def iban_spans(text: str, free: Free) -> Iterator[tuple[int, int]]:
+    """Valid numbers in groups of four and a shorter last one, each ending
+    before a character that is no letter or digit: the country's length first,
+    then any from long to short, so that a word that follows is left out."""
+    done = 0
+    for m in IBAN_HEAD.finditer(text):
+        a = m.start()
+        if a < done:
+            continue
+        ends, at, n = [], m.end(), 4
+        while n < 34 and (g := IBAN_GROUP.match(text, at)):
+            at, n = g.end(), n + len(g[1])
+            if 15 <= n <= 34 and IBAN_END.match(text, at):
+                ends.append((n, at))
+            if len(g[1]) < 4:
+                break
+        usual = IBAN_LENGTHS.get(text[a:a + 2])
+        for n, b in sorted(ends, key=lambda e: (e[0] != usual, -e[0])):
+            if free(a, b) and valid_iban(text[a:b].replace(" ", "")):
+                yield a, b
+                done = b
+                break
+
+
 # In order of precedence where matches overlap. Patterns are bounded or start
 # only at the start of a run, so that matching stays linear in long texts.
 FORMATS: tuple[tuple[str, Callable, Callable], ...] = (
     ("email", by_pattern(r"(?<![\w.%+\-])[\w%+][\w.%+\-]{0,255}@[A-Za-z0-9\-]{1,63}(?:\.[A-Za-z0-9\-]{1,63}){1,8}(?<!-)"), email),
     ("secret", by_pattern(r"(?i:\b(?:token|secret|passwd|password|api[_\-]?key|access[_\-]?key)[\"']?[ ]{0,4}[=:][ ]{0,4}[\"']?)"
                           r"(?P<value>[A-Za-z0-9_\-/+]{16,512})"), secret),
-    ("iban", by_pattern(r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"), iban),
+    ("iban", iban_spans, iban),
     ("date", by_pattern(r"(?<![\d./\-])(?:\d{4}([-/.])\d{1,2}\1\d{1,2}|\d{1,2}([-/.])\d{1,2}\2\d{4})(?![\d]|[./\-]\d)"), date),
     ("ssn", by_pattern(r"(?<![\d\-])\d{3}-\d{2}-\d{4}(?![\d\-])"), ssn),
     ("ip", by_pattern(r"(?<![\d.])(?:\d{1,3}\.){3}\d{1,3}(?!\d|\.\d)"), ip),

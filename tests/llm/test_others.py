@@ -225,3 +225,14 @@ def test_cards_in_groups_of_no_usual_layout_and_in_long_runs():
     rows = f"{CARD} " * 20_000
     assert len(pii.pseudonymise_text(rows, KEY)[1]) == 20_000
     assert pii.pseudonymise_text("0 " * 100_000, KEY)[1] == []
+
+
+@pytest.mark.parametrize("value", ["ES91 2100 0418 4502 0005 1332", "ES9121000418450200051332", "BE68 5390 0754 7034",
+                                   "AT611904300234573201", "GB82 WEST 1234 5698 7654 32"])
+@pytest.mark.parametrize("around", ["{} EUR", "{} EUR 500", "to {} AND 12", "REF AB12 {} X", "{} {}", "{} USD 4111 1111 1111 1111"])
+def test_ibans_beside_upper_case_words_and_numbers(value, around):
+    text = around.format(value, value)
+    new, kinds = pii.pseudonymise_text(text, KEY)
+    assert kinds.count("iban") == around.count("{}") and value not in new
+    assert kinds.count("card") == new.count("USD") and "1111 1111" not in new
+    assert new[:2] == text[:2] and pii.pseudonymise_text(new, KEY, back=True)[0] == text
