@@ -1,9 +1,9 @@
 """Benchmark decontamination by SimHash windows of an item's size.
 
 1. *Windows.* A window as long as an item can only be similar to it if it shares
-   a word shingle. All shingle hashes of all texts are joined with those of the
-   items; every hit anchors the window that puts the shared shingle at the
-   same place as in the item. No other window can reach any similarity.
+   enough word shingles, in whatever order. All shingle hashes of all texts are
+   joined with those of the items; of every text and item, all item-sized
+   windows that hold as many hits as the threshold needs are looked at.
 2. *Fingerprints.* Window and item get a 64-bit SimHash of their shingles.
    The 64 bits are cut into eight blocks: fingerprints within RADIUS = 23
    bits agree to within two bits in some block (eight blocks with three
@@ -78,12 +78,47 @@ def _items(items: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return out
 
 
+def _starts(hits: DataFrame, threshold: float) -> DataFrame:
+    """(text_key, item_id, k, n_words, n_text, s): the starts of all item-sized
+    windows that can reach the threshold; before 0 or past the last whole
+    window they are cut short by the text's ends.
+
+    Of N shingles, a whole window needs 2 t N / (1 + t) hits and one cut short
+    t N. A window of c hits whose first is the i-th starts after hit i - 1 and
+    no later than hit i, and reaches hit i + c - 1: each is made once."""
+    n = F.col("n_words") - F.col("k") + 1
+
+    def need(share):
+        return F.greatest(F.lit(1), F.ceil(n * F.lit(share) - F.lit(1e-9)).cast("int"))
+
+    keys = ["text_key", "item_id", "k", "n_words", "n_text"]
+    rows = (hits.groupBy(*keys).agg(F.sort_array(F.collect_set("pos")).alias("hit"))
+                .withColumn("whole", need(2 * threshold / (1 + threshold))).withColumn("short", need(threshold))
+                .where(F.size("hit") >= F.col("short")))
+    rows = cut(rows.withColumn("before", F.concat(F.array(F.lit(-(1 << 30))), F.col("hit"))), "decontaminate-places")
+    last = F.col("n_text") - F.col("n_words")
+
+    def part(c, low, high):
+        many = F.greatest(F.lit(0), F.size("hit") - c + 1)
+        spans = F.arrays_zip(F.slice("hit", F.lit(1), many).alias("i"), F.slice("hit", c, many).alias("j"),
+                             F.slice("before", F.lit(1), many).alias("h"))
+        each = rows.select(*keys, F.explode(spans).alias("x"))
+        each = each.select(*keys, F.greatest(F.col("x.h") + 1, F.col("x.j") - n + 1, low).alias("lo"),
+                           F.least(F.col("x.i"), high).alias("hi"))
+        return each.where("lo <= hi").select(*keys, F.explode(F.sequence("lo", "hi")).alias("s"))
+
+    none = F.lit(1 << 30)
+    return (part(F.col("whole"), F.lit(0), last).unionByName(part(F.col("short"), F.lit(-(1 << 30)), F.lit(-1)))
+            .unionByName(part(F.col("short"), F.greatest(F.lit(0), last + 1), none)))
+
+
 def matches(docs: DataFrame, items: DataFrame, threshold: float = SIMILARITY, id_col: str = "doc_id",
             text_col: str = "text", item_id_col: str = "item_id", item_text_col: str = "text",
             keep_key: bool = False) -> DataFrame:
     """One row per text and item it holds to ``threshold`` or more: doc_id,
     item_id, similarity, bits (fingerprint distance), start_word (of the most
-    similar window, the first of equals) and n_words (of the window).
+    similar window; of equals one with a shingle at the item's place goes first,
+    then the first) and n_words (of the window).
 
     Null and empty texts hold nothing; an item of fewer than five words is
     one shingle; an item_id with several texts counts each; rows repeating a
@@ -96,29 +131,34 @@ def matches(docs: DataFrame, items: DataFrame, threshold: float = SIMILARITY, id
     text = docs.select(column(docs, id_col).alias("doc_id"), column(docs, text_col).alias("text"))
     text = text.withColumn("text_key", F.xxhash64("text"))
     split = text.where(F.col("text").isNotNull()).select("text_key", words(F.col("text")).alias("w"))
+    sized = split.withColumn("n_text", F.size("w"))
 
     # posexplode_outer: for posexplode the optimiser would add a filter on the
     # array's size and compute all grams again in it. The join drops the nulls.
-    anchors = None
+    hits = None
     for k in ks:
         own = ready.where(F.col("k") == k).select("item_id", "n_words", F.posexplode("grams").alias("at", "gram"))
         side = checked_broadcast(cut(own, "decontaminate-shingles"), name="item shingles", persist=False)
-        grams = with_grams(split, k, "g").select("text_key", F.posexplode_outer("g").alias("pos", "gram"))
-        hits = grams.join(side, "gram").select(
-            "text_key", "item_id", "n_words", F.lit(k).alias("k"), (F.col("pos") - F.col("at")).alias("start"))
-        anchors = hits if anchors is None else anchors.unionByName(hits)
-    if anchors is None:
+        grams = with_grams(sized, k, "g").select("text_key", "n_text", F.posexplode_outer("g").alias("pos", "gram"))
+        found = grams.join(side, "gram").select(
+            "text_key", "item_id", "n_words", F.lit(k).alias("k"), "n_text", "pos", (F.col("pos") - F.col("at")).alias("s"))
+        hits = found if hits is None else hits.unionByName(found)
+    if hits is None:
         return _result(docs, None, id_col, keep_key)
-    anchors = cut(anchors.distinct(), "decontaminate-anchors")
+    hits = cut(hits.distinct(), "decontaminate-hits")
+    anchors = hits.select("text_key", "item_id", "k", "n_words", "s", F.lit(1).alias("anchored")).distinct()
+    starts = cut(_starts(hits, threshold).join(anchors, ["text_key", "item_id", "k", "n_words", "s"], "left"),
+                 "decontaminate-starts")
 
-    some = split.join(anchors.select("text_key").distinct(), "text_key", "left_semi")
+    some = split.join(starts.select("text_key").distinct(), "text_key", "left_semi")
     texts = some.groupBy("text_key").agg(F.first("w").alias("w"))
-    first = F.greatest(F.lit(0), F.col("start"))
-    windows = (anchors.join(texts, "text_key")
-                      .withColumn("win", F.slice("w", first + 1, F.col("start") + F.col("n_words") - first))
-                      .select("text_key", "item_id", "k", first.alias("start"), F.size("win").alias("n_words"), "win"))
+    first = F.greatest(F.lit(0), F.col("s"))
+    places = (starts.select("text_key", "item_id", "k", first.alias("start"), F.coalesce("anchored", F.lit(0)).alias("anchored"),
+                            (F.least(F.col("n_text"), F.col("s") + F.col("n_words")) - first).alias("n_words"))
+                    .groupBy("text_key", "item_id", "k", "start", "n_words").agg(F.max("anchored").alias("anchored")))
+    windows = places.join(texts, "text_key").withColumn("win", F.slice("w", F.col("start") + 1, F.col("n_words"))).drop("w")
     parts = [with_grams(windows.where((F.col("k") == k) & (F.size("win") >= k)), k, "grams", "win").select(
-        "text_key", "item_id", "start", "n_words", "grams") for k in ks]
+        "text_key", "item_id", "start", "n_words", "anchored", "grams") for k in ks]
     grams = parts[0]
     for x in parts[1:]:
         grams = grams.unionByName(x)
@@ -140,13 +180,13 @@ def matches(docs: DataFrame, items: DataFrame, threshold: float = SIMILARITY, id
                   .withColumn("bits", F.bit_count(F.col("mark").bitwiseXOR(F.col("item_mark"))))
                   .where(F.col("bits") <= RADIUS)
                   .select("text_key", "item_id", "start", "n_words", "mark", "item_mark", "bits").distinct())
-    exact = (near.join(marked.select("text_key", "item_id", "start", "n_words", "grams"),
+    exact = (near.join(marked.select("text_key", "item_id", "start", "n_words", "anchored", "grams"),
                        ["text_key", "item_id", "start", "n_words"])
                  .join(item_marks, ["item_id", "item_mark"])
                  .withColumn("similarity", similarity(F.col("grams"), F.col("item_grams")))
                  .where(F.col("similarity") >= threshold))
     best = exact.groupBy("text_key", "item_id").agg(F.max(F.struct(
-        "similarity", (-F.col("start")).alias("s"), "n_words", (-F.col("bits")).alias("b"))).alias("m"))
+        "similarity", "anchored", (-F.col("start")).alias("s"), "n_words", (-F.col("bits")).alias("b"))).alias("m"))
     found = best.select("text_key", "item_id", F.col("m.similarity").alias("similarity"), (-F.col("m.b")).alias("bits"),
                         (-F.col("m.s")).cast("long").alias("start_word"), F.col("m.n_words").cast("long").alias("n_words"))
     return _result(text, cut(found, "decontaminate-matches"), "doc_id", keep_key)

@@ -144,3 +144,25 @@ def test_license_texts_are_labelled(spark, i):
 
 def test_license_scan_of_empty_table(spark):
     assert license_scan.report(frame(spark, [])).count() == 0
+
+
+def test_decontamination_of_reordered_items(spark):
+    """Parts of an item in another order: no shingle stands at its place in the most similar window."""
+    rng = random.Random(21)
+    vocab = ["".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(400)]
+    prose = lambda n: [rng.choice(vocab) for _ in range(n)]
+    items, rows = [], []
+    for i in range(8):
+        passage, question = prose(80), prose(20)
+        items.append((i, " ".join(passage + question)))
+        moved = question + passage
+        for j, (a, z) in enumerate([(prose(30), prose(30)), (prose(3), []), ([], prose(40)), ([], []), (prose(50), prose(1))]):
+            rows.append((10 * i + j, " ".join(a + moved + z)))
+        rows.append((10 * i + 8, " ".join(moved[2:-3])))
+        rows.append((10 * i + 9, " ".join(prose(20) + moved[:50] + prose(40) + moved[50:])))
+    want = brute_items(rows, items)
+    assert len(want) == 48
+    df, bench = frame(spark, rows), spark.createDataFrame(items, ITEMS)
+    got = decontaminate.matches(df, bench).collect()
+    assert sorted((r.doc_id, r.item_id, round(r.similarity, 12)) for r in got) == want
+    assert sorted(r.doc_id for r in decontaminate.clean(df, bench).collect()) == [10 * i + 9 for i in range(8)]
