@@ -6,14 +6,15 @@ position t votes for the diagonal p - t, on which the whole template would
 start. Votes are added up per (text, template, diagonal), neighbouring
 diagonals (words inserted or left out) merged into spans, and each span
 verified on the words themselves: a phrase must stand there word for word, of
-a longer template COVERAGE of its k-grams must.
+a longer template COVERAGE of its k-grams must, and the words that tell
+neighbouring licenses (GPL, LGPL, AGPL) apart must be its own.
 
 Everything is DataFrame functions. Equal texts are scanned once.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from terrace.operators.joins import checked_broadcast
@@ -25,6 +26,11 @@ PHRASE_K, TEXT_K = 2, 4
 COVERAGE = 0.6               # share of a template's k-grams that a span must hold
 DRIFT = 8                    # diagonals this near belong to one span
 
+# The GNU notices differ in these words only, far less than COVERAGE asks for.
+OTHER_GNU = r" (lesser|affero|lgpl|agpl|library general) "
+PLAIN_GPL = r"(?<! lesser| library| affero) general public | gpl "
+LESSER_GPL = r" (lesser|lgpl|library general) "
+
 # The phrases of the base report and their labels.
 PHRASES = (("mit license", "mit"), ("apache license", "apache"), ("general public license", "gpl"))
 # Sentences of public licenses and notices, and their labels.
@@ -72,6 +78,14 @@ def _literal(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
+def _own_words(label: Column, win: Column) -> Column:
+    """False for a span of the GPL's template that names only another GNU
+    license, and for one of the LGPL's that does not name the LGPL."""
+    text = F.concat(F.lit(" "), F.array_join(win, " "), F.lit(" "))
+    return (F.when(label == "gpl", ~text.rlike(OTHER_GNU) | text.rlike(PLAIN_GPL))
+             .when(label == "lgpl", text.rlike(LESSER_GPL)).otherwise(F.lit(True)))
+
+
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", phrases=PHRASES, texts=TEXTS) -> DataFrame:
     """One row per verified span: text_key (hash of the text), template, label,
     base, start (first word), n_words (of the span) and coverage (0 to 1)."""
@@ -120,6 +134,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", phrase
     shared = F.size(F.array_intersect("a", "b")) / F.size(F.array_distinct("b"))
     coverage = F.when(F.col("k") == PHRASE_K, (F.col("win") == F.col("w")).cast("double")).otherwise(shared.cast("double"))
     return (held.withColumn("coverage", coverage).where(F.col("coverage") >= COVERAGE)
+                .where((F.col("k") == PHRASE_K) | _own_words(F.col("label"), F.col("win")))
                 .select("text_key", "template", "label", "base", "start", "n_words", "coverage"))
 
 

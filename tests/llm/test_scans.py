@@ -166,3 +166,24 @@ def test_decontamination_of_reordered_items(spark):
     got = decontaminate.matches(df, bench).collect()
     assert sorted((r.doc_id, r.item_id, round(r.similarity, 12)) for r in got) == want
     assert sorted(r.doc_id for r in decontaminate.clean(df, bench).collect()) == [10 * i + 9 for i in range(8)]
+
+
+def test_neighbouring_gnu_notices_are_told_apart(spark):
+    """The base phrase labels each of them gpl, so the long templates are looked at."""
+    notice = ("This program is free software: you can redistribute it and/or modify it under the terms of the {} as "
+              "published by the Free Software Foundation, either version 3 of the License, or any later version.")
+    gpl, lgpl = "GNU General Public License", "GNU Lesser General Public License"
+    rows = [(1, notice.format(gpl)), (2, notice.format(lgpl)), (3, notice.format("GNU Affero General Public License")),
+            (4, notice.format("GNU Library General Public License")), (5, notice.format(gpl) + " word" * 40 + " " + notice.format(lgpl)),
+            (6, notice.format("GNU GPL")), (7, notice.format(f"{gpl} or the {lgpl}"))]
+    rows += [(100 + i, text) for i, (_, text) in enumerate(license_scan.TEXTS)]
+    df = frame(spark, rows)
+    keys = {r.k: r.doc_id for r in df.selectExpr("xxhash64(text) AS k", "doc_id").collect()}
+    got = {}
+    for r in license_scan.scan(df).where("NOT base").collect():
+        got.setdefault(keys[r.text_key], set()).add(r.label)
+    assert [got.get(i, set()) for i in range(1, 8)] == [
+        {"gpl"}, {"lgpl"}, set(), {"lgpl"}, {"gpl", "lgpl"}, {"gpl"}, {"gpl", "lgpl"}]
+    assert all(got[100 + i] == {label} for i, (label, _) in enumerate(license_scan.TEXTS))
+    labels = {r.doc_id: r.labels for r in license_scan.report(df).collect()}
+    assert labels[1] == "gpl" and labels[2] == "gpl,lgpl" and labels[3] == "gpl"
