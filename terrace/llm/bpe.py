@@ -8,7 +8,10 @@ split pattern. Each distinct word is encoded once per batch:
    across any boundary between adjacent tokens. Whether one does depends only
    on the two tokens, so all distinct adjacent pairs are tested together, as
    arrays.
-3. *Mend*: words with a failing pair go through exact merging.
+3. *Mend*: where a pair fails, the bytes of its two tokens are merged exactly;
+   the pairs at the borders of what comes out are tested again, and while one
+   of them fails its token is taken into the merge too. A sequence in which
+   every adjacent pair holds is the BPE result, so the rest of the word stays.
 
 When a merge fires. A token was built by a chain of merges; its right spine
 is the token, its right half, that half's right half, and so on, down to a
@@ -28,7 +31,10 @@ import hashlib
 import heapq
 import json
 from dataclasses import dataclass, field
+from itertools import chain
+from struct import pack
 
+import ahocorasick
 import numpy as np
 import pandas as pd
 import regex
@@ -41,8 +47,11 @@ from .shared import column, free_name, small_batches
 # Fixed value: the public split pattern of byte-level BPE vocabularies.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 NEVER = 1 << 40                        # a rank later than any merge
-CACHE_WORDS = 100_000                  # distinct words kept per Python worker
+CACHE_WORDS = 60_000                   # distinct words in each of two generations per Python worker
 CACHE_PAIRS = 150_000                  # verified pairs kept per Python worker
+CACHE_SPANS = 60_000                   # mended byte spans kept per Python worker
+SEPARATOR = b"\xff"                    # a byte that no UTF-8 text holds
+SPAN_BYTES = 24                        # longer spans are not kept
 LONG_MERGE = 100                       # bytes; longer words are merged with a heap
 LONG_WORD = 400                        # bytes; longer words skip the cache
 
@@ -56,11 +65,35 @@ def byte_symbols() -> dict[str, int]:
     return {chr(b): b for b in own} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
+def check_supported(spec: dict) -> None:
+    """Refuse a tokenizer file whose settings would change the ids in a way
+    that is not built here (ValueError naming the setting)."""
+    model, pre = spec["model"], spec.get("pre_tokenizer") or {}
+    flags = ("single_word", "lstrip", "rstrip", "normalized")
+    unsupported = [name for name, found in {
+        "normalizer": spec.get("normalizer"),
+        "model.type": model.get("type", "BPE") != "BPE",
+        "model.dropout": model.get("dropout"),
+        "model.unk_token": model.get("unk_token"),
+        "model.continuing_subword_prefix": model.get("continuing_subword_prefix"),
+        "model.end_of_word_suffix": model.get("end_of_word_suffix"),
+        "model.byte_fallback": model.get("byte_fallback"),
+        "model.ignore_merges": model.get("ignore_merges"),
+        "pre_tokenizer.type": pre.get("type") != "ByteLevel",
+        "pre_tokenizer.add_prefix_space": pre.get("add_prefix_space"),
+        "pre_tokenizer.use_regex": not pre.get("use_regex", True),
+        "added_tokens": any(t.get(f) for t in spec.get("added_tokens", []) for f in flags),
+    }.items() if found]
+    if unsupported:
+        raise ValueError("tokenizer settings that are not supported: " + ", ".join(unsupported))
+
+
 def read_vocabulary(path: str) -> dict:
     """The parts of a tokenizer file that encoding needs, as plain data that
     can be broadcast (its size is the vocabulary's, not the corpus')."""
     with open(path, encoding="utf-8") as f:
         spec = json.load(f)
+    check_supported(spec)
     symbols = byte_symbols()
     raw = lambda s: bytes(symbols[c] for c in s)
     merges = [m.split(" ") if isinstance(m, str) else m for m in spec["model"]["merges"]]
@@ -75,16 +108,22 @@ class Encoder:
     vocab: dict[bytes, int]
     special: dict[str, int]
     ranks: dict[tuple[int, int], tuple[int, int]]       # pair of ids: (rank, merged id)
-    longest: int
-    stable: dict[bytes, int]                            # tokens that may be proposed
+    matcher: ahocorasick.Automaton = field(repr=False)  # tokens that may be proposed
     pieces: list                                        # id to bytes
     right: np.ndarray = field(repr=False)               # spine piece ids, -1 beyond the end
     left: np.ndarray = field(repr=False)
     birth: np.ndarray = field(repr=False)               # rank of the merge that makes a token
     pair_keys: np.ndarray = field(repr=False)
     pair_ranks: np.ndarray = field(repr=False)
+    right_spines: list = field(repr=False)              # the same spines as tuples
+    left_spines: list = field(repr=False)
+    births: list = field(repr=False)
+    fixed: dict[str, bytes] = field(default_factory=dict, repr=False)     # special tokens
     words: dict[str, bytes] = field(default_factory=dict, repr=False)
+    older: dict[str, bytes] = field(default_factory=dict, repr=False)     # the generation before
     verdicts: dict[int, bool] = field(default_factory=dict, repr=False)
+    spans: dict[bytes, list] = field(default_factory=dict, repr=False)
+    merged_bytes: int = 0                               # bytes that went through exact merging
 
     # ---- exact merging -----------------------------------------------------
 
@@ -132,15 +171,12 @@ class Encoder:
 
     # ---- speculation -------------------------------------------------------
 
-    def propose(self, word: bytes) -> list[int]:
-        stable, longest, n, out, at = self.stable, self.longest, len(word), [], 0
-        while at < n:
-            end = min(n, at + longest)
-            while word[at:end] not in stable:
-                end -= 1
-            out.append(stable[word[at:end]])
-            at = end
-        return out
+    def propose(self, words: list[bytes]) -> np.ndarray:
+        """Greedy longest match of all words, from the left: their token ids
+        one after another, -1 between words. Every byte is a token, so that
+        the longest matches that do not overlap are the greedy ones."""
+        text = SEPARATOR.join(words).decode("latin-1")
+        return np.fromiter((i for _, i in self.matcher.iter_long(text)), np.int64)
 
     # ---- verification ------------------------------------------------------
 
@@ -168,21 +204,94 @@ class Encoder:
                 out = np.where(fires, np.minimum(out, rank), out)
         return out
 
+    def holds(self, left: int, right: int) -> bool:
+        """Whether no merge crosses the boundary of one pair of tokens."""
+        known, key = self.verdicts, left * len(self.births) + right
+        verdict = known.get(key)
+        if verdict is None:
+            if len(known) > CACHE_PAIRS:
+                known.clear()
+            verdict = known[key] = self._holds(left, right)
+        return verdict
+
+    def _holds(self, left: int, right: int) -> bool:
+        births, ranks, rights = self.births, self.ranks, self.left_spines[right]
+        x_until = NEVER
+        for x in self.right_spines[left]:
+            y_until = NEVER
+            for y in rights:
+                merge = ranks.get((x, y))
+                if merge is not None and births[x] < merge[0] < x_until and births[y] < merge[0] <= y_until:
+                    return False
+                y_until = births[y]
+            x_until = births[x]
+        return True
+
+    # ---- mending -----------------------------------------------------------
+
+    def _span(self, span: bytes) -> list[int]:
+        ids = self.spans.get(span)
+        if ids is None:
+            self.merged_bytes += len(span)
+            ids = self.merge(span) if len(span) <= LONG_MERGE else self.merge_long(span)
+            if len(span) <= SPAN_BYTES:
+                if len(self.spans) > CACHE_SPANS:
+                    self.spans.clear()
+                self.spans[span] = ids
+        return ids
+
+    def mend(self, ids: list[int], failing: list[int]) -> list[int]:
+        """The BPE result of the bytes of ``ids``, where the pairs that start
+        at ``failing`` (ascending) do not hold and all others do. ``out`` is
+        always the result for the bytes before token ``at``."""
+        holds, pieces, out, at, widened = self.holds, self.pieces, [], 0, 0
+        for first in failing:
+            if first + 1 < at:
+                continue
+            if first >= at:
+                out += ids[at:first + 1]
+                at = first + 1
+            while at < len(ids):
+                token = ids[at]
+                at += 1
+                if holds(out[-1], token):
+                    out.append(token)
+                    break
+                span, part = pieces[token], None
+                while part is None or out and not holds(out[-1], part[0]):
+                    widened += 1
+                    if widened > len(ids) + 8:         # long chains: merge the whole word once
+                        return self._span(b"".join(pieces[i] for i in ids))
+                    span = pieces[out.pop()] + span
+                    part = self._span(span)
+                out += part
+        return out + ids[at:]
+
     # ---- words and texts ---------------------------------------------------
 
-    def encode_words(self, words: list[bytes]) -> list[list[int]]:
-        """Token ids of each word: speculate, verify all pairs, mend."""
-        found = [self.propose(w) for w in words]
-        size = len(self.birth)
-        lengths = np.fromiter(map(len, found), np.int64, len(found))
-        flat = np.fromiter((i for ids in found for i in ids), np.int64, int(lengths.sum()))
-        owner = np.repeat(np.arange(len(found)), lengths)
-        inner = np.flatnonzero(owner[1:] == owner[:-1])
-        keys, where = np.unique(flat[inner] * size + flat[inner + 1], return_inverse=True)
-        fine = self._verdicts(keys)
-        for w in np.unique(owner[inner[~fine[where]]]).tolist():
-            found[w] = self.merge(words[w]) if len(words[w]) <= LONG_MERGE else self.merge_long(words[w])
-        return found
+    def code_words(self, words: list[bytes]) -> list[bytes]:
+        """Token ids (little-endian unsigned 32-bit) of each word: speculate,
+        verify all pairs, mend."""
+        if not words:
+            return []
+        found, size = self.propose(words), len(self.birth)
+        ends = np.append(np.flatnonzero(found < 0), len(found))
+        starts = np.append(0, ends[:-1] + 1)
+        inner = np.flatnonzero((found[:-1] >= 0) & (found[1:] >= 0))
+        keys, where = np.unique(found[inner] * size + found[inner + 1], return_inverse=True)
+        bad = inner[~self._verdicts(keys)[where]]
+        owner = np.searchsorted(ends, bad)
+        coded = found.astype("<u4").tobytes()
+        out = [coded[a:b] for a, b in zip((4 * starts).tolist(), (4 * ends).tolist())]
+        first, last = starts[owner].tolist(), ends[owner].tolist()
+        group: list[int] = []
+        for i, (w, at) in enumerate(zip(owner.tolist(), bad.tolist())):
+            group.append(at - first[i])
+            if i + 1 == len(bad) or owner[i + 1] != w:
+                ids = self.mend(found[first[i]:last[i]].tolist(), group)
+                out[w] = pack(f"<{len(ids)}I", *ids)
+                group = []
+        return out
 
     def _verdicts(self, keys: np.ndarray) -> np.ndarray:
         known, size = self.verdicts, len(self.birth)
@@ -197,26 +306,37 @@ class Encoder:
         return np.array([known[k] for k in keys.tolist()], bool)
 
     def encode_batch(self, texts: list[str]) -> list[np.ndarray]:
-        """Token ids (unsigned 32-bit) of every text."""
+        """Token ids (unsigned 32-bit) of every text.
+
+        Words are kept in two generations: the younger takes every word used
+        since the last change; when it is full it becomes the older one, so
+        that words in use stay and the others go."""
         parts = [self._split(t) for t in texts]
-        cache = self.words
-        if len(cache) > CACHE_WORDS:
-            cache.clear()
-        new = list({w for ws in parts for w in ws} - cache.keys())
-        extra = {}
+        used = set().union(*parts)
+        young, older = self.words, self.older
+        look = dict(self.fixed)
+        new = []
+        for w in used:
+            b = young.get(w)
+            if b is None:
+                b = older.get(w)
+                if b is None:
+                    if w not in look:
+                        new.append(w)
+                    continue
+                young[w] = b
+            look[w] = b
         for a in range(0, len(new), CACHE_WORDS):
             some = new[a:a + CACHE_WORDS]
-            ids = self.encode_words([w.encode("utf-8") for w in some])
-            coded = {w: np.array(i, "<u4").tobytes() for w, i in zip(some, ids)}
-            extra.update(coded)
-        look = {**cache, **extra} if len(extra) < len(cache) else {**extra, **cache}
-        out = [np.frombuffer(b"".join(map(look.__getitem__, ws)), "<u4") for ws in parts]
-        for w, b in extra.items():
-            if len(cache) >= CACHE_WORDS:
+            look.update(zip(some, self.code_words([w.encode("utf-8") for w in some])))
+        for w in new:
+            if len(young) >= CACHE_WORDS:
                 break
             if len(w) <= LONG_WORD:
-                cache[w] = b
-        return out
+                young[w] = look[w]
+        if len(young) >= CACHE_WORDS:
+            self.words, self.older = {}, young
+        return [np.frombuffer(b"".join(map(look.__getitem__, ws)), "<u4") for ws in parts]
 
     def _split(self, text: str) -> list[str]:
         if not any(s in text for s in self.special):
@@ -227,7 +347,10 @@ class Encoder:
         return out
 
     def decode(self, ids: np.ndarray) -> str:
-        """Text of token ids; bytes that are no UTF-8 become U+FFFD."""
+        """Text of token ids; bytes that are no UTF-8 become U+FFFD. Ids outside
+        the vocabulary, negative ones among them, stand for no text."""
+        if len(ids) and (ids.min() < 0 or ids.max() >= len(self.pieces)):
+            ids = ids[(ids >= 0) & (ids < len(self.pieces))]
         return b"".join(map(self.pieces.__getitem__, ids.tolist())).decode("utf-8", "replace")
 
 
@@ -268,9 +391,11 @@ def build_encoder(data: dict) -> Encoder:
     for t, i in vocab.items():
         pieces[i] = t
     order = sorted((x * size + y, rank) for (x, y), (rank, _) in ranks.items())
-    enc = Encoder(vocab, special, ranks, max(map(len, vocab)), {}, pieces,
+    enc = Encoder(vocab, special, ranks, ahocorasick.Automaton(), pieces,
                   table(1), table(0), birth,
-                  np.array([k for k, _ in order], np.int64), np.array([r for _, r in order], np.int64))
+                  np.array([k for k, _ in order], np.int64), np.array([r for _, r in order], np.int64),
+                  [tuple(spine(i, 1)) for i in range(size)], [tuple(spine(i, 0)) for i in range(size)],
+                  birth.tolist())
     # A token may be proposed if it is a byte, or if its last merge joins two
     # such tokens and no other merge fires across that joint before.
     made = sorted(halves, key=lambda i: birth[i])
@@ -280,26 +405,17 @@ def build_encoder(data: dict) -> Encoder:
     for i, f in zip(made, first.tolist()):
         if f == birth[i] and halves[i][0] in good and halves[i][1] in good:
             good.add(i)
-    enc.stable.update({t: i for t, i in vocab.items() if i in good})
+    for t, i in vocab.items():
+        if i in good and SEPARATOR not in t:
+            enc.matcher.add_word(t.decode("latin-1"), i)
+    enc.matcher.add_word(SEPARATOR.decode("latin-1"), -1)
+    enc.matcher.make_automaton()
     for text, i in special.items():
         pieces[i] = text.encode("utf-8")
-        enc.words[text] = np.array([i], "<u4").tobytes()
-    enc.words = _Words(enc.words)
+        enc.fixed[text] = np.array([i], "<u4").tobytes()
     return enc
 
 
-class _Words(dict):
-    """Word cache whose ``clear`` keeps the special tokens."""
-
-    def __init__(self, special):
-        super().__init__(special)
-        self.special = dict(special)
-
-    def clear(self):
-        super().clear()
-        self.update(self.special)
-
-
 _ENCODERS: dict[int, Encoder] = {}
 
 
@@ -338,17 +454,26 @@ def encode(docs: DataFrame, vocabulary_path: str, text_col: str = "text", ids_co
     return docs.withColumn(ids_col, bpe_encode(column(docs, text_col)))
 
 
+def _whole(ids) -> np.ndarray:
+    """Ids as integers, nulls as -1 (Arrow hands over arrays with nulls as
+    floating point or as objects)."""
+    ids = np.asarray(ids)
+    if ids.dtype.kind == "i":
+        return ids.astype(np.int64)
+    return np.array([-1 if x is None or x != x else int(x) for x in ids.tolist()], np.int64)
+
+
 def decode(rows: DataFrame, vocabulary_path: str, ids_col: str = "ids", text_col: str = "decoded") -> DataFrame:
     """``rows`` with a column ``text_col``: the text of the ids (special tokens
-    included; null ids give null)."""
+    included). A null array gives null; null ids and ids outside the vocabulary
+    within an array stand for no text."""
     small_batches(rows.sparkSession)
     shared = _Shared(rows.sparkSession, read_vocabulary(vocabulary_path))
 
     @F.pandas_udf(T.StringType())
     def bpe_decode(ids: pd.Series) -> pd.Series:
         enc = _encoder(shared)
-        return pd.Series([None if i is None else enc.decode(np.asarray(i, np.int64)) for i in ids],
-                         dtype=object)
+        return pd.Series([None if i is None else enc.decode(_whole(i)) for i in ids], dtype=object)
 
     return rows.withColumn(text_col, bpe_decode(column(rows, ids_col)))
 
