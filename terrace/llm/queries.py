@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (bpe, chat_format, decontaminate, language_id, license_scan, pii, sharding, simhash,
-               substring_dedup, topk)
+from . import (bpe, chat_format, decontaminate, language_id, license_scan, merkle, pii, sharding, simhash,
+               spelling, substring_dedup, suffix_dedup, topk)
 
 SHARDS = [f"shard-{i:02d}" for i in range(64)]
 VOCABULARY = "byte_bpe_50k.json"
@@ -84,6 +84,38 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY))
 
 
+LEAF_FIELDS = ["doc_id", "source", "lang", "n_chars", "text"]
+
+
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, subroot, root and proof of every document, and the root that a
+    copy without line breaks leads to where 2 divides crc32 of the id."""
+    docs = table(spark, sf_dir, "documents")
+    copy = merkle.row_digest([F.replace(docs[f], F.lit("\n"), F.lit("")) if f == "text" else docs[f]
+                              for f in LEAF_FIELDS])
+    tampered = F.crc32(docs["doc_id"].cast("string")) % 2 == 0
+    rows = merkle.audit(merkle.manifest(docs, LEAF_FIELDS, F.when(tampered, copy)))
+    return rows.select(F.col("id").alias("doc_id"), "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
+WINDOW = 200
+
+
+def op12_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the bytes of repeated 200-byte strings."""
+    rows = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"), WINDOW)
+    return rows.select("doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).cast("long").alias("n_removed"),
+                       F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+SPELLING_SALT = 31
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Form and root of every word of the documents."""
+    return spelling.variants(table(spark, sf_dir, "documents"), SPELLING_SALT)
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_substring_dedup": op2_substring_dedup,
@@ -95,6 +127,9 @@ QUERIES = {
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
     "op9_license_scan": op9_license_scan,
     "op10_bpe": op10_bpe,
+    "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_suffix_dedup": op12_suffix_dedup,
+    "op13_spelling_variants": op13_spelling_variants,
 }
 
 _CONTROL = (r"([<\[]\\*)(\|im_start\|>|\|im_end\|>|\|endoftext\|>|s>|/s>|INST\]|/INST\]|<SYS>>|</SYS>>)")
@@ -162,6 +197,150 @@ SELECT doc_id, item_id, similarity, CAST(s AS BIGINT) AS start_word, CAST(m AS B
   SELECT *, row_number() OVER (PARTITION BY doc_id, item_id ORDER BY similarity DESC, s, m DESC) AS r
   FROM near WHERE similarity >= {decontaminate.SIMILARITY}) WHERE r = 1"""
 
+def _crc_table() -> list[int]:
+    """The byte table of CRC-32 (reflected polynomial 0xEDB88320), by its rule."""
+    out = []
+    for c in range(256):
+        for _ in range(8):
+            c = c >> 1 ^ (0xEDB88320 if c & 1 else 0)
+        out.append(c)
+    return out
+
+
+def _crc32_sql(text: str) -> str:
+    """Unsigned crc32 of a text's UTF-8 bytes; the table is ``crc.t``."""
+    bytes_ = (f"list_transform(range(0, octet_length(encode({text}))), "
+              f"lambda i: CAST('0x' || substr(hex(encode({text})), 2 * i + 1, 2) AS BIGINT))")
+    return (f"xor(list_reduce({bytes_}, lambda c, b: xor(crc.t[(xor(c, b) & 255) + 1], c >> 8), 4294967295), 4294967295)")
+
+
+_CRC = f"crc AS (SELECT CAST({_crc_table()} AS BIGINT[]) AS t)"
+
+
+def _leaf_sql(text: str) -> str:
+    field = "coalesce(octet_length(encode(CAST({0} AS VARCHAR))) || ':' || CAST({0} AS VARCHAR), '-')"
+    return "sha256(" + " || ".join(field.format(f) for f in ["doc_id", "source", "lang", "n_chars", text]) + ")"
+
+
+def _tree_sql(name: str, leaves: str) -> str:
+    """All nodes (level, g, pos, node, n: nodes of the level) above ``leaves``."""
+    return f"""
+{name} AS (
+  SELECT 0 AS level, g, pos, node, n FROM {leaves}
+  UNION ALL
+  SELECT level + 1, g, pos // 3, sha256(string_agg(node, '' ORDER BY pos)), (n + 2) // 3
+  FROM {name} WHERE n > 1 GROUP BY level, g, pos // 3, n)"""
+
+
+def _steps_sql(tree: str, leaves: str, at: str) -> str:
+    """Siblings to the left and right, by level, of every leaf (column ``at``)."""
+    return f"""
+  SELECT l.{at}, t.level,
+         coalesce(string_agg(t.node, '' ORDER BY t.pos) FILTER (WHERE t.pos < l.pos // CAST(pow(3, t.level) AS BIGINT)), '') AS lo,
+         coalesce(string_agg(t.node, '' ORDER BY t.pos) FILTER (WHERE t.pos > l.pos // CAST(pow(3, t.level) AS BIGINT)), '') AS hi
+  FROM {leaves} l JOIN {tree} t
+    ON t.g = l.g AND t.n > 1 AND t.pos // 3 = l.pos // CAST(pow(3, t.level + 1) AS BIGINT)
+  GROUP BY l.{at}, t.level"""
+
+
+MERKLE_SQL = f"""
+WITH RECURSIVE {_CRC},
+rows AS (
+  SELECT doc_id, source, {_leaf_sql("text")} AS leaf,
+         CASE WHEN {_crc32_sql("CAST(doc_id AS VARCHAR)")} % 2 = 0 THEN {_leaf_sql("replace(text, chr(10), '')")} END AS copy
+  FROM documents, crc),
+numbered AS (
+  SELECT *, row_number() OVER (ORDER BY doc_id) AS r,
+         dense_rank() OVER (ORDER BY source NULLS FIRST) AS g,
+         row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+         count(*) OVER (PARTITION BY source) AS n, leaf AS node FROM rows),
+{_tree_sql("tree", "numbered")},
+subroots AS (
+  SELECT g AS sg, 1 AS g, row_number() OVER (ORDER BY g) - 1 AS pos, count(*) OVER () AS n, node FROM tree WHERE n = 1),
+{_tree_sql("upper_tree", "subroots")},
+steps AS ({_steps_sql("tree", "numbered", "r")}),
+upper_steps AS ({_steps_sql("upper_tree", "subroots", "sg")}),
+height AS (SELECT g, max(level) AS h FROM tree GROUP BY g),
+path AS (
+  SELECT r, level, lo, hi FROM steps
+  UNION ALL
+  SELECT numbered.r, height.h + u.level, lo, hi
+  FROM upper_steps u JOIN numbered ON numbered.g = u.sg JOIN height ON height.g = u.sg),
+proofs AS (SELECT r, string_agg(lo || hi, '' ORDER BY level) AS proof, max(level) + 1 AS steps FROM path GROUP BY r),
+folded AS (
+  SELECT r, 0 AS level, coalesce(copy, leaf) AS node FROM numbered
+  UNION ALL
+  SELECT folded.r, folded.level + 1, sha256(lo || node || hi) FROM folded JOIN path USING (r, level)),
+root AS (SELECT node FROM upper_tree WHERE n = 1)
+SELECT doc_id, leaf, subroots.node AS subroot, root.node AS root, sha256(coalesce(proof, '')) AS proof_sha256,
+       folded.node AS folded_root, folded.node = root.node AS verified
+FROM numbered JOIN subroots ON subroots.sg = numbered.g LEFT JOIN proofs USING (r)
+JOIN folded ON folded.r = numbered.r AND folded.level = coalesce(proofs.steps, 0), root"""
+
+SUFFIX_SQL = f"""
+WITH texts AS (
+  SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+windows AS (
+  SELECT r, s, md5_number(substr(h, CAST(2 * s + 1 AS BIGINT), {2 * WINDOW})) AS w
+  FROM (SELECT r, h, unnest(range(0, length(h) // 2 - {WINDOW - 1})) AS s FROM texts)),
+often AS (SELECT w FROM windows GROUP BY w HAVING count(*) > 1),
+marked AS (
+  SELECT r, s, coalesce(s > lag(s) OVER (PARTITION BY r ORDER BY s) + {WINDOW}, true) AS fresh
+  FROM windows JOIN often USING (w)),
+runs AS (SELECT r, s, sum(CASE WHEN fresh THEN 1 ELSE 0 END) OVER (PARTITION BY r ORDER BY s) AS k FROM marked),
+spans AS (SELECT r, k, min(s) AS s, max(s) + {WINDOW} AS e FROM runs GROUP BY r, k),
+edges AS (
+  SELECT r, k, s, e, coalesce(lag(e) OVER (PARTITION BY r ORDER BY k), 0) AS kept_from FROM spans),
+cuts AS (
+  SELECT r, count(*) AS n_spans, sum(e - s) AS n_removed, max(e) AS last_end,
+         string_agg(substr(h, CAST(2 * kept_from + 1 AS BIGINT), CAST(2 * (s - kept_from) AS BIGINT)), '' ORDER BY k) AS kept
+  FROM edges JOIN texts USING (r) GROUP BY r)
+SELECT doc_id, CAST(length(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+       CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans,
+       sha256(unhex(coalesce(kept, '') || substr(h, CAST(2 * coalesce(last_end, 0) + 1 AS BIGINT)))) AS kept_sha256
+FROM texts LEFT JOIN cuts USING (r)"""
+
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+SPELLING_SQL = f"""
+WITH RECURSIVE {_CRC},
+runs AS (
+  SELECT doc_id, translate(run, '{_UPPER}', '{_LOWER}') AS run, count(*) AS c
+  FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')) AS run FROM documents)
+  WHERE length(run) >= {spelling.MIN_LENGTH} GROUP BY ALL),
+hashed AS (
+  SELECT run, c, {_crc32_sql("coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run")} AS h FROM runs, crc),
+words AS (
+  SELECT CASE WHEN h % {SPELLING_SALT} = 0
+              THEN substr(run, 1, CAST(h % length(run) AS BIGINT)) || substr(run, CAST(h % length(run) AS BIGINT) + 2)
+              ELSE run END AS word, sum(c) AS n
+  FROM hashed GROUP BY ALL),
+vocab AS (SELECT word, CAST(n AS BIGINT) AS n FROM (SELECT word, sum(n) AS n FROM words GROUP BY word)
+          WHERE length(word) >= {spelling.MIN_LENGTH} AND n >= {spelling.MIN_COUNT}),
+gaps AS (
+  SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest
+  FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM vocab)),
+pairs AS (
+  SELECT a.word, b.word AS near, b.n AS near_n FROM gaps a JOIN gaps b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+  UNION
+  SELECT g.word, v.word, v.n FROM gaps g JOIN vocab v ON g.rest = v.word
+  UNION
+  SELECT v.word, g.word, g.n FROM gaps g JOIN vocab v ON g.rest = v.word),
+ranked AS (
+  SELECT word, near, near_n, row_number() OVER (PARTITION BY word ORDER BY near_n DESC, near) AS k,
+         count(*) OVER (PARTITION BY word) AS n_near FROM pairs),
+forms AS (
+  SELECT v.word, v.n, coalesce(n_near, 0) AS n_near,
+         CASE WHEN near_n >= {spelling.TIMES} * v.n THEN near END AS form,
+         CASE WHEN near_n >= {spelling.TIMES} * v.n THEN near_n END AS form_n
+  FROM vocab v LEFT JOIN ranked r ON r.word = v.word AND k = 1),
+walk AS (
+  SELECT word, word AS at FROM forms
+  UNION ALL
+  SELECT walk.word, forms.form FROM walk JOIN forms ON forms.word = walk.at WHERE forms.form IS NOT NULL),
+ends AS (SELECT walk.word, walk.at AS root FROM walk JOIN forms ON forms.word = walk.at WHERE forms.form IS NULL)
+SELECT forms.word, form, root, n, n_near, form_n FROM forms JOIN ends USING (word)"""
+
 # The others have no SQL form here: a classifier, MinHash groups, keyed
 # permutations, XXH64 fingerprints, diagonal votes with a coverage, and BPE.
 ORACLE: dict[str, str] = {
@@ -169,4 +348,7 @@ ORACLE: dict[str, str] = {
     "op4_exact_topk": TOPK_SQL,
     "op5_sharding": SHARDING_SQL,
     "op6_decontamination": DECONTAMINATION_SQL,
+    "op11_merkle_manifest": MERKLE_SQL,
+    "op12_suffix_dedup": SUFFIX_SQL,
+    "op13_spelling_variants": SPELLING_SQL,
 }
