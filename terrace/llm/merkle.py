@@ -38,7 +38,6 @@ from .shared import column, cut, small_batches
 
 RUN = 3
 HEIGHT = 6                   # levels of a block: 729 leaves
-BLOCK = RUN ** HEIGHT
 
 
 # ---- digests -------------------------------------------------------------------
@@ -125,36 +124,39 @@ _GROWN = T.StructType([
     T.StructField("witness", T.BinaryType()), T.StructField("block_root", T.BinaryType())])
 
 
-def _grow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _grow(height: int):
     """Rows sorted by group, block and rank, streamed block by block: each row
     with its witness within the block, the first one with the block's root."""
     schema = pa.schema([("g", pa.string()), ("block", pa.int64()), ("total", pa.int64()), ("node", pa.binary()),
                         ("carry", pa.binary()), ("id", pa.int64()), ("witness", pa.binary()),
                         ("block_root", pa.binary())])
-    now, rows, tree, out = None, [], None, []
+    names = ["g", "block", "total", "node", "carry", "id"]
 
-    def end_block():
+    def closed(rows, tree):
         root = tree.close()
-        for i, (row, witness) in enumerate(zip(rows, tree.witnesses)):
-            out.append((*row, bytes(witness), root if i == 0 else None))
-
-    def batch():
-        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), schema)], schema=schema)
-
-    for b in batches:
-        for row in zip(*(b.column(n).to_pylist() for n in ("g", "block", "total", "node", "carry", "id"))):
-            if row[:2] != now:
-                if now is not None:
-                    end_block()
-                now, rows, tree = row[:2], [], Appender(min(HEIGHT, levels_of(row[2])))
-            rows.append(row)
-            tree.append(row[3])
-        if len(out) > 2 * BLOCK:
-            yield batch()
+        return [(*row, bytes(witness), root if i == 0 else None)
+                for i, (row, witness) in enumerate(zip(rows, tree.witnesses))]
+
+    def batch(rows):
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, rows, tree = None, [], None
+        for b in batches:
             out = []
-    if now is not None:
-        end_block()
-        yield batch()
+            for row in zip(*(b.column(n).to_pylist() for n in names)):
+                if row[:2] != now:
+                    if rows:
+                        out += closed(rows, tree)
+                    now, rows, tree = row[:2], [], Appender(min(height, levels_of(row[2])))
+                rows.append(row)
+                tree.append(row[3])
+            if out:
+                yield batch(out)
+        if rows:
+            yield batch(closed(rows, tree))
+
+    return run
 
 
 # ---- Spark ---------------------------------------------------------------------
@@ -180,27 +182,27 @@ def ranked(rows: DataFrame, order: list[str], name: str) -> DataFrame:
                   .withColumn("rank", F.col("at") + F.col("shift")).drop("g2", "part2", "part", "at", "shift"))
 
 
-def _blocks(rows: DataFrame, name: str) -> DataFrame:
+def _blocks(rows: DataFrame, height: int, name: str) -> DataFrame:
     """Witnesses within the blocks of rows (g, rank, total, node, carry, id)."""
-    keyed = rows.select("g", F.floor(F.col("rank") / BLOCK).alias("block"), "rank", "total", "node", "carry", "id")
+    keyed = rows.select("g", F.floor(F.col("rank") / RUN ** height).alias("block"), "rank", "total", "node", "carry", "id")
     keyed = keyed.repartition("g", "block").sortWithinPartitions("g", "block", "rank")
-    return cut(keyed.select("g", "block", "total", "node", "carry", "id").mapInArrow(_grow, _GROWN), name)
+    return cut(keyed.select("g", "block", "total", "node", "carry", "id").mapInArrow(_grow(height), _GROWN), name)
 
 
-def grow(rows: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
+def grow(rows: DataFrame, height: int, name: str) -> tuple[DataFrame, DataFrame]:
     """Whole trees of the groups of ``rows`` (g, rank, total, node, carry, id):
     (rows with ``g``, ``node``, ``carry``, ``id``, ``witness`` up to the
     group's root, which is ``top``; roots (g, node) of the groups)."""
     rounds = []
     more = True
     while more:
-        rounds.append(_blocks(rows, f"{name}-{len(rounds)}"))
+        rounds.append(_blocks(rows, height, f"{name}-{len(rounds)}"))
         heads = rounds[-1].where("block_root IS NOT NULL")
-        more = bool(heads.where(F.col("total") > BLOCK).limit(1).count())
+        more = bool(heads.where(F.col("total") > RUN ** height).limit(1).count())
         nothing = F.lit(None)
         # A block root's ``id`` is its number in its own round.
         rows = heads.select("g", F.col("block").alias("rank"),
-                            F.ceil(F.col("total") / BLOCK).alias("total"), F.col("block_root").alias("node"),
+                            F.ceil(F.col("total") / RUN ** height).alias("total"), F.col("block_root").alias("node"),
                             F.lit(None).cast("binary").alias("carry"), F.col("block").alias("id"))
     # The last round has one block a group: its root is the group's.
     above = heads.select(F.col("g").alias("g2"), F.col("block").alias("block2"),
@@ -214,18 +216,18 @@ def grow(rows: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
     return done, heads.select("g", F.col("block_root").alias("node"))
 
 
-def witnesses(leaves: DataFrame, name: str = "merkle") -> DataFrame:
+def witnesses(leaves: DataFrame, height: int = HEIGHT, name: str = "merkle") -> DataFrame:
     """``leaves`` (g: group as string, id: long, node: 32-byte digest, carry:
     any binary) with ``subroot``, ``root`` (digests) and ``witness`` (from the
     leaf to the root). Leaves are ordered by id, then digest, null ids first;
     groups in order, null first. No rows give no rows."""
-    done, subroots = grow(ranked(leaves.select("g", "id", "node", "carry"), ["id", "node", "carry"], name), name)
+    done, subroots = grow(ranked(leaves.select("g", "id", "node", "carry"), ["id", "node", "carry"], name), height, name)
     alone = subroots.select(F.lit(None).cast("string").alias("g"), F.col("g").alias("source"), "node")
     alone = ranked(alone, ["source"], f"{name}-top")
     # The group's name rides in ``carry``, with a mark that tells null from "".
     alone = alone.select("g", "rank", "total", "node", F.lit(None).cast("long").alias("id"),
                          F.coalesce(F.concat(F.lit("="), "source"), F.lit("-")).cast("binary").alias("carry"))
-    top, _ = grow(alone, f"{name}-top")
+    top, _ = grow(alone, height, f"{name}-top")
     top = top.select(F.col("carry").cast("string").alias("group_name"), F.col("top").alias("root"),
                      F.col("witness").alias("upper"))
     own = F.coalesce(F.concat(F.lit("="), "g"), F.lit("-"))
@@ -244,7 +246,7 @@ def folded(nodes: pd.Series, steps: pd.Series) -> pd.DataFrame:
 
 
 def manifest(docs: DataFrame, fields: list[str], copies: Column | None = None,
-             id_col: str = "doc_id", group_col: str = "source") -> DataFrame:
+             id_col: str = "doc_id", group_col: str = "source", height: int = HEIGHT) -> DataFrame:
     """One row per row of ``docs``: id, leaf (hex digest of ``fields``), copy
     (``copies`` as given, a hex digest to audit, else null), subroot, root (hex)
     and witness (binary, from the leaf to the root).
@@ -259,7 +261,7 @@ def manifest(docs: DataFrame, fields: list[str], copies: Column | None = None,
                              F.unhex(F.lit(None).cast("string") if copies is None else copies).alias("carry")),
                  "merkle-leaves")
     hexed = lambda c: F.lower(F.hex(c))
-    return witnesses(leaves).select("id", hexed("node").alias("leaf"), hexed("carry").alias("copy"),
+    return witnesses(leaves, height).select("id", hexed("node").alias("leaf"), hexed("carry").alias("copy"),
                                     hexed("subroot").alias("subroot"), hexed("root").alias("root"), "witness")
 
 
