@@ -10,11 +10,14 @@ starts anywhere else, in another text or the same one, is removed.
 2. Keys that occur once are dropped. Segments with equal bytes (key and a
    second 64-bit hash) are one *class*: where a class has two members, all its
    windows are repeated, and only one member goes on.
-3. The bytes of one member of each class are read again, and classes that
-   share a key meet in one task. Keys are packed into texts of about
-   ``PACK_BYTES``; the suffix array of such a text (see ``suffix_array``) puts
-   equal windows side by side, so that comparing neighbours finds them all.
-4. A key with more than ``HOT_BYTES`` of different segments (a passage that
+3. The bytes of one member of each class are read again. Windows at nearby
+   offsets from the anchor have most of their bytes, a *core*, in common:
+   classes that share no core with another class of their key hold no repeated
+   window and go.
+4. The other classes of a key meet in one task. Keys are packed into texts of
+   about ``PACK_BYTES``; the suffix array of such a text (see ``suffix_array``)
+   puts equal windows side by side, so that comparing neighbours finds them all.
+5. A key with more than ``HOT_BYTES`` of different segments (a passage that
    stands in very many surroundings) is not gathered: its windows are counted
    by two 64-bit hashes in an ordinary aggregate, which combines before the
    shuffle.
@@ -25,7 +28,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -35,8 +37,9 @@ from .shared import column, cut, small_batches
 from .suffix_array import repeated_starts
 
 GRAM_SHARE = 2                         # an anchor is half as long as a window
-PIECE_BYTES = 1 << 20                  # bytes hashed at once
-PACK_BYTES = 1 << 16                   # bytes of one suffix array, unless one key has more
+PIECE_BYTES = 1 << 18                  # bytes hashed at once
+CORES = 4                              # groups of offsets from the anchor
+PACK_BYTES = 1 << 15                   # bytes of one suffix array, unless one key has more
 HOT_BYTES = 1 << 20                    # bytes of different segments of one key that one task takes
 SEED = 20240613
 PLACE_BITS = 22                        # a place within a piece; the rest of 64 bits is the hash
@@ -55,13 +58,20 @@ class Windows:
         if length < 2 * GRAM_SHARE:
             raise ValueError("windows need at least four bytes")
         rng = np.random.default_rng(SEED)
-        self.length, self.gram = length, length // GRAM_SHARE
+        self.length, self.gram, self.piece = length, length // GRAM_SHARE, PIECE_BYTES
         self.base = [int(b) | 1 for b in rng.integers(1 << 62, 1 << 63, 3)]
+        self.known: dict[int, np.ndarray] = {}
 
     def powers(self, base: int, n: int) -> np.ndarray:
-        out = np.full(n, base, np.uint64)
-        out[:1] = 1
-        return np.multiply.accumulate(out)
+        """The first powers of ``base``, kept for the next piece."""
+        if len(self.known.get(base, ())) < n:
+            out = np.full(max(n, self.piece + 2 * self.length), base, np.uint64)
+            out[0] = 1
+            self.known[base] = np.multiply.accumulate(out)
+        return self.known[base][:n]
+
+    def __getstate__(self):
+        return self.__dict__ | {"known": {}}
 
     def run_hashes(self, codes: np.ndarray, size: int, which: int) -> np.ndarray:
         """Hash of every run of ``size`` bytes: a polynomial, by its sums over
@@ -74,7 +84,8 @@ class Windows:
 
     def segments(self, codes: np.ndarray, starts: np.ndarray, ends: np.ndarray):
         """Segments of the texts ``codes[starts[i]:ends[i]]``: arrays (text,
-        first byte, bytes, key, anchors), first byte within ``codes``."""
+        first byte, bytes, key, place of the anchor in the segment or -1 if it
+        has several), first byte within ``codes``."""
         width = self.length - self.gram + 1
         hashes = self.run_hashes(codes, self.gram, 0)
         low = np.uint64((1 << PLACE_BITS) - 1)
@@ -98,7 +109,22 @@ class Windows:
         begin = first[seg]
         n_windows = np.diff(np.append(begin, len(text)))
         anchors = np.diff(np.append(seg, len(first)))
-        return owner[seg], window[begin], n_windows + self.length - 1, key[seg].view(np.int64), anchors
+        start = window[begin]
+        at = np.where(anchors == 1, anchor[begin] - start, -1)
+        return owner[seg], start, n_windows + self.length - 1, key[seg].view(np.int64), at
+
+    def cores(self, data: bytes, at: int) -> list[int]:
+        """Hashes of the cores of a segment with one anchor: the windows whose
+        anchor is ``lo`` to ``hi`` bytes behind their start all hold the bytes
+        from ``lo`` before the anchor to ``hi`` short of a window behind it."""
+        width = self.length - self.gram + 1
+        last = at - (len(data) - self.length)         # the anchor's place in the last window
+        out = []
+        for j in range(CORES):
+            lo, hi = width * j // CORES, width * (j + 1) // CORES - 1
+            if lo <= hi and last <= hi and at >= lo:  # the segment has such windows
+                out.append(xxhash.xxh3_64_intdigest(data[at - lo:at + self.length - hi], seed=j))
+        return out
 
 
 def _text_buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -109,14 +135,14 @@ def _text_buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return (np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)), offsets
 
 
-def _pieces(offsets: np.ndarray, length: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """Texts (number, first byte, end) in lots of about PIECE_BYTES. A longer
+def _pieces(offsets: np.ndarray, length: int, piece: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Texts (number, first byte, end) in lots of about ``piece`` bytes. A longer
     text comes in several lots that overlap, so that each window is in one."""
     lot, size = [], 0
     for i, (a, b) in enumerate(zip(offsets[:-1].tolist(), offsets[1:].tolist())):
         while b - a >= length:
-            end = min(b, a + PIECE_BYTES + length - 1)
-            if lot and size + end - a > PIECE_BYTES:
+            end = min(b, a + piece + length - 1)
+            if lot and size + end - a > piece:
                 yield tuple(np.array(c) for c in zip(*lot))
                 lot, size = [], 0
             lot.append((i, a, end))
@@ -126,41 +152,45 @@ def _pieces(offsets: np.ndarray, length: int) -> Iterator[tuple[np.ndarray, np.n
         yield tuple(np.array(c) for c in zip(*lot))
 
 
-_SEGMENT = "doc_id long, th long, start long, size long, key long, d long, anchors long"
+_SEGMENT = "doc_id long, th long, start long, size long, key long, d long, at long"
 
 
 def _segments(texts: DataFrame, how: Windows) -> DataFrame:
     """Segments of all ``texts`` (doc_id, th, text)."""
-    names = ["doc_id", "th", "start", "size", "key", "d", "anchors"]
+    names = ["doc_id", "th", "start", "size", "key", "d", "at"]
 
     def run(batches):
         for batch in batches:
             codes, offsets = _text_buffers(batch.column("text"))
             ids, hashes = batch.column("doc_id"), batch.column("th")
-            for which, a, b in _pieces(offsets, how.length):
+            for which, a, b in _pieces(offsets, how.length, how.piece):
                 # Texts of a lot stand side by side, but for skipped short ones.
                 base = int(a[0])
                 part = codes[base:int(b[-1])]
-                owner, first, size, key, anchors = how.segments(part, a - base, b - base)
+                owner, first, size, key, at = how.segments(part, a - base, b - base)
                 view = memoryview(part)
                 d = np.fromiter((xxhash.xxh3_64_intdigest(view[s:e])
                                  for s, e in zip(first.tolist(), (first + size).tolist())), np.uint64, len(first))
                 doc = pa.array(which[owner])
                 yield pa.RecordBatch.from_arrays(
                     [ids.take(doc), hashes.take(doc), pa.array(first + base - offsets[which[owner]]),
-                     pa.array(size), pa.array(key), pa.array(d.view(np.int64)), pa.array(anchors)], names=names)
+                     pa.array(size), pa.array(key), pa.array(d.view(np.int64)), pa.array(at)], names=names)
 
     return texts.mapInArrow(run, _SEGMENT)
 
 
-_BYTES = "key long, d long, twice boolean, doc_id long, th long, start long, bytes binary"
+_BYTES = "key long, d long, twice boolean, doc_id long, th long, start long, bytes binary, cores array<long>"
 
 
-def _read_again(texts: DataFrame, classes: DataFrame) -> DataFrame:
-    """Bytes of one member (doc_id, th, start, size) of each class."""
+def _read_again(texts: DataFrame, classes: DataFrame, how: Windows) -> DataFrame:
+    """Bytes and cores of one member (doc_id, th, start, size, at) of each
+    class; null for the cores of a segment with several anchors."""
     listed = (classes.groupBy(F.col("doc_id").alias("doc_id2"), F.col("th").alias("th2"))
-                     .agg(F.collect_list(F.struct("key", "d", "twice", "start", "size")).alias("own")))
+                     .agg(F.collect_list(F.struct("key", "d", "twice", "start", "size", "at")).alias("own")))
     both = texts.join(listed, texts["doc_id"].eqNullSafe(F.col("doc_id2")) & (texts["th"] == F.col("th2")))
+    schema = pa.schema([("key", pa.int64()), ("d", pa.int64()), ("twice", pa.bool_()), ("doc_id", pa.int64()),
+                        ("th", pa.int64()), ("start", pa.int64()), ("bytes", pa.binary()),
+                        ("cores", pa.list_(pa.int64()))])
 
     def run(batches):
         last = None
@@ -171,17 +201,35 @@ def _read_again(texts: DataFrame, classes: DataFrame) -> DataFrame:
                 if (doc_id, th) == last:              # a repeated row
                     continue
                 last, data = (doc_id, th), text.encode("utf-8")
-                out += [(o["key"], o["d"], o["twice"], doc_id, th, o["start"],
-                         data[o["start"]:o["start"] + o["size"]]) for o in own]
-            yield pa.RecordBatch.from_pandas(
-                pd.DataFrame(out, columns=["key", "d", "twice", "doc_id", "th", "start", "bytes"]),
-                schema=pa.schema([("key", pa.int64()), ("d", pa.int64()), ("twice", pa.bool_()),
-                                  ("doc_id", pa.int64()), ("th", pa.int64()), ("start", pa.int64()),
-                                  ("bytes", pa.binary())]), preserve_index=False)
+                for o in own:
+                    part = data[o["start"]:o["start"] + o["size"]]
+                    cores = None if o["at"] < 0 else [_signed(c) for c in how.cores(part, o["at"])]
+                    out.append((o["key"], o["d"], o["twice"], doc_id, th, o["start"], part, cores))
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), schema)], schema=schema)
 
     return both.select("doc_id", "th", "text", "own").mapInArrow(run, _BYTES)
 
 
+def _signed(x: int) -> int:
+    return x - (1 << 64) if x >> 63 else x
+
+
+def _with_partners(read: DataFrame) -> DataFrame:
+    """Classes that may hold a window of another class of their key, or several
+    times the same window; at least one of the two has one member."""
+    cores = read.where("cores IS NOT NULL").select("key", "d", "twice", F.explode("cores").alias("core"))
+    shared = (cores.groupBy("key", "core").agg(F.min("d").alias("lo"), F.max("d").alias("hi"), F.min("twice").alias("all_twice"))
+                   .where("lo <> hi AND NOT all_twice").select(F.col("key").alias("k"), F.col("core").alias("c")))
+    needed = (cores.join(cut(shared, "suffix-cores"), (F.col("key") == F.col("k")) & (F.col("core") == F.col("c")))
+                   .select("key", "d"))
+    # A segment with several anchors is compared with its whole key.
+    several = cut(read.where("cores IS NULL").select("key").distinct(), "suffix-several")
+    needed = needed.unionByName(read.join(several, "key").select("key", "d")).distinct()
+    needed = cut(needed.withColumnsRenamed({"key": "k", "d": "d2"}), "suffix-needed")
+    return read.drop("cores").join(needed, (F.col("key") == F.col("k")) & (F.col("d") == F.col("d2")), "left_semi")
+
+
 _SPAN = "doc_id long, th long, s long, e long"
 
 
@@ -240,8 +288,8 @@ def _count_windows(rows: DataFrame, how: Windows) -> DataFrame:
             for key, d, twice, doc_id, th, start, data in zip(*(batch.column(c).to_pylist()
                                                                 for c in batch.schema.names)):
                 codes = np.frombuffer(data, np.uint8)
-                for a in range(0, len(codes) - how.length + 1, PIECE_BYTES):
-                    part = codes[a:a + PIECE_BYTES + how.length - 1]
+                for a in range(0, len(codes) - how.length + 1, how.piece):
+                    part = codes[a:a + how.piece + how.length - 1]
                     h1, h2 = (how.run_hashes(part, how.length, i).view(np.int64) for i in (1, 2))
                     n = len(h1)
                     yield pa.RecordBatch.from_arrays(
@@ -262,22 +310,26 @@ def repeated_spans(texts: DataFrame, length: int) -> DataFrame:
     text, text) that repeated windows cover; spans may overlap or touch."""
     how = Windows(length)
     segments = cut(_segments(texts, how), "suffix-segments")
+    anchors = F.when(F.col("at") < 0, 2).otherwise(1)
     keys = (segments.groupBy(F.col("key").alias("k"))
-                    .agg(F.sum("anchors").alias("anchors"), F.count(F.lit(1)).alias("rows"),
+                    .agg(F.sum(anchors).alias("anchors"), F.count(F.lit(1)).alias("rows"),
                          F.min("d").alias("lo"), F.max("d").alias("hi"))
                     .where("anchors > 1").select("k", ((F.col("lo") == F.col("hi")) & (F.col("rows") > 1)).alias("alike")))
     keys = cut(keys, "suffix-keys")
-    again = cut(segments.drop("anchors").join(keys, F.col("key") == F.col("k")).drop("k"), "suffix-again")
+    again = cut(segments.join(keys, F.col("key") == F.col("k")).drop("k"), "suffix-again")
     alike, mixed = again.where("alike"), again.where("NOT alike")
     classes = cut(mixed.groupBy("key", "d").agg((F.count(F.lit(1)) > 1).alias("twice"),
-                                                F.min(F.struct("doc_id", "th", "start", "size")).alias("at"))
-                       .select("key", "d", "twice", "at.*"), "suffix-classes")
+                                                F.min(F.struct("doc_id", "th", "start", "size", "at")).alias("m"))
+                       .select("key", "d", "twice", "m.*"), "suffix-classes")
     copies = classes.where("twice").select(F.col("key").alias("k"), F.col("d").alias("d2"))
     whole = alike.select("doc_id", "th", "start", "size").unionByName(
         mixed.join(copies, (F.col("key") == F.col("k")) & (F.col("d") == F.col("d2")))
              .select("doc_id", "th", "start", "size"))
     whole = whole.select("doc_id", "th", F.col("start").alias("s"), (F.col("start") + F.col("size")).alias("e"))
-    read = cut(_read_again(texts, classes), "suffix-bytes")
+    # Keys whose classes all have two members need no more than that.
+    open_keys = classes.groupBy(F.col("key").alias("k")).agg(F.min("twice").alias("all_twice")).where("NOT all_twice")
+    classes = classes.join(cut(open_keys.select("k"), "suffix-open"), F.col("key") == F.col("k"), "left_semi")
+    read = cut(_with_partners(cut(_read_again(texts, classes, how), "suffix-read")), "suffix-bytes")
     hot = cut(read.groupBy(F.col("key").alias("k")).agg(F.sum(F.length("bytes")).alias("n"))
                   .where(F.col("n") > HOT_BYTES).select("k"), "suffix-hot")
     kept = read.join(hot, F.col("key") == F.col("k"), "left_anti")
