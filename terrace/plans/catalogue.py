@@ -24,8 +24,8 @@ from ..operators.aggregates import keep_first, null_preserving_sum, sum_per_key
 from ..operators.quantiles import exact_median, mode_value
 from ..session import scratch_path
 from ..sources import files, ledger
-from ..sources.sinks import new_version, publish, write_refresh
-from . import curate, landing, price_model, standardise, standins
+from ..sources.sinks import new_version, publish, write_first_or_append, write_refresh
+from . import curate, incremental, landing, price_model, standardise, standins
 from .extract import publish_tracked, published
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -444,6 +444,50 @@ def gold_sales(spark: SparkSession, sf: str) -> DataFrame:
     return _sales(spark, sf)
 
 
+def write_formatted_batches(spark: SparkSession, sf: str, formatted: str, number: int, of: int) -> None:
+    """Stand-in listings and movements whose order key modulo ``of`` is
+    ``number``, as one committed batch each."""
+    geo = standins.geography(spark, sf)
+    key = F.col("propertyCode").cast("long") % of
+    moved = (F.col("neighborhood_id").cast("long") + F.col("dest_neighborhood_id").cast("long") + F.col("year")) % of
+    for source, rows, by in (
+            ("idealista", standins.listings(spark, sf, geo).where(key == number), standardise.listing_parts()),
+            ("padro_opendata", standins.moves(spark, sf, geo).where(moved == number), standardise.moves_parts())):
+        led, batch = f"{formatted}/{source}/_ledger", f"b{number}"
+        write_first_or_append(rows, f"{formatted}/{source}/out", number == 0, batch, by)
+        ledger.append(spark, led, source, [f"item_{number}"], run_id=batch)
+
+
+def write_formatted_income(spark: SparkSession, income: DataFrame, formatted: str) -> None:
+    folder = new_version(f"{formatted}/income_opendata/out")
+    write_refresh(income, folder)
+    ledger.append(spark, f"{formatted}/income_opendata/_ledger", "income_opendata", [folder], kind=ledger.OUTPUT)
+
+
+def _incremental(table: str) -> Query:
+    def query(spark: SparkSession, sf: str) -> DataFrame:
+        root = scratch_path(spark, "incremental")
+        formatted, exploitation = f"{root}/formatted", f"{root}/exploitation"
+        # Older income first, so that the last delivery changes latest records.
+        income = standins.income(spark, sf)
+        write_formatted_income(spark, income.where(F.col("year") < 1996), formatted)
+        for number in range(3):
+            write_formatted_batches(spark, sf, formatted, number, 3)
+            if number == 2:
+                write_formatted_income(spark, income, formatted)
+            incremental.refresh(spark, formatted, exploitation)
+        return incremental.table(spark, exploitation, table)
+
+    query.__doc__ = f"M1: ``{table}`` after three deliveries, each brought in by an incremental refresh."
+    return query
+
+
+incremental_neighbourhood = _incremental("neighbourhood")
+incremental_real_estate = _incremental("real_estate")
+incremental_sale_prices = _incremental("sale_prices")
+incremental_sales = _incremental("sales")
+
+
 def published_scan(spark: SparkSession, sf: str) -> DataFrame:
     """The wide table is published, its catalog entry is lost (as in a
     process with another catalog), and the table is read as published."""
@@ -597,6 +641,10 @@ QUERIES: dict[str, Query] = {
     "gold_sale_prices": gold_sale_prices,
     "gold_sales": gold_sales,
     "published_scan": published_scan,
+    "incremental_neighbourhood": incremental_neighbourhood,
+    "incremental_real_estate": incremental_real_estate,
+    "incremental_sale_prices": incremental_sale_prices,
+    "incremental_sales": incremental_sales,
     "clean_features": clean_features,
     "split_by_hash": split_by_hash,
     "impute_median_mode": impute_median_mode,

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import schemas
 from ..functions.columns import conform, query_date, query_timestamp, year_of
@@ -68,9 +69,24 @@ def latest_income(income: DataFrame) -> DataFrame:
     return latest_per_key(income.select(*PLACE, "year", "pop", "RFD"), PLACE, "year")
 
 
-def neighbourhood(income: DataFrame, moves: DataFrame) -> DataFrame:
-    """Income joined with the movements summed by *origin* (moved_out)."""
-    outs = checked_broadcast(origin_sums(moves, "moved_out"), name="origin sums")
+def place_year_sums(moves: DataFrame) -> DataFrame:
+    """Both sums per place and year, for places that have both."""
+    both = both_sums(moves, "move_in", "move_out")
+    return both.where(F.col("_has_o").isNotNull() & F.col("_has_d").isNotNull()).drop("_has_o", "_has_d")
+
+
+def listing_counts(listings: DataFrame) -> DataFrame:
+    """Listings per place and query year."""
+    return (listings.groupBy(*PLACE, year_of("queryDate").alias("year"))
+                    .agg(F.count(F.lit(1)).alias("advertisements")))
+
+
+# The joins, over sides that are already aggregated: a full run takes them from
+# the facts, an incremental run from its state.
+
+def neighbourhood_rows(income: DataFrame, outs: DataFrame) -> DataFrame:
+    """``outs`` holds moved_out per place and year."""
+    outs = checked_broadcast(outs, name="origin sums")
     return conform(
         income.join(outs, PLACE_YEAR)
               .select("moved_out", "RFD", "year", "district_name",
@@ -78,30 +94,60 @@ def neighbourhood(income: DataFrame, moves: DataFrame) -> DataFrame:
         schemas.NEIGHBOURHOOD)
 
 
-def real_estate(moves: DataFrame, listings: DataFrame) -> DataFrame:
-    """P5: movements summed by *destination* (moved_in), carrying the
-    destination names, joined with the listing count per place and year."""
-    ads = (listings.groupBy(*PLACE, year_of("queryDate").alias("year"))
-                   .agg(F.count(F.lit(1)).alias("advertisements")))
+def real_estate_rows(ins: DataFrame, ads: DataFrame) -> DataFrame:
+    """P5: ``ins`` holds moved_in and the names, ``ads`` advertisements."""
     ads = checked_broadcast(ads, name="advertisement counts")
-    ins = destination_sums(moves, "moved_in", with_names=True)
     return conform(ins.join(ads, PLACE_YEAR)
                       .select("moved_in", "advertisements", "year", "district_name",
                               "neighbourhood_name"),
                    schemas.REAL_ESTATE)
 
 
+def sale_price_rows(listings: DataFrame, latest: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """``latest`` holds the latest income record per place; ``keep`` names
+    further columns of the listings."""
+    latest = checked_broadcast(latest.select(*PLACE, "RFD"), name="latest income")
+    joined = (listings.join(latest, PLACE)
+                      .select("price", "RFD", query_timestamp("queryDate").alias("queryDate"),
+                              F.col("district").alias("district_name"),
+                              F.col("neighborhood").alias("neighbourhood_name"), *keep))
+    return _conform_and_keep(joined, schemas.SALE_PRICES, keep)
+
+
+def sales_rows(listings: DataFrame, latest: DataFrame, sums: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """``sums`` holds move_in and move_out per place and year."""
+    latest = checked_broadcast(latest.select(*PLACE, F.col("pop").alias("population"), "RFD"), name="latest income")
+    sums = checked_broadcast(sums, name="movement sums")
+    wide = (listings.withColumn("year", year_of("queryDate"))
+                    .join(latest, PLACE)
+                    .join(sums, PLACE_YEAR)
+                    .withColumn("queryDate", query_date("queryDate"))
+                    .drop("year"))
+    return _conform_and_keep(wide, schemas.SALES, keep)
+
+
+def _conform_and_keep(df: DataFrame, schema, keep: tuple[str, ...]) -> DataFrame:
+    kept = [df.schema[c] for c in keep]
+    return conform(df, T.StructType([*schema.fields, *kept]))
+
+
+# The whole tables.
+
+def neighbourhood(income: DataFrame, moves: DataFrame) -> DataFrame:
+    """Income joined with the movements summed by *origin* (moved_out)."""
+    return neighbourhood_rows(income, origin_sums(moves, "moved_out"))
+
+
+def real_estate(moves: DataFrame, listings: DataFrame) -> DataFrame:
+    """P5: movements summed by *destination* (moved_in), carrying the
+    destination names, joined with the listing count per place and year."""
+    return real_estate_rows(destination_sums(moves, "moved_in", with_names=True), listing_counts(listings))
+
+
 def sale_prices(listings: DataFrame, income: DataFrame) -> DataFrame:
     """Every listing with the RFD of its neighbourhood's latest income
     year, and its query date as a timestamp."""
-    latest = checked_broadcast(latest_income(income).select(*PLACE, "RFD"),
-                               name="latest income")
-    return conform(
-        listings.join(latest, PLACE)
-                .select("price", "RFD", query_timestamp("queryDate").alias("queryDate"),
-                        F.col("district").alias("district_name"),
-                        F.col("neighborhood").alias("neighbourhood_name")),
-        schemas.SALE_PRICES)
+    return sale_price_rows(listings, latest_income(income))
 
 
 def sales(listings: DataFrame, income: DataFrame, moves: DataFrame) -> DataFrame:
@@ -113,17 +159,4 @@ def sales(listings: DataFrame, income: DataFrame, moves: DataFrame) -> DataFrame
     Population and RFD come from the latest income year; movements from the
     listing's own query year.
     """
-    latest = checked_broadcast(
-        latest_income(income).select(*PLACE, F.col("pop").alias("population"), "RFD"),
-        name="latest income")
-    sums = checked_broadcast(
-        both_sums(moves, "move_in", "move_out")
-        .where(F.col("_has_o").isNotNull() & F.col("_has_d").isNotNull())
-        .drop("_has_o", "_has_d"),
-        name="movement sums")
-    wide = (listings.withColumn("year", year_of("queryDate"))
-                    .join(latest, PLACE)
-                    .join(sums, PLACE_YEAR)
-                    .withColumn("queryDate", query_date("queryDate"))
-                    .drop("year"))
-    return conform(wide, schemas.SALES)
+    return sales_rows(listings, latest_income(income), place_year_sums(moves))

@@ -13,16 +13,16 @@ import uuid
 from functools import reduce
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
 from ..functions.columns import (conform, flatten_structs, item_prefix, landing_item,
-                                 sentinel_to_null, stem_of, strict_long)
+                                 sentinel_to_null, stem_of, strict_long, year_of)
 from ..operators.aggregates import keep_first
 from ..operators.joins import checked_broadcast, release_sides, explode_lookup
 from ..sources import files, ledger
-from ..sources.sinks import new_version, write_first_or_append, write_refresh
+from ..sources.sinks import batch_folder, new_version, write_first_or_append, write_refresh
 from ..streaming.file_feed import FILE_COL, ingest_available
 from .landing import INCOME_ITEM, LISTING_SUFFIX, MOVES_SUFFIX, Landing
 
@@ -30,6 +30,18 @@ LISTING_ITEMS = r"[^/]*" + LISTING_SUFFIX
 MOVES_ITEMS = r"[^/]*" + MOVES_SUFFIX.replace(".", r"\.")
 
 
+# Partitions within a batch: the year that the curated joins use.
+YEAR_PART = "part_year"
+
+
+def listing_parts() -> dict[str, Column]:
+    return {YEAR_PART: year_of("queryDate")}
+
+
+def moves_parts() -> dict[str, Column]:
+    return {YEAR_PART: F.col("year")}
+
+
 # --- lookups (D1, D3, D4) -----------------------------------------------------
 
 def listing_lookup(spark: SparkSession, lookups: str) -> DataFrame:
@@ -141,11 +153,12 @@ def _stem(path: str) -> str:
 
 
 def commit_items(spark: SparkSession, root: str, item_regex: str, out: str, led: str, pipe: str,
-                 load: Callable[[list[str]], DataFrame]) -> list[str]:
+                 load: Callable[[list[str]], DataFrame], by: dict[str, Column] | None = None) -> list[str]:
     """A9 + A11 + A12: process only items whose stem is not in the ledger;
     overwrite the output on the first run (empty ledger), else add a batch;
     then record the stems under the batch id. ``load`` turns the new item
-    paths into the standardised DataFrame (one multi-path scan).
+    paths into the standardised DataFrame (one multi-path scan); ``by`` names
+    partitions of a batch.
 
     The batch id is recorded as an intent before the write. A run that
     stopped after its write but before recording its items left such an
@@ -159,7 +172,7 @@ def commit_items(spark: SparkSession, root: str, item_regex: str, out: str, led:
     batch = (None if first else ledger.unfinished_batch(spark, led)) or _run_id()
     ledger.begin(spark, led, pipe, batch)
     try:
-        write_first_or_append(load(paths), out, first, batch=batch)
+        write_first_or_append(load(paths), out, first, batch, by)
     finally:
         release_sides()
     stems = [_stem(p) for p in paths]
@@ -175,7 +188,7 @@ def commit_listings(spark: SparkSession, land: Landing, formatted: str) -> list[
         f"{formatted}/idealista/_ledger", "idealista",
         lambda paths: reduce(DataFrame.unionByName, [
             standardise_listings(g, lookup, files.below_root(land.listings))
-            for g in files.parquet_groups(spark, paths)]))
+            for g in files.parquet_groups(spark, paths)]), listing_parts())
 
 
 def commit_moves(spark: SparkSession, land: Landing, formatted: str) -> list[str]:
@@ -185,7 +198,7 @@ def commit_moves(spark: SparkSession, land: Landing, formatted: str) -> list[str
         spark, land.moves, MOVES_ITEMS, f"{formatted}/padro_opendata/out",
         f"{formatted}/padro_opendata/_ledger", "padro_opendata",
         lambda paths: standardise_moves(
-            files.read_csv_items(spark, paths, schemas.RAW_MOVES_COLUMNS), lookup))
+            files.read_csv_items(spark, paths, schemas.RAW_MOVES_COLUMNS), lookup), moves_parts())
 
 
 def commit_income(spark: SparkSession, land: Landing, formatted: str) -> list[str]:
@@ -248,7 +261,7 @@ def stream_listings(spark: SparkSession, land: Landing, formatted: str) -> None:
         first = ledger.is_empty(session, led)
         try:
             write_first_or_append(standardise_listings(fresh.drop("_stem"), lookup, below),
-                                  out, first, batch=run)
+                                  out, first, run, listing_parts())
         finally:
             release_sides()
         ledger.append(session, led, "idealista", sorted(stems), run_id=run)
@@ -263,4 +276,15 @@ def read_formatted(spark: SparkSession, formatted: str, source: str, schema) ->
     bookkeeping)."""
     current = ledger.current_output(spark, f"{formatted}/{source}/_ledger")
     df = spark.read.parquet(current or f"{formatted}/{source}/out")
-    return conform(df.drop("batch"), schema)
+    return conform(df.drop("batch", YEAR_PART), schema)
+
+
+def read_batches(spark: SparkSession, formatted: str, source: str, schema, batches: list[str]) -> DataFrame:
+    """Some batches of a formatted table, with their partition column
+    ``YEAR_PART`` (long): only their folders are listed and read."""
+    out = f"{formatted}/{source}/out"
+    df = spark.read.option("basePath", out).parquet(*[batch_folder(out, b) for b in batches])
+    year = F.col(YEAR_PART).cast("long").alias(YEAR_PART)
+    typed = [(F.col(f"`{f.name}`") if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+             for f in schema.fields]
+    return df.select(*typed, year)

@@ -10,6 +10,7 @@ of files, not by rows.
 from __future__ import annotations
 
 import re
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,6 +23,30 @@ ITEM_SCHEMA = T.StructType([
 ])
 
 
+class Child(NamedTuple):
+    name: str
+    path: str
+    is_dir: bool
+    mtime_ms: int
+
+
+def children(spark: SparkSession, folder: str) -> list[Child]:
+    """Direct children of a folder (hidden ones left out, a missing folder has
+    none), by the Hadoop file system that Spark reads it with. One listing call
+    on the driver; nothing below the children is visited."""
+    jvm = spark._jvm
+    path = jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        return []
+    out = []
+    for status in fs.listStatus(path):
+        name = status.getPath().getName()
+        if not name.startswith((".", "_")):
+            out.append(Child(name, status.getPath().toString(), status.isDirectory(), status.getModificationTime()))
+    return sorted(out)
+
+
 def list_items(spark: SparkSession, root: str, item_regex: str) -> DataFrame:
     """One row per landing item under ``root`` whose name matches
     ``item_regex`` (a regex on the item name, anchored at both ends):

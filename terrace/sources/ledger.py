@@ -54,6 +54,13 @@ def processed_items(spark: SparkSession, path: str) -> DataFrame:
     return active(spark, path).where(F.col("kind") == ITEM).select("item")
 
 
+def committed_batches(spark: SparkSession, path: str) -> list[str]:
+    """Ids of the batches in the output, in the order of their commits: one
+    name per run since the latest reset."""
+    done = active(spark, path).where(F.col("kind") == ITEM).groupBy("run_id").agg(F.min("ts").alias("ts"))
+    return [r["run_id"] for r in done.orderBy("ts", "run_id").collect()]
+
+
 def append(spark: SparkSession, path: str, pipe: str, entries: list[str], kind: str = ITEM,
            run_id: str | None = None) -> None:
     """One ledger row per entry, all stamped with one run id/time."""

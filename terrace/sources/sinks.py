@@ -1,7 +1,7 @@
 """Sinks and publishing.
 
 Outputs are Parquet folders. Appends are made idempotent by writing each run
-into its own ``batch=<id>`` partition with dynamic partition overwrite; a run
+into its own ``batch=<id>`` folder, which the write replaces as a whole; a run
 that retries an unfinished batch (see ``ledger.unfinished_batch``) reuses its
 id and so replaces it and nothing else (the source system's "write, then log"
 gap, where a crash re-appends the same files, is closed).
@@ -17,19 +17,29 @@ from __future__ import annotations
 import datetime as _dt
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def write_first_or_append(df: DataFrame, path: str, first: bool, batch: str) -> None:
+def write_first_or_append(df: DataFrame, path: str, first: bool, batch: str,
+                          by: dict[str, Column] | None = None) -> None:
     """Overwrite the whole output on the first run (empty ledger), else
-    add a batch. Both go through one partitioned write."""
-    out = df.withColumn("batch", F.lit(batch))
-    w = out.write.partitionBy("batch")
+    add a batch. ``by`` names partitions within a batch and their values (the
+    year of a row), so that readers of a year skip the others' files.
+
+    A later batch overwrites its own folder only, and all of it, so a retried
+    batch leaves nothing of its first attempt, in whatever partitions."""
+    df = df.withColumns(by or {})
     if first:
-        w.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
+        (df.withColumn("batch", F.lit(batch)).write.partitionBy("batch", *(by or {}))
+           .mode("overwrite").option("partitionOverwriteMode", "static").parquet(path))
     else:
-        w.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
+        w = df.write.partitionBy(*by) if by else df.write
+        w.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{path}/batch={batch}")
+
+
+def batch_folder(path: str, batch: str) -> str:
+    return f"{path}/batch={batch}"
 
 
 def write_refresh(df: DataFrame, path: str) -> None:
