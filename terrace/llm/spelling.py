@@ -27,7 +27,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -46,14 +46,16 @@ PROBES = 1 << 19                       # edits hashed at once
 HELD_WORDS = 200_000                   # counted words that a task holds
 SEED = 20240711
 
-_LOWER = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)}
-
 
 # ---- counting ------------------------------------------------------------------
 
-def lowered(run: str) -> str:
+def lowered(text: str) -> str:
     """A-Z to a-z, all other characters as they are."""
-    return run.lower() if run.isascii() else run.translate(_LOWER)
+    return text.lower() if text.isascii() else text.encode().lower().decode()
+
+
+def _word_batch(words, counts) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(words, pa.string()), pa.array(counts, pa.int64())], names=["word", "n"])
 
 
 def word_counts(docs: DataFrame, salt: int | None, min_length: int, id_col: str, text_col: str) -> DataFrame:
@@ -65,26 +67,24 @@ def word_counts(docs: DataFrame, salt: int | None, min_length: int, id_col: str,
     texts = docs.select(column(docs, id_col).cast("string").alias("id"), column(docs, text_col).alias("text"))
 
     def run(batches):
-        held: Counter = Counter()
-        for pdf in batches:
-            for doc_id, text in zip(pdf["id"], pdf["text"]):
-                if text is None:
-                    continue
-                own = Counter(map(lowered, runs.findall(text)))
-                if salt:
-                    start = zlib.crc32(f"{'' if doc_id is None else doc_id}:".encode())
-                    for w in list(own):
+        held: dict[str, int] = {}
+        for batch in batches:
+            for doc_id, text in zip(batch.column("id").to_pylist(), batch.column("text").to_pylist()):
+                own = Counter(runs.findall(lowered(text)))
+                start = zlib.crc32(f"{'' if doc_id is None else doc_id}:".encode())
+                for w, n in own.items():
+                    if salt:
                         h = zlib.crc32(w.encode(), start)
-                        if h % salt == 0:
-                            n, at = own.pop(w), h % len(w)
-                            held[w[:at] + w[at + 1:]] += n
-                held.update(own)
+                        if not h % salt:
+                            at = h % len(w)
+                            w = w[:at] + w[at + 1:]
+                    held[w] = held.get(w, 0) + n
             if len(held) > HELD_WORDS:
-                yield pd.DataFrame({"word": list(held), "n": list(held.values())})
-                held = Counter()
-        yield pd.DataFrame({"word": list(held), "n": list(held.values())})
+                yield _word_batch(list(held), list(held.values()))
+                held = {}
+        yield _word_batch(list(held), list(held.values()))
 
-    counted = texts.where("text IS NOT NULL").mapInPandas(run, "word string, n long")
+    counted = texts.where("text IS NOT NULL").mapInArrow(run, "word string, n long")
     return counted.where(F.char_length("word") >= min_length).groupBy("word").agg(F.sum("n").alias("n"))
 
 
@@ -143,6 +143,14 @@ def blocks_per_shard(sizes: dict[int, int]) -> dict[int, int]:
     return {s: max(1, int(n * share)) for s, n in wanted.items()}
 
 
+def by_length(batch: pa.RecordBatch) -> dict[int, list[tuple[str, int]]]:
+    """Rows (word, n) of a batch by the word's length."""
+    out: dict[int, list[tuple[str, int]]] = {}
+    for row in zip(batch.column("word").to_pylist(), batch.column("n").to_pylist()):
+        out.setdefault(len(row[0]), []).append(row)
+    return out
+
+
 def build_filters(words: DataFrame) -> dict[int, np.ndarray]:
     """Filter (blocks, lanes) of each shard. Only their blocks, within
     FILTER_BYTES, reach the driver."""
@@ -152,19 +160,19 @@ def build_filters(words: DataFrame) -> dict[int, np.ndarray]:
     lanes = [f"b{i}" for i in range(LANES)]
 
     def run(batches):
-        for pdf in batches:
-            for length, part in pdf.groupby(pdf["word"].str.len())["word"]:
-                block, mixed = places(sums_of(codes_of(part.tolist()))[:, -1], blocks[shard_of(length)])
+        for batch in batches:
+            for length, part in by_length(batch).items():
+                block, mixed = places(sums_of(codes_of([w for w, _ in part]))[:, -1], blocks[shard_of(length)])
                 order = np.argsort(block, kind="stable")
                 block, mixed = block[order], mixed[order]
                 first = np.flatnonzero(np.append(True, block[1:] != block[:-1]))
-                out = {"shard": shard_of(length), "block": block[first]}
-                for i, lane in enumerate(lanes):
-                    out[lane] = np.bitwise_or.reduceat(lane_bit(mixed, i), first).view(np.int64)
-                yield pd.DataFrame(out)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(first), shard_of(length), np.int32)), pa.array(block[first])]
+                    + [pa.array(np.bitwise_or.reduceat(lane_bit(mixed, i), first).view(np.int64)) for i in range(LANES)],
+                    names=["shard", "block", *lanes])
 
     kind = "shard int, block long, " + ", ".join(f"{b} long" for b in lanes)
-    rows = (words.select("word").mapInPandas(run, kind).groupBy("shard", "block")
+    rows = (words.select("word", "n").mapInArrow(run, kind).groupBy("shard", "block")
                  .agg(*[F.bit_or(b).alias(b) for b in lanes]).toPandas())
     out = {s: np.zeros((n, LANES), np.uint64) for s, n in blocks.items()}
     for s, part in rows.groupby("shard"):
@@ -174,14 +182,12 @@ def build_filters(words: DataFrame) -> dict[int, np.ndarray]:
 
 def probe(found: np.ndarray | None, hashes: np.ndarray) -> np.ndarray:
     """Numbers of the hashes that the filter may hold."""
-    if found is None:
+    if found is None or not len(hashes):
         return np.zeros(0, np.int64)
     block, mixed = places(hashes, len(found))
-    left = np.arange(len(hashes))
-    for lane in range(LANES):
-        bit = lane_bit(mixed, lane)
-        hit = (found[block, lane] & bit) != 0
-        left, block, mixed = left[hit], block[hit], mixed[hit]
+    left = np.flatnonzero(found[block, 0] & lane_bit(mixed, 0))
+    for lane in range(1, LANES):
+        left = left[(found[block[left], lane] & lane_bit(mixed[left], lane)) != 0]
     return left
 
 
@@ -207,15 +213,21 @@ def candidates(words: list[str], filters: dict[int, np.ndarray], alphabet: np.nd
         for x in probe(shorter, hashes).tolist():
             word, gone = words[w[x]], i[x]
             yield int(w[x]), word[:gone] + word[gone + 1:]
+    # Without the code point at a place, a replacement there adds its own term.
+    without = whole[:, None] - codes * powers
     step = max(1, PROBES // (n * max(1, len(alphabet))))
-    for a in range(0, length, step):
+    for a in range(0, length if same is not None else 0, step):
         at = np.arange(a, min(length, a + step))
-        w, i, c = np.nonzero(alphabet[None, None, :] > codes[:, at][:, :, None])
-        new = alphabet[c]
-        hashes = whole[w] + (new - codes[w, at[i]]) * powers[at[i]]
-        for x in probe(same, hashes).tolist():
-            word, place = words[w[x]], at[i[x]]
-            yield int(w[x]), word[:place] + chr(int(new[x])) + word[place + 1:]
+        higher = alphabet > codes[:, at, None]
+        hashes = (without[:, at, None] + alphabet * powers[at, None])[higher]
+        hits = probe(same, hashes)
+        if len(hits):
+            places_ = np.flatnonzero(higher)[hits]
+            w, rest = np.divmod(places_, len(at) * len(alphabet))
+            i, c = np.divmod(rest, len(alphabet))
+            for k, place, new in zip(w.tolist(), at[i].tolist(), alphabet[c].tolist()):
+                word = words[k]
+                yield k, word[:place] + chr(new) + word[place + 1:]
 
 
 def near_pairs(words: DataFrame) -> DataFrame:
@@ -226,17 +238,21 @@ def near_pairs(words: DataFrame) -> DataFrame:
     alphabet = np.array(sorted(ord(r["c"]) for r in letters.collect()), np.uint64)
     filters = words.sparkSession.sparkContext.broadcast(build_filters(words))
 
+    schema = pa.schema([("word", pa.string()), ("n", pa.int64()), ("edit", pa.string())])
+
     def run(batches):
-        for pdf in batches:
-            for length, part in pdf.groupby(pdf["word"].str.len()):
+        for batch in batches:
+            for length, part in by_length(batch).items():
                 lot = max(1, PROBES // (length * max(1, len(alphabet))))
                 for a in range(0, len(part), lot):
-                    some, n = part["word"].tolist()[a:a + lot], part["n"].tolist()[a:a + lot]
-                    rows = [(some[i], n[i], edit) for i, edit in candidates(some, filters.value, alphabet)]
-                    yield pd.DataFrame(rows, columns=["word", "n", "edit"])
+                    some = part[a:a + lot]
+                    rows = [(*some[i], edit) for i, edit in candidates([w for w, _ in some], filters.value, alphabet)]
+                    if rows:
+                        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)],
+                                                         schema=schema)
 
     small_batches(words.sparkSession)
-    probed = words.select("word", "n").mapInPandas(run, "word string, n long, edit string")
+    probed = words.select("word", "n").mapInArrow(run, "word string, n long, edit string")
     known = words.select(F.col("word").alias("near"), F.col("n").alias("near_n"))
     pairs = cut(probed.join(known, F.col("edit") == F.col("near")).select("word", "n", "near", "near_n"), "spelling-pairs")
     back = pairs.select(F.col("near").alias("word"), F.col("near_n").alias("n"),
