@@ -13,7 +13,7 @@ from __future__ import annotations
 import logging
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 log = logging.getLogger(__name__)
@@ -108,3 +108,41 @@ def reject_count(df: DataFrame, lookup: DataFrame, keys: list[str]) -> DataFrame
     one-row count (left anti join against the lookup keys)."""
     return (df.join(lookup.select(*keys).distinct(), keys, "left_anti")
               .agg(F.count(F.lit(1)).alias("rejected")))
+
+
+class Quality:
+    """Row counts of the reconciliations of one run, taken by the write itself.
+
+    Each step is a left join whose rows are counted (all, and those without a
+    match) by an observation on the way, before the unmatched ones are dropped:
+    no second pass, no other plan than the write's. ``counts`` waits for the
+    action that runs the plan."""
+
+    def __init__(self):
+        self._steps: list[tuple[str, Observation]] = []
+
+    def reconcile(self, df: DataFrame, lookup: DataFrame, on: Column, step: str) -> DataFrame:
+        """``df`` inner-joined with a lookup, the step counted."""
+        seen = Observation()
+        self._steps.append((step, seen))
+        flagged = df.join(lookup.withColumn("_known", F.lit(True)), on, "left")
+        counted = flagged.observe(seen, F.count(F.lit(1)).alias("rows"),
+                                  F.count(F.when(F.col("_known").isNull(), 1)).alias("unknown"))
+        return counted.where(F.col("_known")).drop("_known")
+
+    def counts(self) -> dict[str, dict[str, int]]:
+        """Per step the rows that reached it and those without a match; steps
+        of one name (inputs of several schemas) are added up."""
+        out: dict[str, dict[str, int]] = {}
+        for step, seen in self._steps:
+            # A plan without rows may leave its metrics out.
+            got = seen.get or {}
+            have = out.setdefault(step, {"rows": 0, "unknown": 0})
+            for name in have:
+                have[name] += int(got.get(name) or 0)
+        return out
+
+
+def reconcile(df: DataFrame, lookup: DataFrame, on: Column, step: str, quality: Quality | None) -> DataFrame:
+    """Inner join with a lookup; with ``quality``, the step is counted."""
+    return df.join(lookup, on) if quality is None else quality.reconcile(df, lookup, on, step)

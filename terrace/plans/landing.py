@@ -62,8 +62,9 @@ def _places(spark: SparkSession, sf: str) -> DataFrame:
     return nation.join(region, nation.n_regionkey == region.r_regionkey)
 
 
-def write_lookups(spark: SparkSession, sf: str, land: Landing) -> None:
-    p = _places(spark, sf)
+def write_lookups(spark: SparkSession, sf: str, land: Landing, known: str = "true") -> None:
+    """The lookup files; ``known`` (SQL over nation and region) leaves places out."""
+    p = _places(spark, sf).where(known)
     nid = F.col("n_nationkey").cast("string")
     rid = F.col("r_regionkey").cast("string")
     # Districts carry the array of their neighbourhood ids; the array is

@@ -394,3 +394,35 @@ ORACLE.update({f"incremental_{t}": GOLD[f"gold_{t}"] for t in ("neighbourhood",
 
 # The streamed P1 run must give exactly the batch P1 result.
 ORACLE["stream_listings"] = ORACLE["reconcile_listings"]
+
+# Every fifth place is not in the lookups; all districts still are.
+ORACLE["reject_counts"] = """
+WITH facts AS (
+  SELECT o.o_orderkey, c.c_nationkey AS d, r.r_name, n.n_name
+  FROM orders o JOIN customer c ON c.c_custkey = o.o_custkey
+  JOIN nation n ON n.n_nationkey = c.c_nationkey JOIN region r ON r.r_regionkey = n.n_regionkey),
+known AS (SELECT DISTINCT n_regionkey AS k FROM nation WHERE n_nationkey % 5 <> 0),
+moves AS (
+  SELECT s.s_nationkey AS o, c.c_nationkey AS d
+  FROM lineitem l JOIN supplier s ON s.s_suppkey = l.l_suppkey
+  JOIN orders o ON o.o_orderkey = l.l_orderkey JOIN customer c ON c.c_custkey = o.o_custkey),
+income AS (
+  SELECT DISTINCT f.d, n.n_regionkey IN (SELECT k FROM known) AS has_district
+  FROM facts f JOIN nation n ON n.n_nationkey = f.d)
+SELECT 'idealista' AS pipe, 'place' AS step, count(*) AS rows, count(*) FILTER (WHERE d % 5 = 0) AS unknown FROM facts
+UNION ALL SELECT 'padro_opendata', 'origin', count(*), count(*) FILTER (WHERE o % 5 = 0) FROM moves
+UNION ALL SELECT 'padro_opendata', 'destination', count(*), count(*) FILTER (WHERE d % 5 = 0) FROM moves WHERE o % 5 <> 0
+UNION ALL SELECT 'income_opendata', 'district', count(*), count(*) FILTER (WHERE NOT has_district) FROM income
+UNION ALL SELECT 'income_opendata', 'neighbourhood', count(*), count(*) FILTER (WHERE d % 5 = 0) FROM income WHERE has_district"""
+
+ORACLE["joint_median_mode"] = """
+WITH o AS (
+  SELECT CASE WHEN o_orderkey % 7 <> 0 THEN o_totalprice END AS price, CAST(o_custkey % 3 AS DOUBLE) AS few,
+         CAST(o_orderkey AS DOUBLE) AS key,
+         CASE WHEN o_orderkey % 11 <> 0 THEN o_orderpriority END AS priority, o_orderstatus AS status FROM orders)
+SELECT count(*) AS rows, CAST(median(price) AS DOUBLE) AS median_price, CAST(median(few) AS DOUBLE) AS median_few,
+       CAST(median(key) AS DOUBLE) AS median_key, CAST(NULL AS DOUBLE) AS median_empty,
+       (SELECT priority FROM o WHERE priority IS NOT NULL GROUP BY priority ORDER BY count(*) DESC, priority LIMIT 1) AS mode_priority,
+       (SELECT status FROM o WHERE status IS NOT NULL GROUP BY status ORDER BY count(*) DESC, status LIMIT 1) AS mode_status,
+       CAST(NULL AS VARCHAR) AS mode_nothing
+FROM o"""

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..functions.columns import lenient_number
-from ..operators.quantiles import exact_median, mode_value
+from ..operators.quantiles import exact_medians, mode_values
 from ..sources.sinks import new_version
 
 # The source system's feature lists and target.
@@ -31,6 +31,12 @@ CATEGORICAL = ["typology", "district", "exterior", "hasLift", "neighborhood_id"]
 NUMERIC = ["bathrooms", "distance", "size", "rooms", "floor", "population", "RFD",
            "move_in", "move_out"]
 TARGET = "price"
+# Trees are grown in the driver's memory. Leaves take at least so many rows that
+# a tree has at most this many; up to that many rows a leaf may hold one row,
+# as in the source system.
+MAX_LEAVES = 2048
+# Statistics of as many nodes as fit this are gathered in one pass over the rows.
+NODES_MB = 1024
 FLOOR_CODES = {"bj": "0"}
 
 
@@ -107,10 +113,11 @@ def population_stats(df: DataFrame, exprs: dict[str, str]) -> dict[str, tuple[fl
 def preparation(rows: DataFrame, numeric: list[str], categorical: list[str]) -> SQLTransformer:
     """L2-L4 fitted on ``rows``: exact median and z-score of numeric columns,
     most frequent value of categorical ones."""
-    filled = {c: imputed(c, exact_median(rows, c)) for c in numeric}
+    medians, modes = exact_medians(rows, numeric), mode_values(rows, categorical)
+    filled = {c: imputed(c, medians[c]) for c in numeric}
     stats = population_stats(rows, filled)
     cols = [f"{z_score(filled[c], *stats[c])} AS `{c}__z`" for c in numeric]
-    cols += [f"{imputed(c, mode_value(rows, c))} AS `{c}__full`" for c in categorical]
+    cols += [f"{imputed(c, modes[c])} AS `{c}__full`" for c in categorical]
     return SQLTransformer(statement=f"SELECT *, {', '.join(cols)} FROM __THIS__")
 
 
@@ -129,7 +136,7 @@ def build_pipeline(prepare: SQLTransformer, numeric: list[str], categorical: lis
         VectorAssembler(inputCols=[f"{c}__z" for c in numeric] + ohe, outputCol="features"),
         RandomForestRegressor(featuresCol="features", labelCol=target, numTrees=num_trees,
                               maxDepth=max_depth, seed=seed, featureSubsetStrategy="all",
-                              minInstancesPerNode=min_instances)])
+                              minInstancesPerNode=min_instances, maxMemoryInMB=NODES_MB)])
 
 
 def model_rows(table: DataFrame, key: str, numeric: list[str], categorical: list[str],
@@ -143,14 +150,15 @@ def model_rows(table: DataFrame, key: str, numeric: list[str], categorical: list
 
 def train(spark: SparkSession, table: DataFrame, key: str, numeric: list[str],
           categorical: list[str], model_root: str, target: str = TARGET,
-          num_trees: int = 100, max_depth: int = 30, min_instances: int = 1) -> DataFrame:
+          num_trees: int = 100, max_depth: int = 30, min_instances: int | None = None) -> DataFrame:
     """Clean, split, fit, evaluate, store (A19): each run saves its
     model in its own folder under ``model_root/models`` and appends one
     metrics row naming it to ``model_root/model_store``; returns the first
     rows of the store (G2).
 
-    The trees live in the driver and grow with the data up to ``max_depth``;
-    ``max_depth`` or ``min_instances`` (rows a leaf needs) bound them."""
+    ``max_depth`` is Spark's limit by default (the source system has none).
+    ``min_instances`` (rows a leaf needs) defaults to the training rows over
+    MAX_LEAVES, which bounds a tree whatever the number of rows."""
     # Every pass scans these rows: keep the narrow projection (memory and disk,
     # rebuilt from lineage if an executor is lost), filled by the first count.
     rows = model_rows(table, key, numeric, categorical, target).persist(StorageLevel.MEMORY_AND_DISK)
@@ -158,6 +166,8 @@ def train(spark: SparkSession, table: DataFrame, key: str, numeric: list[str],
         entries = rows.count()                                        # E6
         train_df, test_df = split(rows.na.drop(subset=numeric + categorical), key)   # C3
         prepare = preparation(train_df, numeric, categorical)
+        if min_instances is None:
+            min_instances = max(1, -(-train_df.count() // MAX_LEAVES))
         model = build_pipeline(prepare, numeric, categorical, target, num_trees, max_depth,
                                min_instances=min_instances).fit(train_df)
         m = regression_metrics(model.transform(test_df), target, "prediction").first()

@@ -20,7 +20,7 @@ from .. import schemas
 from ..functions.columns import (conform, flatten_structs, item_prefix, landing_item,
                                  sentinel_to_null, stem_of, strict_long, year_of)
 from ..operators.aggregates import keep_first
-from ..operators.joins import checked_broadcast, release_sides, explode_lookup
+from ..operators.joins import Quality, checked_broadcast, explode_lookup, reconcile, release_sides
 from ..sources import files, ledger
 from ..sources.sinks import batch_folder, new_version, write_first_or_append, write_refresh
 from ..streaming.file_feed import FILE_COL, ingest_available
@@ -73,7 +73,8 @@ def moves_lookup(spark: SparkSession, lookups: str) -> DataFrame:
 
 # --- P1 listings --------------------------------------------------------------
 
-def standardise_listings(raw: DataFrame, lookup: DataFrame, below: str = "/") -> DataFrame:
+def standardise_listings(raw: DataFrame, lookup: DataFrame, below: str = "/",
+                         quality: Quality | None = None) -> DataFrame:
     """B1 flatten, A7 per-row file date, D2 reconciliation, B4 override, B6."""
     if "_file" in raw.columns:      # streamed micro-batch: path already attached
         tagged = raw.select("*", landing_item(LISTING_SUFFIX, "_file", below).alias("_item")).drop("_file")
@@ -82,7 +83,8 @@ def standardise_listings(raw: DataFrame, lookup: DataFrame, below: str = "/") ->
     flat = flatten_structs(tagged)
     flat = flat.withColumn("queryDate", item_prefix("_item", 10)).drop("_item")
     lk = checked_broadcast(lookup, name="listing lookup")
-    joined = flat.join(lk, (flat.district == lk._di) & (flat.neighborhood == lk._ne))
+    joined = reconcile(flat, lk, (F.col("district") == F.col("_di")) & (F.col("neighborhood") == F.col("_ne")),
+                       "place", quality)
     out = joined.withColumns({"district": F.col("_di_re"), "district_id": F.col("_di_id"),
                               "neighborhood": F.col("_ne_re"),
                               "neighborhood_id": F.col("_ne_id")})
@@ -92,13 +94,13 @@ def standardise_listings(raw: DataFrame, lookup: DataFrame, below: str = "/") ->
 
 # --- P2 movements -------------------------------------------------------------
 
-def standardise_moves(raw: DataFrame, lookup: DataFrame) -> DataFrame:
+def standardise_moves(raw: DataFrame, lookup: DataFrame, quality: Quality | None = None) -> DataFrame:
     """S1 strict integer codes, S2 sentinel, D5/D6 the same lookup in the
     origin and destination roles, B8 the typed movement record."""
     lk = checked_broadcast(lookup, name="movement lookup")
-    src = lk.select(F.col("code").alias("_src"), "neighborhood_name", "neighborhood_id",
+    src = lk.select(F.col("code").alias("_src_code"), "neighborhood_name", "neighborhood_id",
                     "district_name", "district_id")
-    dst = lk.select(F.col("code").alias("_dst"),
+    dst = lk.select(F.col("code").alias("_dst_code"),
                     F.col("neighborhood_name").alias("dest_neighborhood_name"),
                     F.col("neighborhood_id").alias("dest_neighborhood_id"),
                     F.col("district_name").alias("dest_district_name"),
@@ -107,7 +109,9 @@ def standardise_moves(raw: DataFrame, lookup: DataFrame) -> DataFrame:
                       strict_long("CODI_BARRI_DEST").alias("_dst"),
                       strict_long("Any").alias("year"),
                       sentinel_to_null("Valor").alias("moved"))
-    return conform(rows.join(src, "_src").join(dst, "_dst").drop("_src", "_dst"), schemas.MOVES)
+    rows = reconcile(rows, src, F.col("_src") == F.col("_src_code"), "origin", quality)
+    rows = reconcile(rows, dst, F.col("_dst") == F.col("_dst_code"), "destination", quality)
+    return conform(rows.drop("_src", "_dst", "_src_code", "_dst_code"), schemas.MOVES)
 
 
 # --- P3 income ----------------------------------------------------------------
@@ -120,7 +124,8 @@ def spread_info(df: DataFrame, array_col: str = "info") -> DataFrame:
     return df.select(*base, F.inline(array_col))
 
 
-def standardise_income(raw: DataFrame, districts: DataFrame, neighbourhoods: DataFrame) -> DataFrame:
+def standardise_income(raw: DataFrame, districts: DataFrame, neighbourhoods: DataFrame,
+                       quality: Quality | None = None) -> DataFrame:
     """B3 rename, D7/D8 reconciliation, B4, S9/B5 spread, E5 de-duplicate."""
     base = raw.select(F.col("`neigh_name `").alias("neighborhood_name"), "district_name", "info")
     d = checked_broadcast(districts.select(F.col("district").alias("_d_raw"),
@@ -130,9 +135,9 @@ def standardise_income(raw: DataFrame, districts: DataFrame, neighbourhoods: Dat
                                                 F.col("neighborhood_reconciled").alias("_n_re"),
                                                 F.col("_id").alias("_n_id")),
                           name="neighbourhood lookup")
-    df = (base.join(d, base.district_name == d._d_raw)
-              .withColumns({"district_name": F.col("_d_re"), "district_id": F.col("_d_id")})
-              .join(n, F.col("neighborhood_name") == n._n_raw)
+    df = (reconcile(base, d, F.col("district_name") == F.col("_d_raw"), "district", quality)
+              .withColumns({"district_name": F.col("_d_re"), "district_id": F.col("_d_id")}))
+    df = (reconcile(df, n, F.col("neighborhood_name") == F.col("_n_raw"), "neighbourhood", quality)
               .withColumns({"neighborhood_name": F.col("_n_re"),
                             "neighborhood_id": F.col("_n_id")})
               .select("neighborhood_name", "district_name", "district_id", "neighborhood_id",
@@ -153,12 +158,14 @@ def _stem(path: str) -> str:
 
 
 def commit_items(spark: SparkSession, root: str, item_regex: str, out: str, led: str, pipe: str,
-                 load: Callable[[list[str]], DataFrame], by: dict[str, Column] | None = None) -> list[str]:
+                 load: Callable[[list[str]], DataFrame], by: dict[str, Column] | None = None,
+                 quality: Quality | None = None) -> list[str]:
     """A9 + A11 + A12: process only items whose stem is not in the ledger;
     overwrite the output on the first run (empty ledger), else add a batch;
     then record the stems under the batch id. ``load`` turns the new item
     paths into the standardised DataFrame (one multi-path scan); ``by`` names
-    partitions of a batch.
+    partitions of a batch; the counts that ``quality`` takes during the write
+    are recorded with it.
 
     The batch id is recorded as an intent before the write. A run that
     stopped after its write but before recording its items left such an
@@ -176,29 +183,31 @@ def commit_items(spark: SparkSession, root: str, item_regex: str, out: str, led:
     finally:
         release_sides()
     stems = [_stem(p) for p in paths]
+    if quality is not None:
+        ledger.record_quality(spark, led, pipe, quality.counts(), batch)
     ledger.append(spark, led, pipe, stems, run_id=batch)
     return stems
 
 
 def commit_listings(spark: SparkSession, land: Landing, formatted: str) -> list[str]:
     """P1 run over new ``*_idealista`` items."""
-    lookup = listing_lookup(spark, land.lookups)
+    lookup, quality = listing_lookup(spark, land.lookups), Quality()
     return commit_items(
         spark, land.listings, LISTING_ITEMS, f"{formatted}/idealista/out",
         f"{formatted}/idealista/_ledger", "idealista",
         lambda paths: reduce(DataFrame.unionByName, [
-            standardise_listings(g, lookup, files.below_root(land.listings))
-            for g in files.parquet_groups(spark, paths)]), listing_parts())
+            standardise_listings(g, lookup, files.below_root(land.listings), quality)
+            for g in files.parquet_groups(spark, paths)]), listing_parts(), quality)
 
 
 def commit_moves(spark: SparkSession, land: Landing, formatted: str) -> list[str]:
     """P2 run over new ``*_pad_cdo_b_barri-des.csv`` items."""
-    lookup = moves_lookup(spark, land.lookups)
+    lookup, quality = moves_lookup(spark, land.lookups), Quality()
     return commit_items(
         spark, land.moves, MOVES_ITEMS, f"{formatted}/padro_opendata/out",
         f"{formatted}/padro_opendata/_ledger", "padro_opendata",
         lambda paths: standardise_moves(
-            files.read_csv_items(spark, paths, schemas.RAW_MOVES_COLUMNS), lookup), moves_parts())
+            files.read_csv_items(spark, paths, schemas.RAW_MOVES_COLUMNS), lookup, quality), moves_parts(), quality)
 
 
 def commit_income(spark: SparkSession, land: Landing, formatted: str) -> list[str]:
@@ -217,16 +226,17 @@ def commit_income(spark: SparkSession, land: Landing, formatted: str) -> list[st
     if not ledger.newer_than_all(spark, mtime, led).first()["run"]:
         return []
     version = mtime.select(F.unix_micros("mtime").cast("string").alias("v")).first()["v"]
-    raw = files.read_json(spark, src, schemas.RAW_INCOME)
+    raw = files.read_json_strict(spark, src, schemas.RAW_INCOME, ["info"])
     d = files.read_json(spark, f"{land.lookups}/income_lookup_district.json",
                         schemas.INCOME_DISTRICT)
     n = files.read_json(spark, f"{land.lookups}/income_lookup_neighborhood.json",
                         schemas.INCOME_NEIGHBOURHOOD)
-    folder = new_version(out)
+    folder, quality = new_version(out), Quality()
     try:
-        write_refresh(standardise_income(raw, d, n), folder)
+        write_refresh(standardise_income(raw, d, n, quality), folder)
     finally:
         release_sides()
+    ledger.record_quality(spark, led, "income_opendata", quality.counts())
     ledger.append(spark, led, "income_opendata", [folder], kind=ledger.OUTPUT)
     ledger.append(spark, led, "income_opendata", [version], kind=ledger.VERSION)
     return [version]
@@ -258,12 +268,13 @@ def stream_listings(spark: SparkSession, land: Landing, formatted: str) -> None:
         stems = [r["_stem"] for r in fresh.select("_stem").distinct().collect()]   # names only
         if not stems:
             return
-        first = ledger.is_empty(session, led)
+        first, quality = ledger.is_empty(session, led), Quality()
         try:
-            write_first_or_append(standardise_listings(fresh.drop("_stem"), lookup, below),
+            write_first_or_append(standardise_listings(fresh.drop("_stem"), lookup, below, quality),
                                   out, first, run, listing_parts())
         finally:
             release_sides()
+        ledger.record_quality(session, led, "idealista", quality.counts(), run)
         ledger.append(session, led, "idealista", sorted(stems), run_id=run)
 
     ingest_available(spark, glob, schema, sink,

@@ -133,6 +133,30 @@ def read_json(spark: SparkSession, paths: str | list[str], schema: T.StructType)
     return spark.read.schema(schema).option("mode", "FAILFAST").json(paths)
 
 
+def read_json_strict(spark: SparkSession, path: str, schema: T.StructType, arrays: list[str]) -> DataFrame:
+    """A3 + B6: JSON lines with a declared schema, where the records of the
+    struct arrays ``arrays`` may hold declared fields only.
+
+    Each line is parsed once, as a variant; declared fields are taken from it
+    with their types (a value of another type fails the job), and the keys that
+    the records really have are compared with the declared ones: any other
+    fails the job, which names it. Absent fields are null."""
+    lines = spark.read.option("singleVariantColumn", "v").option("mode", "FAILFAST").json(path)
+    cols = []
+    for f in schema.fields:
+        at = "$['" + f.name.replace("\\", "\\\\").replace("'", "\\'") + "']"
+        c = F.variant_get("v", at, f.dataType.simpleString())
+        if f.name in arrays:
+            known = [F.lit(n) for n in f.dataType.elementType.fieldNames()]
+            records = F.variant_get("v", at, "array<map<string,variant>>")
+            keys = F.array_distinct(F.flatten(F.transform(F.filter(records, lambda r: r.isNotNull()), F.map_keys)))
+            other = F.array_except(keys, F.array(*known))
+            message = F.concat(F.lit(f"undeclared fields in {f.name}: "), F.array_join(F.array_sort(other), ", "))
+            c = F.when(F.size(other) > 0, F.raise_error(message).cast(f.dataType)).otherwise(c)
+        cols.append(c.alias(f.name))
+    return lines.select(*cols)
+
+
 def max_mtime(spark: SparkSession, root: str) -> DataFrame:
     """A15/A16 input: the latest modification time under a directory, as a
     one-row DataFrame (file metadata only)."""

@@ -11,6 +11,7 @@ interrupted run is visible in the ledger itself.
 from __future__ import annotations
 
 import datetime as _dt
+import json
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,7 +19,7 @@ from pyspark.sql.utils import AnalysisException
 
 from .. import schemas
 
-ITEM, VERSION, RESET, PENDING, OUTPUT = "item", "version", "reset", "pending", "output"
+ITEM, VERSION, RESET, PENDING, OUTPUT, QUALITY = "item", "version", "reset", "pending", "output", "quality"
 
 
 def _now() -> _dt.datetime:
@@ -76,8 +77,23 @@ def reset(spark: SparkSession, path: str, pipe: str) -> None:
 
 
 def is_empty(spark: SparkSession, path: str) -> bool:
-    """No processed entry since the latest reset (write intents do not count)."""
-    return active(spark, path).where(F.col("kind") != PENDING).limit(1).count() == 0
+    """No processed entry since the latest reset (write intents and counts do
+    not count)."""
+    return active(spark, path).where(~F.col("kind").isin(PENDING, QUALITY)).limit(1).count() == 0
+
+
+def record_quality(spark: SparkSession, path: str, pipe: str, counts: dict[str, dict[str, int]],
+                   run_id: str | None = None) -> None:
+    """One row per run: the counts of its reconciliation steps, as JSON."""
+    append(spark, path, pipe, [json.dumps(counts, sort_keys=True)], kind=QUALITY, run_id=run_id)
+
+
+def quality(spark: SparkSession, path: str) -> DataFrame:
+    """(pipe, run_id, ts, step, rows, unknown) of all recorded runs."""
+    steps = F.from_json("item", "map<string, struct<rows: bigint, unknown: bigint>>")
+    return (read(spark, path).where(F.col("kind") == QUALITY)
+            .select("pipe", "run_id", "ts", F.explode(steps).alias("step", "c"))
+            .select("pipe", "run_id", "ts", "step", "c.rows", "c.unknown"))
 
 
 def current_output(spark: SparkSession, path: str) -> str | None:
