@@ -11,6 +11,9 @@ join is immune to a hot key on the large side: no row of the large side moves.
 from __future__ import annotations
 
 import logging
+from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
+from contextvars import ContextVar, copy_context
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Observation
@@ -55,15 +58,32 @@ def measure(df: DataFrame) -> tuple[int, int]:
     return r["rows"], sum(r[f"_b{i}"] or 0 for i in range(len(df.schema.fields)))
 
 
-_HELD: list[DataFrame] = []
+_SCOPE: ContextVar[list[DataFrame] | None] = ContextVar("held sides", default=None)
 
 
-def release_sides() -> None:
-    """Unpersist the sides that ``checked_broadcast`` has persisted. Jobs call
-    it after each write: Spark finds cached data by plan, so a side kept longer
-    would hide later changes of its files."""
-    while _HELD:
-        _HELD.pop().unpersist()
+@contextmanager
+def held_sides():
+    """A run's scope: the sides that ``checked_broadcast`` persists inside are
+    unpersisted at its end, those of other runs are not touched. Spark finds
+    cached data by plan, so a side kept longer would hide later changes of its
+    files."""
+    own: list[DataFrame] = []
+    token = _SCOPE.set(own)
+    try:
+        yield
+    finally:
+        _SCOPE.reset(token)
+        for df in own:
+            df.unpersist()
+
+
+def checked_broadcasts(sides: dict[str, DataFrame]) -> list[DataFrame]:
+    """``checked_broadcast`` of several sides that do not depend on each other,
+    measured at the same time."""
+    with ThreadPoolExecutor(len(sides)) as pool:
+        # Each side is measured in a copy of this run's scope.
+        jobs = [pool.submit(copy_context().run, checked_broadcast, df, name=name) for name, df in sides.items()]
+        return [j.result() for j in jobs]
 
 
 def checked_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS,
@@ -78,7 +98,9 @@ def checked_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS,
     """
     if persist:
         df = df.persist(StorageLevel.MEMORY_AND_DISK)
-        _HELD.append(df)
+        scope = _SCOPE.get()
+        if scope is not None:
+            scope.append(df)
     if df.sparkSession.conf.get(BROADCAST_SWITCH, "true").lower() == "false":
         return df
     n, size = measure(df)

@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from .. import schemas
 from ..functions.columns import conform, query_date, query_timestamp, year_of
 from ..operators.aggregates import latest_per_key, null_preserving_sum, sum_per_key
-from ..operators.joins import checked_broadcast
+from ..operators.joins import checked_broadcast, checked_broadcasts
 
 PLACE = ["district_id", "neighborhood_id"]
 PLACE_YEAR = PLACE + ["year"]
@@ -116,8 +116,8 @@ def sale_price_rows(listings: DataFrame, latest: DataFrame, keep: tuple[str, ...
 
 def sales_rows(listings: DataFrame, latest: DataFrame, sums: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """``sums`` holds move_in and move_out per place and year."""
-    latest = checked_broadcast(latest.select(*PLACE, F.col("pop").alias("population"), "RFD"), name="latest income")
-    sums = checked_broadcast(sums, name="movement sums")
+    latest, sums = checked_broadcasts({
+        "latest income": latest.select(*PLACE, F.col("pop").alias("population"), "RFD"), "movement sums": sums})
     wide = (listings.withColumn("year", year_of("queryDate"))
                     .join(latest, PLACE)
                     .join(sums, PLACE_YEAR)

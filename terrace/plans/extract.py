@@ -18,8 +18,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
-from ..operators.joins import release_sides
-from ..sources import files, ledger
+from ..operators.joins import held_sides
+from ..sources import files, ledger, releases
 from ..sources.sinks import new_version, publish, write_refresh
 from . import curate
 from .standardise import read_formatted
@@ -48,6 +48,10 @@ CURATED = {
 }
 
 
+SCHEMAS = {"neighbourhood": schemas.NEIGHBOURHOOD, "real_estate": schemas.REAL_ESTATE,
+           "sale_prices": schemas.SALE_PRICES, "sales": schemas.SALES}
+
+
 def version_vector(spark: SparkSession, roots: dict[str, str]) -> DataFrame:
     """(source, version) rows: latest file time under each input folder."""
     parts = [files.max_mtime(spark, path).select(F.lit(name).alias("source"),
@@ -65,10 +69,8 @@ def extract(spark: SparkSession, table: str, formatted: str, exploitation: str)
     if ledger.version_vector_fresh(spark, current, led).first()["fresh"]:
         return None
     out = new_version(f"{exploitation}/{table}")
-    try:
+    with held_sides():
         write_refresh(plan(spark, formatted), out)
-    finally:
-        release_sides()
     # The folder is recorded before the versions: a run that stops between
     # here and publishing leaves what the next run needs to publish it.
     ledger.append(spark, led, table, [out], kind=ledger.OUTPUT)
@@ -102,6 +104,35 @@ def published(spark: SparkSession, database: str, table: str, exploitation: str
     return spark.table(f"`{database}`.`{table}`")
 
 
+def record_release(spark: SparkSession, exploitation: str) -> str | None:
+    """Record the set of published folders as a release, if it is a whole set:
+    every table is published at its latest output, and all were made from the
+    same versions of the inputs that they share. Returns the new release, or
+    None if the set is not whole or not new. Until then readers of
+    ``released`` stay on the earlier set."""
+    status = {r["pipe"]: r for r in ledger.last_status(spark, f"{exploitation}/_publish_status").collect()}
+    now: releases.Entries = {}
+    versions: dict[str, set[str]] = {}
+    for table in CURATED:
+        led = f"{exploitation}/{table}/_ledger"
+        out, seen = ledger.current_output(spark, led), status.get(table)
+        if out is None or seen is None or seen["status"] != ledger.SUCCESS or seen["output"] != out:
+            return None
+        now[table] = {"all": out}
+        for r in ledger.last_versions(spark, led).collect():              # one row per input
+            source, version = r["item"].split("=", 1)
+            versions.setdefault(source, set()).add(version)
+    if any(len(v) > 1 for v in versions.values()) or releases.entries(spark, exploitation) == now:
+        return None
+    return releases.commit(spark, exploitation, now)
+
+
+def released(spark: SparkSession, exploitation: str, table: str, release: str | None = None) -> DataFrame:
+    """A curated table as one release has it (default: the latest). Tables of a
+    release were made from the same inputs."""
+    return releases.read(spark, exploitation, table, SCHEMAS[table], release)
+
+
 def run(spark: SparkSession, formatted: str, exploitation: str, tables: list[str] | None = None,
         location: str | None = None) -> dict[str, str]:
     """Extract and publish; a fresh table is skipped, unless its last output has
@@ -126,4 +157,5 @@ def run(spark: SparkSession, formatted: str, exploitation: str, tables: list[str
             continue
         ok = publish_tracked(spark, table, out, database, status_log, location)
         result[table] = ledger.SUCCESS if ok else ledger.FAILED
+    record_release(spark, exploitation)
     return result

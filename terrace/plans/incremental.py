@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..functions.columns import conform
-from ..operators.joins import release_sides
+from ..operators.joins import held_sides
 from ..sources import files, ledger, releases
 from .curate import (PLACE, PLACE_YEAR, latest_income, listing_counts, neighbourhood_rows, real_estate_rows,
                      sale_price_rows, sales_rows)
@@ -190,10 +190,8 @@ def refresh(spark: SparkSession, formatted: str, exploitation: str) -> str | Non
     run = _Run(spark, formatted, exploitation)
     if not any(run.fresh.values()):
         return None
-    try:
+    with held_sides():
         _refresh(run)
-    finally:
-        release_sides()
     return releases.commit(spark, run.root, run.entries, run.name)
 
 

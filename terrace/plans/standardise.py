@@ -20,7 +20,7 @@ from .. import schemas
 from ..functions.columns import (conform, flatten_structs, item_prefix, landing_item,
                                  sentinel_to_null, stem_of, strict_long, year_of)
 from ..operators.aggregates import keep_first
-from ..operators.joins import Quality, checked_broadcast, explode_lookup, reconcile, release_sides
+from ..operators.joins import Quality, checked_broadcast, explode_lookup, reconcile, held_sides
 from ..sources import files, ledger
 from ..sources.sinks import batch_folder, new_version, write_first_or_append, write_refresh
 from ..streaming.file_feed import FILE_COL, ingest_available
@@ -178,10 +178,8 @@ def commit_items(spark: SparkSession, root: str, item_regex: str, out: str, led:
     first = ledger.is_empty(spark, led)
     batch = (None if first else ledger.unfinished_batch(spark, led)) or _run_id()
     ledger.begin(spark, led, pipe, batch)
-    try:
+    with held_sides():
         write_first_or_append(load(paths), out, first, batch, by)
-    finally:
-        release_sides()
     stems = [_stem(p) for p in paths]
     if quality is not None:
         ledger.record_quality(spark, led, pipe, quality.counts(), batch)
@@ -232,10 +230,8 @@ def commit_income(spark: SparkSession, land: Landing, formatted: str) -> list[st
     n = files.read_json(spark, f"{land.lookups}/income_lookup_neighborhood.json",
                         schemas.INCOME_NEIGHBOURHOOD)
     folder, quality = new_version(out), Quality()
-    try:
+    with held_sides():
         write_refresh(standardise_income(raw, d, n, quality), folder)
-    finally:
-        release_sides()
     ledger.record_quality(spark, led, "income_opendata", quality.counts())
     ledger.append(spark, led, "income_opendata", [folder], kind=ledger.OUTPUT)
     ledger.append(spark, led, "income_opendata", [version], kind=ledger.VERSION)
@@ -269,11 +265,9 @@ def stream_listings(spark: SparkSession, land: Landing, formatted: str) -> None:
         if not stems:
             return
         first, quality = ledger.is_empty(session, led), Quality()
-        try:
+        with held_sides():
             write_first_or_append(standardise_listings(fresh.drop("_stem"), lookup, below, quality),
                                   out, first, run, listing_parts())
-        finally:
-            release_sides()
         ledger.record_quality(session, led, "idealista", quality.counts(), run)
         ledger.append(session, led, "idealista", sorted(stems), run_id=run)
 

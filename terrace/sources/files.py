@@ -47,6 +47,13 @@ def children(spark: SparkSession, folder: str) -> list[Child]:
     return sorted(out)
 
 
+def remove(spark: SparkSession, paths: list[str]) -> None:
+    """Delete files or folders that no reader names any more."""
+    for path in paths:
+        p = spark._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def list_items(spark: SparkSession, root: str, item_regex: str) -> DataFrame:
     """One row per landing item under ``root`` whose name matches
     ``item_regex`` (a regex on the item name, anchored at both ends):

@@ -1,8 +1,8 @@
 """Processed-item ledger, version gates and publish status.
 
-The ledger is an append-only Parquet table per pipe. Nothing is ever deleted:
+The ledger is an append-only Parquet table per pipe. No entry is ever deleted:
 a reset appends a marker, and readers only see entries after the latest
-marker. Each append is one small Spark write; the gates are aggregates over
+marker. Past MAX_TAIL files its entries are gathered in a snapshot (``compact``). Each append is one small Spark write; the gates are aggregates over
 the ledger (``max``/``max_by``), evaluated in Spark. An append run records
 its batch id as an intent before writing and its items after, so an
 interrupted run is visible in the ledger itself.
@@ -18,20 +18,60 @@ from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from .. import schemas
+from . import files
 
 ITEM, VERSION, RESET, PENDING, OUTPUT, QUALITY = "item", "version", "reset", "pending", "output", "quality"
+COVERED = "covered"                    # in a snapshot: a file whose rows it holds
+SNAPSHOTS = "_snapshots"
+MAX_TAIL = 64                          # appended files beside a snapshot
 
 
 def _now() -> _dt.datetime:
     return _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
 
 
+def _snapshots(spark: SparkSession, path: str) -> list[files.Child]:
+    """Complete snapshots, oldest first: folders that hold their one file."""
+    return [c for c in files.children(spark, f"{path}/{SNAPSHOTS}")
+            if c.is_dir and any(f.name.endswith(".parquet") for f in files.children(spark, c.path))]
+
+
+def _parts(spark: SparkSession, path: str) -> tuple[DataFrame | None, list[files.Child]]:
+    """(latest snapshot, appended files that it does not cover)."""
+    tail = [c for c in files.children(spark, path) if c.name.endswith(".parquet")]
+    done = _snapshots(spark, path)
+    if not done:
+        return None, tail
+    snapshot = spark.read.schema(schemas.LEDGER).parquet(done[-1].path)
+    covered = {r["item"] for r in snapshot.where(F.col("kind") == COVERED).select("item").collect()}
+    return snapshot.where(F.col("kind") != COVERED), [c for c in tail if c.name not in covered]
+
+
 def read(spark: SparkSession, path: str) -> DataFrame:
-    """All ledger rows; an absent ledger reads as empty."""
-    try:
-        return spark.read.schema(schemas.LEDGER).parquet(path)
-    except AnalysisException:
-        return spark.createDataFrame([], schemas.LEDGER)
+    """All ledger rows, from the latest snapshot and the files appended
+    since; an absent ledger reads as empty."""
+    snapshot, tail = _parts(spark, path)
+    if tail:
+        rows = spark.read.schema(schemas.LEDGER).parquet(*[c.path for c in tail])
+        return rows if snapshot is None else snapshot.unionByName(rows)
+    return spark.createDataFrame([], schemas.LEDGER) if snapshot is None else snapshot
+
+
+def compact(spark: SparkSession, path: str) -> None:
+    """Write all rows into a new snapshot, one file that also names the appended
+    files it covers, so that it exists whole or not at all. Covered files are
+    not read any more; those that the snapshot before covers too are removed,
+    and older snapshots with them (readers that began before a compaction still
+    find what they listed). A compaction that stops anywhere loses nothing."""
+    older = _snapshots(spark, path)
+    now = [c for c in files.children(spark, path) if c.name.endswith(".parquet")]
+    rows = read(spark, path)
+    names = spark.createDataFrame([("", c.name, COVERED, "", _now()) for c in now], schemas.LEDGER)
+    rows.unionByName(names).coalesce(1).write.parquet(f"{path}/{SNAPSHOTS}/{_now():%Y%m%dT%H%M%S%f}")
+    if older:
+        before = {r["item"] for r in spark.read.schema(schemas.LEDGER).parquet(older[-1].path)
+                  .where(F.col("kind") == COVERED).select("item").collect()}
+        files.remove(spark, [c.path for c in now if c.name in before] + [c.path for c in older[:-1]])
 
 
 def last_reset(spark: SparkSession, path: str) -> int:
@@ -69,6 +109,8 @@ def append(spark: SparkSession, path: str, pipe: str, entries: list[str], kind:
     run_id = run_id or ts.strftime("%Y%m%dT%H%M%S%f")
     rows = [(pipe, e, kind, run_id, ts) for e in entries] or [(pipe, "", kind, run_id, ts)]
     spark.createDataFrame(rows, schemas.LEDGER).coalesce(1).write.mode("append").parquet(path)
+    if len(_parts(spark, path)[1]) > MAX_TAIL:
+        compact(spark, path)
 
 
 def reset(spark: SparkSession, path: str, pipe: str) -> None:

@@ -85,7 +85,21 @@ def test_released_sides_see_new_files(spark, tmp_path):
     for name in ("old", "new"):
         spark.createDataFrame([(1, name)], "k int, name string").write.mode("overwrite").parquet(path)
         spark.catalog.refreshByPath(path)
-        side = joins.checked_broadcast(spark.read.parquet(path), name="lookup")
-        names.append(spark.range(1, 2).join(side, F.col("id") == F.col("k")).first()["name"])
-        joins.release_sides()
+        with joins.held_sides():
+            side = joins.checked_broadcast(spark.read.parquet(path), name="lookup")
+            names.append(spark.range(1, 2).join(side, F.col("id") == F.col("k")).first()["name"])
     assert names == ["old", "new"]
+
+
+def test_a_run_releases_its_own_sides_only(spark):
+    held = lambda sides: [s.storageLevel.useMemory for s in sides]
+    with joins.held_sides():
+        joins.checked_broadcast(spark.range(5).withColumn("x", F.lit("outer")))
+        outer = list(joins._SCOPE.get())
+        with joins.held_sides():
+            sides = joins.checked_broadcasts({"a": spark.range(6).withColumn("y", F.lit("a")),
+                                              "b": spark.range(7).withColumn("y", F.lit("b"))})
+            inner = list(joins._SCOPE.get())
+            assert [s.count() for s in sides] == [6, 7] and held(inner) == [True, True]
+        assert held(outer) == [True] and held(inner) == [False, False]
+    assert held(outer) == [False]

@@ -4,7 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from terrace import schemas
-from terrace.plans import catalogue, curate, incremental, standardise, standins
+from terrace.operators import joins
+from terrace.plans import catalogue, curate, extract, incremental, standardise, standins
 from terrace.session import scratch_path
 from terrace.sources import files, ledger, releases
 
@@ -15,6 +16,18 @@ def _same_rows(a, b):
     return a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
 
+@pytest.fixture(autouse=True)
+def scope():
+    """The full refreshes that the tests compare with release their sides too."""
+    with joins.held_sides():
+        yield
+
+
+def _as_full(spark, formatted, exploitation, table):
+    with joins.held_sides():
+        return _same_rows(incremental.table(spark, exploitation, table), _full(spark, formatted, table))
+
+
 def _full(spark, formatted, table):
     """The curated table from the whole formatted zone."""
     read = {s: standardise.read_formatted(spark, formatted, s, k) for s, k in (
@@ -50,7 +63,7 @@ def test_each_delivery_equals_a_full_refresh(spark, zone):
             catalogue.write_formatted_income(spark, income, formatted)
         assert incremental.refresh(spark, formatted, exploitation)
         for table in incremental.TABLES:
-            assert _same_rows(incremental.table(spark, exploitation, table), _full(spark, formatted, table)), (number, table)
+            assert _as_full(spark, formatted, exploitation, table), (number, table)
     # An earlier release is still what it was.
     assert incremental.table(spark, exploitation, "sales", first).count() == before == kept.count()
 
@@ -69,7 +82,7 @@ def test_a_delivery_of_listings_reads_its_batch_only(spark, zone):
     assert incremental.refresh(spark, formatted, exploitation)
     new = releases.entries(spark, root)["sales"]
     assert set(old.items()) < set(new.items())
-    assert _same_rows(incremental.table(spark, exploitation, "sales"), _full(spark, formatted, "sales"))
+    assert _as_full(spark, formatted, exploitation, "sales")
 
 
 def test_years_prune_the_scan_at_run_time(spark, zone):
@@ -104,7 +117,7 @@ def test_a_run_without_its_release_changes_nothing(spark, zone, monkeypatch):
     monkeypatch.undo()
     assert (releases.latest(spark, root), incremental.table(spark, exploitation, "sales").count()) == before
     assert incremental.refresh(spark, formatted, exploitation)
-    assert _same_rows(incremental.table(spark, exploitation, "sales"), _full(spark, formatted, "sales"))
+    assert _as_full(spark, formatted, exploitation, "sales")
 
 
 def test_partials_are_merged_and_a_reset_starts_over(spark, zone, monkeypatch):
@@ -116,14 +129,14 @@ def test_partials_are_merged_and_a_reset_starts_over(spark, zone, monkeypatch):
     ledger.append(spark, f"{formatted}/idealista/_ledger", "idealista", ["more"], run_id="more")
     assert incremental.refresh(spark, formatted, exploitation)
     assert len(set(releases.entries(spark, root)[incremental.LISTINGS].values())) == 1
-    assert _same_rows(incremental.table(spark, exploitation, "real_estate"), _full(spark, formatted, "real_estate"))
+    assert _as_full(spark, formatted, exploitation, "real_estate")
 
     for source in ("idealista", "padro_opendata"):
         ledger.reset(spark, f"{formatted}/{source}/_ledger", source)
     catalogue.write_formatted_batches(spark, SF_SMALL, formatted, 0, 2)
     assert incremental.refresh(spark, formatted, exploitation)
     for table in incremental.TABLES:
-        assert _same_rows(incremental.table(spark, exploitation, table), _full(spark, formatted, table)), table
+        assert _as_full(spark, formatted, exploitation, table), table
 
 
 def test_a_single_movement_without_value_stays_null(spark):
@@ -154,3 +167,74 @@ def test_releases_hold_whole_sets(spark):
     assert releases.read(spark, root, "t", schema, run).count() == 7
     with pytest.raises(LookupError):
         releases.read(spark, root, "missing", schema)
+
+
+def test_published_tables_move_as_one_set(spark, monkeypatch):
+    """A publish that fails leaves readers of the release on the earlier set."""
+    root = scratch_path(spark, "sets")
+    formatted, exploitation = f"{root}/formatted", f"{root}/exploitation"
+    location = f"{exploitation}/warehouse"
+    tag = root.rsplit("-", 1)[-1]
+    monkeypatch.setattr(extract, "CURATED", {t: (f"{db}_{tag}", i, p) for t, (db, i, p) in extract.CURATED.items()})
+    catalogue.write_formatted_income(spark, standins.income(spark, SF_SMALL), formatted)
+    catalogue.write_formatted_batches(spark, SF_SMALL, formatted, 0, 2)
+    assert set(extract.run(spark, formatted, exploitation, location=location).values()) == {ledger.SUCCESS}
+    first = releases.latest(spark, exploitation)
+    rows = {t: extract.released(spark, exploitation, t).count() for t in extract.CURATED}
+    assert first and extract.run(spark, formatted, exploitation, location=location) == dict.fromkeys(extract.CURATED, "fresh")
+    assert releases.latest(spark, exploitation) == first
+
+    catalogue.write_formatted_batches(spark, SF_SMALL, formatted, 1, 2)
+    plain = extract.publish
+    monkeypatch.setattr(extract, "publish", lambda s, out, db, table, loc: (_ for _ in ()).throw(OSError("catalog away"))
+                        if table == "sale_prices" else plain(s, out, db, table, loc))
+    result = extract.run(spark, formatted, exploitation, location=location)
+    assert result["sale_prices"] == ledger.FAILED and result["sales"] == ledger.SUCCESS
+    assert releases.latest(spark, exploitation) == first
+    assert {t: extract.released(spark, exploitation, t).count() for t in extract.CURATED} == rows
+
+    monkeypatch.setattr(extract, "publish", plain)
+    assert extract.run(spark, formatted, exploitation, location=location)["sale_prices"] == ledger.SUCCESS
+    assert releases.latest(spark, exploitation) != first
+    assert extract.released(spark, exploitation, "sale_prices").count() > rows["sale_prices"]
+
+
+# --- ledger snapshots -----------------------------------------------------------------
+
+def _items(spark, led):
+    return sorted(r["item"] for r in ledger.processed_items(spark, led).collect())
+
+
+def test_the_number_of_ledger_files_is_bounded(spark, monkeypatch):
+    monkeypatch.setattr(ledger, "MAX_TAIL", 4)
+    led = scratch_path(spark, "ledger")
+    for i in range(30):
+        ledger.append(spark, led, "p", [f"i{i:02d}"], run_id=f"r{i:02d}")
+        assert len(files.children(spark, led)) <= 3 * ledger.MAX_TAIL
+    assert _items(spark, led) == [f"i{i:02d}" for i in range(30)]
+    assert len(files.children(spark, f"{led}/{ledger.SNAPSHOTS}")) <= 3
+    assert ledger.committed_batches(spark, led) == [f"r{i:02d}" for i in range(30)]
+    ledger.reset(spark, led, "p")
+    assert _items(spark, led) == [] and ledger.is_empty(spark, led)
+
+
+def test_an_interrupted_compaction_loses_nothing(spark, monkeypatch):
+    monkeypatch.setattr(ledger, "MAX_TAIL", 10**6)
+    led = scratch_path(spark, "ledger")
+    for i in range(4):
+        ledger.append(spark, led, "p", [f"i{i}"])
+    # Stopped before the snapshot's file appeared: a folder without one.
+    spark.range(1).write.parquet(f"{led}/{ledger.SNAPSHOTS}/99990101T000000000000/_temporary/x")
+    assert _items(spark, led) == ["i0", "i1", "i2", "i3"]
+    files.remove(spark, [f"{led}/{ledger.SNAPSHOTS}/99990101T000000000000"])
+    ledger.compact(spark, led)
+    ledger.append(spark, led, "p", ["i4"])
+    # Stopped between the snapshot and the removal of what it covers.
+    monkeypatch.setattr(files, "remove", lambda *a: (_ for _ in ()).throw(OSError("stopped")))
+    with pytest.raises(OSError):
+        ledger.compact(spark, led)
+    assert _items(spark, led) == [f"i{i}" for i in range(5)]
+    monkeypatch.undo()
+    ledger.append(spark, led, "p", ["i5"])
+    ledger.compact(spark, led)
+    assert _items(spark, led) == [f"i{i}" for i in range(6)]
