@@ -7,6 +7,8 @@ return the columns of documents.
 
 from __future__ import annotations
 
+import logging
+import secrets
 from collections.abc import Callable
 
 import public_tokenizers
@@ -14,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terrace.llm import bpe, decontaminate, language_id, pii, simhash
-from terrace.llm.queries import PII_KEY, VOCABULARY, table
+from terrace.llm.queries import VOCABULARY, table
 from terrace.llm.shared import cut
 
 
@@ -35,9 +37,25 @@ def decontaminate_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -
     return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"))
 
 
+KEY_SETTING = "spark.terrace.pii.key"
+
+
+def pseudonym_key(spark: SparkSession) -> bytes:
+    """The secret key of the pseudonyms, from the session's settings. Without
+    one, a run draws its own: its pseudonyms cannot be turned back, and equal
+    values are linked within this run only."""
+    key = spark.conf.get(KEY_SETTING, None)
+    if key is not None and not key.strip():
+        raise ValueError(f"{KEY_SETTING} is empty")
+    if key is None:
+        logging.getLogger(__name__).warning("%s is not set: this run uses a key of its own", KEY_SETTING)
+        return secrets.token_bytes(32)
+    return key.encode("utf-8")
+
+
 def pseudonymise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal numbers and dates are replaced in the texts."""
-    return pii.pseudonymise(docs, PII_KEY, chars_col="n_chars")
+    return pii.pseudonymise(docs, pseudonym_key(spark), chars_col="n_chars")
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -55,7 +73,8 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
 ]
 
 # A learnt classifier, XXH64 fingerprints, keyed pseudonyms and BPE have no SQL
-# form; tests compare the pipeline with brute force.
+# form. tests/llm/test_pipeline.py compares the rows of each stage with plain
+# Python over its input.
 ORACLE_SQL = None
 
 
