@@ -5,6 +5,7 @@ import re
 from collections import Counter
 
 import pytest
+import regex
 from pyspark.sql import types as T
 
 from terrace.llm import decontaminate, license_scan
@@ -183,7 +184,95 @@ def test_neighbouring_gnu_notices_are_told_apart(spark):
     for r in license_scan.scan(df).where("NOT base").collect():
         got.setdefault(keys[r.text_key], set()).add(r.label)
     assert [got.get(i, set()) for i in range(1, 8)] == [
-        {"gpl"}, {"lgpl"}, set(), {"lgpl"}, {"gpl", "lgpl"}, {"gpl"}, {"gpl", "lgpl"}]
+        {"gpl"}, {"lgpl"}, {"agpl"}, {"lgpl"}, {"gpl", "lgpl"}, {"gpl"}, {"gpl", "lgpl"}]
     assert all(got[100 + i] == {label} for i, (label, _) in enumerate(license_scan.TEXTS))
     labels = {r.doc_id: r.labels for r in license_scan.report(df).collect()}
-    assert labels[1] == "gpl" and labels[2] == "gpl,lgpl" and labels[3] == "gpl"
+    assert labels[1] == "gpl" and labels[2] == "gpl,lgpl" and labels[3] == "agpl,gpl"
+
+
+def word_distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        last, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+    return row[-1]
+
+
+def brute_labels(text):
+    """(labels, score) by the documented rule, from the words themselves."""
+    w, out = words(text), []
+    for label, phrase in [(x, p) for p, x in license_scan.PHRASES] + list(license_scan.TEXTS):
+        t = words(phrase)
+        base = (phrase, label) in license_scan.PHRASES
+        if base or len(t) < 8:
+            out += [(label, 1.0)] * any(w[i:i + len(t)] == t for i in range(len(w)))
+            continue
+        at = {}
+        for j in range(len(t) - 3):
+            at.setdefault(tuple(t[j:j + 4]), []).append(j)
+        hits = {(i, j) for i in range(len(w) - 3) for j in at.get(tuple(w[i:i + 4]), [])}
+        bands = {}
+        for i, j in hits:
+            for grid, shift in ((0, 0), (1, license_scan.DRIFT)):
+                bands.setdefault((grid, (i - j + shift) // (2 * license_scan.DRIFT)), set()).add((i, j))
+        for own in bands.values():
+            if len(own) < license_scan.VOTES * (len(t) - 3):
+                continue
+            win = w[min(i for i, _ in own):max(i for i, _ in own) + 4]
+            coverage = 1 - word_distance(win, t) / len(t)
+            joined = f" {' '.join(win)} "
+            fits = {"gpl": not re.search(license_scan.OTHER_GNU, joined) or regex.search(license_scan.PLAIN_GPL, joined),
+                    "lgpl": re.search(license_scan.LESSER_GPL, joined), "agpl": re.search(license_scan.AFFERO_GPL, joined)}
+            if coverage >= license_scan.COVERAGE and fits.get(label, True):
+                out.append((label, coverage))
+    return ",".join(sorted({x for x, _ in out})), max((c for _, c in out), default=0.0)
+
+
+def license_variants():
+    rng = random.Random(31)
+    other = lambda n: ["".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(n)]
+    rows = license_sample()[:40]
+    for i, (_, text) in enumerate(license_scan.TEXTS):
+        w = text.split()
+        for edits in (0, 1, max(1, len(w) // 12), len(w) // 4):
+            v = list(w)
+            for _ in range(edits):
+                p = rng.randrange(len(v))
+                v[p:p + rng.choice((0, 1, 2))] = other(rng.choice((0, 1, 1)))
+            rows.append((1000 + 10 * i + edits % 10, " ".join(other(rng.randint(0, 30)) + v + other(rng.randint(0, 30)))))
+        rows.append((2000 + i, " ".join(w[:len(w) // 2])))
+        rows.append((3000 + i, " ".join(w + other(rng.randint(0, 9)) + w)))
+        parts = [w[a:a + 5] for a in range(0, max(1, len(w) - 4), 2)]
+        rows.append((4000 + i, " ".join(x for part in reversed(parts) for x in part)))
+    return rows
+
+
+def test_labels_and_score_match_brute_force(spark):
+    rows = license_variants()
+    got = sorted(((r.doc_id, r.labels, round(r.score, 9)) for r in license_scan.report(frame(spark, rows)).collect()), key=str)
+    want = sorted(((d, labels, round(score, 9)) for d, t in rows for labels, score in [brute_labels(t)]), key=str)
+    assert got == want
+
+
+def test_words_in_another_order_give_no_label(spark):
+    """The fragments of a license, written backwards, are not that license."""
+    rows = [(i, t) for i, t in license_variants() if i is not None and i >= 4000 and len(license_scan.TEXTS[i - 4000][1].split()) > 12]
+    assert {r.labels for r in license_scan.report(frame(spark, rows)).collect()} <= {"", "gpl", "apache", "mit"}
+    long = {r.label for r in license_scan.scan(frame(spark, rows)).where("NOT base AND n_words > 8").collect()}
+    assert long == set()
+
+
+def test_spans_are_no_longer_than_their_template_and_the_band(spark):
+    rows = license_variants()
+    sizes = {}
+    for i, (_, text) in enumerate(license_scan.TEXTS):
+        sizes[len(license_scan.PHRASES) + i] = len(words(text))
+    found = license_scan.scan(frame(spark, rows)).where("NOT base").collect()
+    assert found and all(r.n_words <= sizes[r.template] + 2 * license_scan.DRIFT for r in found)
+    spans = {}
+    for r in found:
+        spans.setdefault((r.text_key, r.template), []).append((r.start, r.start + r.n_words))
+    for own in spans.values():
+        own.sort()
+        assert all(a[1] <= b[0] for a, b in zip(own, own[1:]))
