@@ -42,15 +42,19 @@ class Layout:
 
 
 LAYOUTS = (
-    Layout("messages", ("messages[].role", "messages[].content"), turns="messages", role="role", text="content"),
+    Layout("messages", ("messages[].role", "messages[].content"), ("system",),
+           turns="messages", role="role", text="content", fields=(("system", "system"),)),
     Layout("message parts", ("messages[].role", "messages[].content[].text"),
-           ("messages[].content", "messages[].content[].type"), turns="messages", role="role", text="content"),
+           ("messages[].content", "messages[].content[].type", "system"),
+           turns="messages", role="role", text="content", fields=(("system", "system"),)),
     Layout("no messages", ("messages[]",), turns="messages", role="role", text="content"),
     Layout("from and value", ("conversations[].from", "conversations[].value"), ("system",),
            turns="conversations", role="from", text="value", fields=(("system", "system"),)),
     Layout("dialogue", ("dialogue[].speaker", "dialogue[].text"), turns="dialogue", role="speaker", text="text"),
     Layout("instruction", ("instruction", "output"), ("input", "system"),
            fields=(("system", "system"), ("user", "instruction+input"), ("assistant", "output"))),
+    Layout("instruction and response", ("instruction", "response"), ("context", "system"),
+           fields=(("system", "system"), ("user", "context+instruction"), ("assistant", "response"))),
     Layout("completion", ("prompt", "completion"), ("system",),
            fields=(("system", "system"), ("user", "prompt"), ("assistant", "completion"))),
     Layout("response", ("prompt", "response"), ("system",),
@@ -90,34 +94,55 @@ def registry(layouts=LAYOUTS) -> dict[str, Layout]:
 REGISTRY = registry()
 
 
+def layout_of(found: set[str]) -> Layout | None:
+    """The layout of a fingerprint. A record that also has known fields of
+    another layout takes the first one whose needed fields it has, by the
+    fingerprint of that layout's own fields."""
+    exact = REGISTRY.get(fingerprint(found))
+    if exact is not None:
+        return exact
+    for x in LAYOUTS:
+        if found.issuperset(x.needs):
+            return REGISTRY.get(fingerprint(found & {*x.needs, *x.may}))
+    return None
+
+
+_SURROGATE = re.compile("[\ud800-\udfff]")
+
+
 def _plain(value) -> str:
-    """Text of a content value: a string, or the texts of a list of parts."""
+    """Text of a content value: a string, or the texts of a list of parts.
+    Lone surrogates, which no text in UTF-8 can hold, become U+FFFD."""
     if value is None:
         return ""
     if isinstance(value, list):
         return "".join(_plain(p.get("text") if isinstance(p, dict) else p) for p in value)
-    return value if isinstance(value, str) else json.dumps(value, ensure_ascii=False)
+    return _SURROGATE.sub("\ufffd", value if isinstance(value, str) else json.dumps(value, ensure_ascii=False))
 
 
 def canonical(record: str | None) -> tuple[str | None, str | None, list[tuple[str, str]] | None]:
-    """(fingerprint, layout, turns) of a record. Null and text that is no JSON
-    object have neither; an unknown fingerprint has no layout and no turns."""
+    """(fingerprint, layout, turns) of a record. Null, text that is no JSON
+    object and JSON nested too deeply to be read have neither; an unknown
+    fingerprint, or turns that are no list of objects, have no layout and no
+    turns."""
     try:
         data = json.loads(record) if record is not None else None
-    except ValueError:
-        data = None
-    if not isinstance(data, dict):
+        found = paths(data) if isinstance(data, dict) else None
+    except (ValueError, RecursionError):
+        found = None
+    if found is None:
         return None, None, None
-    mark = fingerprint(paths(data))
-    layout = REGISTRY.get(mark)
-    if layout is None:
+    mark = fingerprint(found)
+    layout = layout_of(found)
+    listed = data.get(layout.turns) if layout is not None and layout.turns else []
+    if layout is None or not isinstance(listed, list) or not all(isinstance(t, dict) for t in listed):
         return mark, None, None
     turns = []
     for role, spec in layout.fields:
         text = "\n\n".join(t for t in (_plain(data.get(p)) for p in spec.split("+")) if t)
         if text or all(p in layout.needs for p in spec.split("+")):
             turns.append((role, text))
-    for turn in data.get(layout.turns, []) if layout.turns else []:
+    for turn in listed:
         role = _plain(turn.get(layout.role))
         turns.append((ROLES.get(role, role), _plain(turn.get(layout.text))))
     return mark, layout.name, turns
@@ -226,16 +251,20 @@ DIGESTS = T.StructType([T.StructField(n, T.StringType() if "sha" in n else T.Lon
 
 
 def digests(formatted_col: Column, mask_col: Column) -> Column:
-    """Struct column read back from the formatted text and its loss mask."""
+    """Struct column read back from the formatted text and its loss mask; its
+    fields are null where either is."""
     @F.pandas_udf(DIGESTS)
     def read_back(texts: pd.Series, masks: pd.Series) -> pd.DataFrame:
         rows = []
         for text, mask in zip(texts, masks):
+            if text is None or mask is None:
+                rows.append((None,) * len(DIGESTS))
+                continue
             turns = read_turns(text)
             loss = "".join(unescape(text[m["start"]:m["end"]]) for m in mask)
             whole = "".join(f"{r}\n{t}\n" for r, t in turns)
             rows.append((len(turns), hashlib.sha256(whole.encode()).hexdigest(), len(loss),
                          hashlib.sha256(loss.encode()).hexdigest(), len(text)))
-        return pd.DataFrame(rows, columns=[f.name for f in DIGESTS])
+        return pd.DataFrame(rows, columns=[f.name for f in DIGESTS], dtype=object)
 
     return read_back(formatted_col, mask_col)

@@ -385,7 +385,13 @@ KIND = T.StructType([T.StructField("text", T.StringType()), T.StructField("n_val
 
 
 def pseudonyms(text: Column, key: bytes, back: bool = False) -> Column:
-    """Struct column (text, n_values, kinds: distinct, sorted, comma-joined)."""
+    """Struct column (text, n_values, kinds: distinct, sorted, comma-joined).
+    The key may have any length but none."""
+    if not key:
+        raise ValueError("pseudonyms need a key")
+    if len(key) > hashlib.blake2b.MAX_KEY_SIZE:
+        key = hashlib.blake2b(key).digest()
+
     @F.pandas_udf(KIND)
     def feistel_pseudonyms(texts: pd.Series) -> pd.DataFrame:
         rows = []

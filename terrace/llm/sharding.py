@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from .shared import column, free_name
 
 SLOTS = 65_537               # prime
-MAX_SLOTS = 1 << 22          # bound of what is broadcast: one short row per slot
+MAX_SLOTS = 1 << 20          # bound of what is broadcast: one short row per slot
 HEX = 15                     # hex digits of the key hash that count (60 bits)
 
 
@@ -70,13 +70,12 @@ def place(rows: DataFrame, key_col: str, shards: list[str], slots: int = SLOTS,
     those of the same name. Equal keys share a shard; null keys count as the
     empty text. No row moves: the table (at most MAX_SLOTS short rows) is
     broadcast."""
-    table = lookup_table(rows.sparkSession, shards, slots).select(
-        F.col("slot").alias("_table_slot"), F.col("shard").alias("_table_shard"))
-    key = free_name(rows, "_slot_of_key")
+    key, slot, shard = (free_name(rows, n) for n in ("_slot_of_key", "_table_slot", "_table_shard"))
+    table = lookup_table(rows.sparkSession, shards, slots).select(F.col("slot").alias(slot), F.col("shard").alias(shard))
     keyed = rows.withColumn(key, slot_of(column(rows, key_col), slots))
-    joined = keyed.join(F.broadcast(table), keyed[key] == table["_table_slot"])
+    joined = keyed.join(F.broadcast(table), keyed[key] == table[slot])
     own = [joined[f"`{c}`"] for c in rows.columns if c.lower() not in (shard_col.lower(), slot_col.lower())]
-    return joined.select(*own, F.col(key).alias(slot_col), F.col("_table_shard").alias(shard_col))
+    return joined.select(*own, F.col(key).alias(slot_col), F.col(shard).alias(shard_col))
 
 
 def write_shards(placed: DataFrame, path: str, files_per_shard: int = 1, shard_col: str = "shard") -> None:

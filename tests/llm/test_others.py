@@ -67,6 +67,15 @@ def test_template_round_trip(role):
     ('{"conversations":[{"from":"human","value":"a"},{"from":"gpt","value":null}]}', [("user", "a"), ("assistant", "")]),
     ('{"instruction":"a","input":"b","output":"c","meta":{"x":1}}', [("user", "a\n\nb"), ("assistant", "c")]),
     ('{"prompt":"a","completion":"c"}', [("user", "a"), ("assistant", "c")]),
+    ('{"system":"s","messages":[{"role":"user","content":"a"}]}', [("system", "s"), ("user", "a")]),
+    ('{"prompt":"p","messages":[{"role":"user","content":"a"}]}', [("user", "a")]),
+    ('{"instruction":"a","context":"c","response":"b"}', [("user", "c\n\na"), ("assistant", "b")]),
+    ('{"question":"q","answer":"a","instruction":"i"}', [("user", "q"), ("assistant", "a")]),
+    # One bad record: turns that are no objects, nesting without end, half a character.
+    ('{"messages":[{"role":"user","content":"x"},[1]]}', None), ('{"messages":[{"role":"user","content":"x"},"y"]}', None),
+    ('{"messages":{"role":"user","content":"x"}}', None), ('{"a":' * 100_000 + "1" + "}" * 100_000, None),
+    ('{"messages":[{"role":"\\udc00r","content":"a\\ud800b"}]}', [("\ufffdr", "a\ufffdb")]),
+    ('{"messages":[{"role":"user","content":"\\ud83d\\ude00"}]}', [("user", "\U0001f600")]),
     ('{"messages":[]}', []), ('{"other":1}', None), ("[1]", None), ("not json", None), (None, None)])
 def test_layouts(record, turns):
     assert chat_format.canonical(record)[2] == turns
@@ -81,6 +90,19 @@ def test_conversations_of_odd_rows(spark):
     assert chat_format.conversation_records(df.limit(0)).count() == 0
 
 
+def test_bad_records_keep_their_row(spark):
+    records = ['{"messages":[{"role":"user","content":"x"},[1]]}', '{"a":' * 5000 + "1" + "}" * 5000,
+               '{"messages":[{"role":"assistant","content":"\\ud800"}]}', None, "", "[]",
+               '{"messages":[{"role":"assistant","content":"fine"}]}']
+    df = spark.createDataFrame(list(enumerate(records)), "k int, record string")
+    done = chat_format.format_records(df).withColumn("d", chat_format.digests(F.col("formatted"), F.col("loss_mask")))
+    got = {r.k: r for r in done.select("k", "formatted", "d.*").collect()}
+    assert len(got) == len(records) and got[6].n_turns == 1 and got[6].loss_chars == 4
+    assert chat_format.read_turns(got[2].formatted) == [("assistant", "\ufffd")]
+    for k in (0, 1, 3, 4, 5):
+        assert tuple(got[k])[1:] == (None,) * 6
+
+
 # ---- exact top-k
 
 def test_topk_of_all_lengths(spark):
@@ -130,6 +152,14 @@ def test_placement(spark):
         assert r.shard == "xyz"[table[r.slot]]
 
 
+def test_placement_beside_clashing_names(spark):
+    names = ["k", "_table_shard", "_TABLE_SLOT", "_slot_of_key", "Shard"]
+    df = spark.createDataFrame([(1, 2, 3, 4, "old")], "k long, _table_shard long, _TABLE_SLOT long, _slot_of_key long, Shard string")
+    got = sharding.place(df, "k", ["x", "y"], 101)
+    assert got.columns == [*names[:-1], "slot", "shard"]
+    assert tuple(got.first())[:4] == (1, 2, 3, 4) and got.first()["shard"] in ("x", "y")
+
+
 # ---- PII
 
 @pytest.mark.parametrize("size", [2, 3, 10, 97, 1000])
@@ -188,8 +218,8 @@ def test_pipeline_and_stage_columns(spark):
     assert len(last) == rows and all(r.n_tokens == len(r.ids) > 0 for r in last)
 
 
-def test_ten_queries():
-    assert [n.split("_")[0] for n in queries.QUERIES] == [f"op{i}" for i in range(1, 11)]
+def test_thirteen_queries():
+    assert [n.split("_")[0] for n in queries.QUERIES] == [f"op{i}" for i in range(1, 14)]
     assert set(queries.ORACLE) <= set(queries.QUERIES)
 
 
