@@ -99,9 +99,15 @@ def read_parquet(spark: SparkSession, paths: list[str], merge_schema: bool = Fal
 
 
 def parquet_groups(spark: SparkSession, paths: list[str]) -> list[DataFrame]:
-    """One scan per schema that occurs among the items (footers only are read to
-    group them), so that items whose columns differ in type do not meet before
-    they are aligned."""
+    """Scans of all items, so that items whose columns differ in type do not
+    meet before they are aligned: one scan if their schemas merge (one job reads
+    all footers, however many items there are), else one per schema that occurs
+    among them."""
+    try:
+        return [spark.read.option("mergeSchema", "true").parquet(*paths)]
+    except Exception as e:  # noqa: BLE001 - only schemas that do not merge are handled
+        if "MERGE_SCHEMAS" not in str(e) and "merge" not in str(e).lower():
+            raise
     groups: dict[str, list[str]] = {}
     for p in paths:
         groups.setdefault(spark.read.parquet(p).schema.json(), []).append(p)
