@@ -23,12 +23,15 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from terrace.operators.joins import checked_broadcast
+
 from .shared import column, cut, small_batches
 
 SCALE = 1024
 BLOCK_BYTES = 1 << 16        # bytes of vectors in a block
 SEED_BLOCKS = 64             # blocks of the longest vectors that give first bounds
-LANES = 64                   # queries are sent to so many groups of blocks
+LANE_BLOCKS = 32             # blocks of a group that queries are sent to
+MAX_LANES = 4096             # groups at most: each gets its copy of the queries
 STEPS = 8                    # length buckets for each doubling of the length
 FOCUS = 8                    # coordinates looked at in coordinate pruning
 SWITCH = 0.3                 # local cosine threshold from which they are
@@ -181,22 +184,34 @@ def top_k(vectors: DataFrame, is_query, k: int = 10, scale: int = SCALE, id_col:
     rows = cut(rows.withColumn("bucket", step.cast("long")), "topk-vectors")
     blocks = cut(_packed(_blocks(rows, ["dim", "bucket"]), ["dim", "bucket", "block"]), "topk-blocks")
     queries = _packed(_blocks(rows.where(is_query(F.col("vec_id"))), ["dim"]), ["dim", "block"]).select(
-        "dim", F.col("block").alias("q_block"), F.col("ids").alias("q_ids"), F.col("data").alias("q_data"))
+        "dim", F.col("block").alias("q_block"), F.col("longest").alias("q_longest"),
+        F.col("ids").alias("q_ids"), F.col("data").alias("q_data"))
     queries = cut(queries, "topk-queries")
 
+    # The blocks are ranked without their vectors; each input part sends its
+    # first SEED_BLOCKS only. The winners (4 MiB for a vector size) go to the
+    # queries, which stay where they are.
     longest = Window.partitionBy("dim").orderBy(F.desc("longest"), "bucket", "block")
-    seeds = blocks.withColumn("r", F.row_number().over(longest)).where(F.col("r") <= SEED_BLOCKS).drop("r")
+    names = blocks.select("dim", "bucket", "block", "longest").withColumn("r", F.row_number().over(longest))
+    names = names.where(F.col("r") <= SEED_BLOCKS).select("dim", "bucket", "block")
+    seeds = cut(blocks.join(names, ["dim", "bucket", "block"]).select("dim", "ids", "data"), "topk-seeds")
+    seeds = checked_broadcast(seeds, name="seed blocks", persist=False)
     unknown = F.expr(f"unhex(repeat('{np.float64(-np.inf).tobytes().hex()}', length(q_ids) div 8))")
-    first = (queries.join(seeds, "dim").withColumn("bounds", unknown)
+    first = (queries.repartition("dim", "q_block").join(seeds, "dim").withColumn("bounds", unknown)
                     .select("dim", "q_block", "q_ids", "q_data", "bounds", "ids", "data")
                     .mapInPandas(_searched(k), RESULT))
     known = (_ranked(first, k).where(F.col("rank") == k)
              .select(F.col("query_id").alias("vec_id"), F.col("score").cast("double").alias("bound")))
 
     bounds = _with_bounds(queries, known)
-    lane = F.pmod(F.xxhash64("dim", "bucket", "block"), F.lit(LANES)).cast("int")
-    sent = bounds.withColumn("lane", F.explode(F.sequence(F.lit(0), F.lit(LANES - 1))))
-    pairs = sent.join(blocks.withColumn("lane", lane), ["dim", "lane"])
+    lanes = min(MAX_LANES, max(1, -(-blocks.count() // LANE_BLOCKS)))
+    lane = F.pmod(F.xxhash64("dim", "bucket", "block"), F.lit(lanes)).cast("int")
+    sent = bounds.withColumn("lane", F.explode(F.sequence(F.lit(0), F.lit(lanes - 1))))
+    # No product of two blocks passes that of their longest vectors: pairs that
+    # cannot reach the least bound of their queries are not made.
+    reach = F.col("longest") * F.col("q_longest") * (1 + SLACK) >= F.col("least")
+    other = blocks.withColumn("lane", lane).withColumnRenamed("dim", "c_dim").withColumnRenamed("lane", "c_lane")
+    pairs = sent.join(other, (F.col("dim") == F.col("c_dim")) & (F.col("lane") == F.col("c_lane")) & reach)
     found = pairs.select("dim", "q_block", "q_ids", "q_data", "bounds", "ids", "data").mapInPandas(
         _searched(k), RESULT)
     return _ranked(found, k).select("query_id", "rank", "vec_id", "score")
@@ -209,7 +224,7 @@ def _ranked(found: DataFrame, k: int) -> DataFrame:
 
 def _with_bounds(queries: DataFrame, known: DataFrame) -> DataFrame:
     """Query blocks with the bounds of their queries as bytes (minus infinity
-    where the seed had fewer than k rows)."""
+    where the seed had fewer than k rows), and the least of them."""
     def ids(batches):
         for pdf in batches:
             for r in pdf.itertuples(index=False):
@@ -221,9 +236,9 @@ def _with_bounds(queries: DataFrame, known: DataFrame) -> DataFrame:
         ids, "dim long, q_block long, vec_id long, place long").join(known, "vec_id", "left")
 
     def pack(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("place")
+        bounds = pdf.sort_values("place")["bound"].fillna(-np.inf).to_numpy(np.float64)
         return pd.DataFrame([{"dim": pdf["dim"].iloc[0], "q_block": pdf["q_block"].iloc[0],
-                              "bounds": pdf["bound"].fillna(-np.inf).to_numpy(np.float64).tobytes()}])
+                              "least": bounds.min(), "bounds": bounds.tobytes()}])
 
-    packed = listed.groupBy("dim", "q_block").applyInPandas(pack, "dim long, q_block long, bounds binary")
+    packed = listed.groupBy("dim", "q_block").applyInPandas(pack, "dim long, q_block long, least double, bounds binary")
     return queries.join(packed, ["dim", "q_block"])
