@@ -54,14 +54,23 @@ def _block(mark: Column, i: int) -> Column:
     return F.shiftrightunsigned(mark, 8 * i).bitwiseAND(F.lit(255)).cast("int")
 
 
+def _repeated(values: Column) -> Column:
+    """The values that an array holds more than once."""
+    ordered = F.array_sort(values)
+    after = F.slice(ordered, F.lit(2), F.greatest(F.size(ordered) - 1, F.lit(0)))
+    return F.array_distinct(F.filter(F.zip_with(ordered, after, lambda x, y: F.when(x == y, x)), lambda x: x.isNotNull()))
+
+
 def similarity(a: Column, b: Column) -> Column:
     """Weighted Jaccard similarity of two arrays, each value weighted by its
-    number of occurrences."""
+    number of occurrences. Shared values count once by a set operation; only
+    those that both arrays repeat are counted one by one."""
     def count(arr, v):
         return F.size(F.filter(arr, lambda x: x == v))
 
-    shared = F.aggregate(F.array_distinct(a), F.lit(0),
-                         lambda n, v: n + F.least(count(a, v), count(b, v)))
+    again = F.aggregate(F.array_intersect(_repeated(a), _repeated(b)), F.lit(0),
+                        lambda n, v: n + F.least(count(a, v), count(b, v)) - 1)
+    shared = F.size(F.array_intersect(a, b)) + again
     return shared.cast("double") / (F.size(a) + F.size(b) - shared).cast("double")
 
 

@@ -6,6 +6,7 @@ from collections import Counter
 
 import pytest
 import regex
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from terrace.llm import decontaminate, license_scan
@@ -276,3 +277,13 @@ def test_spans_are_no_longer_than_their_template_and_the_band(spark):
     for own in spans.values():
         own.sort()
         assert all(a[1] <= b[0] for a, b in zip(own, own[1:]))
+
+
+def test_weighted_similarity_of_repeated_values(spark):
+    rng = random.Random(17)
+    pairs = [([rng.randrange(6) for _ in range(rng.randint(0, 12))], [rng.randrange(6) for _ in range(rng.randint(1, 12))])
+             for _ in range(200)] + [([1], [1]), ([1, 1, 1], [1, 1]), ([], [2])]
+    df = spark.createDataFrame(pairs, "a array<long>, b array<long>")
+    for r in df.withColumn("s", decontaminate.similarity(F.col("a"), F.col("b"))).collect():
+        a, b = Counter(r["a"]), Counter(r["b"])
+        assert r["s"] == sum((a & b).values()) / sum((a | b).values())
