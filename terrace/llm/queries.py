@@ -175,8 +175,10 @@ SELECT doc_id, slot, 'shard-' || lpad(t[slot + 1], 2, '0') AS shard FROM slots,
 
 _WORDS = r"list_filter(string_split_regex(lower(text), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')"
 
-# Plain form: windows where a shingle is shared, weighted Jaccard of shingles.
-# All items of the tables have at least five words.
+# Plain form: every item-sized window that holds a shingle of the item, and, as
+# a weighted Jaccard similarity over the threshold needs so many, enough of them.
+# Of equals a window with a shingle at the item's place goes first, then the
+# first. All items of the tables have at least five words.
 DECONTAMINATION_SQL = f"""
 WITH docs AS (SELECT DISTINCT doc_id, {_WORDS} AS w FROM documents WHERE text IS NOT NULL),
 items AS (SELECT DISTINCT item_id, {_WORDS} AS w FROM benchmark WHERE text IS NOT NULL),
@@ -184,17 +186,26 @@ dg AS (SELECT doc_id, i, array_to_string(w[i:i + 4], ' ') AS g
        FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS i FROM docs)),
 ig AS (SELECT item_id, n, i, array_to_string(w[i:i + 4], ' ') AS g
        FROM (SELECT item_id, w, len(w) AS n, unnest(range(1, len(w) - 3)) AS i FROM items)),
-anchors AS (SELECT DISTINCT doc_id, item_id, n, dg.i - ig.i AS s FROM dg JOIN ig USING (g)),
-windows AS (SELECT doc_id, item_id, n, greatest(s, 0) AS s, w[greatest(s, 0) + 1:s + n] AS win
-            FROM anchors JOIN docs USING (doc_id)),
-wg AS (SELECT doc_id, item_id, n, s, len(win) AS m, array_to_string(win[i:i + 4], ' ') AS g, count(*) AS c
+hits AS (SELECT DISTINCT doc_id, item_id, n, dg.i - 1 AS p FROM dg JOIN ig USING (g)),
+anchors AS (SELECT DISTINCT doc_id, item_id, dg.i - ig.i AS s, 1 AS anchored FROM dg JOIN ig USING (g)),
+starts AS (SELECT DISTINCT doc_id, item_id, n, unnest(range(p + 5 - n, p + 1)) AS s FROM hits),
+places AS (SELECT doc_id, item_id, n, greatest(s, 0) AS s, least(s + n, len(w)) - greatest(s, 0) AS m,
+                  max(coalesce(anchored, 0)) AS anchored
+           FROM starts JOIN docs USING (doc_id) LEFT JOIN anchors USING (doc_id, item_id, s) GROUP BY ALL),
+enough AS (SELECT places.doc_id, places.item_id, places.n, s, m, anchored
+           FROM places JOIN hits ON hits.doc_id = places.doc_id AND hits.item_id = places.item_id
+                                AND p BETWEEN s AND s + m - 5
+           GROUP BY ALL
+           HAVING count(*) * (1 + {decontaminate.SIMILARITY}) >= {decontaminate.SIMILARITY} * (places.n + m - 8) - 1e-9),
+windows AS (SELECT doc_id, item_id, n, s, m, anchored, w[s + 1:s + m] AS win FROM enough JOIN docs USING (doc_id)),
+wg AS (SELECT doc_id, item_id, n, s, m, anchored, array_to_string(win[i:i + 4], ' ') AS g, count(*) AS c
        FROM (SELECT *, unnest(range(1, len(win) - 3)) AS i FROM windows) GROUP BY ALL),
 ic AS (SELECT item_id, g, count(*) AS c FROM ig GROUP BY ALL),
-scored AS (SELECT doc_id, item_id, s, m, sum(least(wg.c, ic.c)) AS shared, any_value(n) - 4 AS a
-           FROM wg JOIN ic USING (item_id, g) GROUP BY doc_id, item_id, s, m),
+scored AS (SELECT doc_id, item_id, s, m, anchored, sum(least(wg.c, ic.c)) AS shared, any_value(n) - 4 AS a
+           FROM wg JOIN ic USING (item_id, g) GROUP BY doc_id, item_id, s, m, anchored),
 near AS (SELECT *, CAST(shared AS DOUBLE) / CAST(a + m - 4 - shared AS DOUBLE) AS similarity FROM scored)
 SELECT doc_id, item_id, similarity, CAST(s AS BIGINT) AS start_word, CAST(m AS BIGINT) AS n_words FROM (
-  SELECT *, row_number() OVER (PARTITION BY doc_id, item_id ORDER BY similarity DESC, s, m DESC) AS r
+  SELECT *, row_number() OVER (PARTITION BY doc_id, item_id ORDER BY similarity DESC, anchored DESC, s, m DESC) AS r
   FROM near WHERE similarity >= {decontaminate.SIMILARITY}) WHERE r = 1"""
 
 def _crc_table() -> list[int]:

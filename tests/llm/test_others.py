@@ -141,6 +141,22 @@ def test_table_is_even_and_stable():
         sharding.fill_table(names, 1000)
 
 
+def test_the_table_is_filled_by_turns():
+    """Each shard's whole list of preferences, written out; the first free slot
+    of each in turn."""
+    names, slots = [f"shard-{i:02d}" for i in range(7)], 211
+    number = lambda text: int(hashlib.md5(text.encode()).hexdigest()[:15], 16)
+    lists = {n: [(number(f"offset/{n}") + i * (number(f"skip/{n}") % (slots - 1) + 1)) % slots for i in range(slots)] for n in names}
+    assert all(sorted(x) == list(range(slots)) for x in lists.values())
+    owner = {}
+    while len(owner) < slots:
+        for n in names:
+            free = [slot for slot in lists[n] if slot not in owner]
+            if free:
+                owner[free[0]] = n
+    assert [names[i] for i in sharding.fill_table(names, slots)] == [owner[i] for i in range(slots)]
+
+
 def test_placement(spark):
     df = spark.createDataFrame([(1, "a"), (1, "b"), (None, "c"), (2, None)], "doc_id long, slot string")
     rows = sharding.place(df, "doc_id", ["x", "y", "z"], 101).collect()
