@@ -34,7 +34,7 @@ TARGET = "price"
 # Trees are grown in the driver's memory. Leaves take at least so many rows that
 # a tree has at most this many; up to that many rows a leaf may hold one row,
 # as in the source system.
-MAX_LEAVES = 2048
+MAX_LEAVES = 512
 # Statistics of as many nodes as fit this are gathered in one pass over the rows.
 NODES_MB = 1024
 FLOOR_CODES = {"bj": "0"}
