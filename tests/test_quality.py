@@ -146,3 +146,16 @@ def test_trees_are_bounded_by_rows_a_leaf(spark, monkeypatch):
     path = spark.read.parquet(f"{root}/model_store").first()["model_path"]
     forest = PipelineModel.load(path).stages[-1]
     assert max((t.numNodes + 1) // 2 for t in forest.trees) <= 4
+
+
+def test_training_rows_are_dealt_over_the_cores(spark):
+    # As from a file of one row group: one partition with all rows.
+    rows = spark.range(4000).selectExpr("cast(id as string) AS k", "id % 7 AS `a.b`").coalesce(1)
+    dealt = price_model.spread(rows, 4000)
+    sizes = dealt.rdd.glom().map(len).collect()
+    assert len(sizes) == spark.sparkContext.defaultParallelism
+    assert sum(sizes) == 4000 and max(sizes) <= 2 * min(sizes)
+    assert dealt.collect() == price_model.spread(rows, 4000).collect()
+    assert price_model.spread(rows, 9 * price_model.ROWS_A_TASK).rdd.getNumPartitions() == 9
+    forest = price_model.build_pipeline(None, ["x"], ["c"]).getStages()[-1]
+    assert forest.getCacheNodeIds() and forest.getNumTrees() == 100 and forest.getMaxDepth() == 30
