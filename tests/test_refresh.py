@@ -238,3 +238,14 @@ def test_an_interrupted_compaction_loses_nothing(spark, monkeypatch):
     ledger.append(spark, led, "p", ["i5"])
     ledger.compact(spark, led)
     assert _items(spark, led) == [f"i{i}" for i in range(6)]
+
+
+@pytest.mark.parametrize("table", ["sales"])
+def test_deliveries_join_the_movements_once(spark, monkeypatch, table):
+    read, table_of = [], standins.table
+    monkeypatch.setattr(standins, "table", lambda spark, sf, name: read.append(name) or table_of(spark, sf, name))
+    got = catalogue.QUERIES[f"incremental_{table}"](spark, SF_SMALL)
+    assert read.count("lineitem") == 1
+    monkeypatch.undo()
+    want = catalogue.QUERIES[f"gold_{table}"](spark, SF_SMALL)
+    assert _same_rows(got.select(want.columns), want)
