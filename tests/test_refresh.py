@@ -240,7 +240,7 @@ def test_an_interrupted_compaction_loses_nothing(spark, monkeypatch):
     assert _items(spark, led) == [f"i{i}" for i in range(6)]
 
 
-@pytest.mark.parametrize("table", ["sales"])
+@pytest.mark.parametrize("table", ["sale_prices", "sales"])
 def test_deliveries_join_the_movements_once(spark, monkeypatch, table):
     read, table_of = [], standins.table
     monkeypatch.setattr(standins, "table", lambda spark, sf, name: read.append(name) or table_of(spark, sf, name))
