@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..functions.columns import conform
-from ..operators.joins import held_sides
+from ..operators.joins import at_once, held_sides
 from ..sources import files, ledger, releases
 from .curate import (PLACE, PLACE_YEAR, latest_income, listing_counts, neighbourhood_rows, real_estate_rows,
                      sale_price_rows, sales_rows)
@@ -60,16 +60,20 @@ def root_of(exploitation: str) -> str:
 # --- mergeable state ------------------------------------------------------------
 
 def move_partials(moves: DataFrame) -> DataFrame:
-    """Partial sums of movements under both roles, from one scan."""
+    """Partial sums of movements under both roles, from one scan: first per
+    pair of ends, so that not each movement but each pair is taken twice."""
+    pairs = (moves.groupBy("year", *[f"{end}{c}" for end in ("", "dest_") for c in PLACE],
+                           *[f"{end}{c}" for end in ("", "dest_") for c in ("district_name", "neighborhood_name")])
+                  .agg(F.count(F.lit(1)).alias("n"), F.sum("moved").alias("total"), F.max("moved").alias("most")))
     roles = F.explode(F.array(*[
         F.struct(F.lit(role).alias("role"), F.col(f"{end}district_id").alias("d"), F.col(f"{end}neighborhood_id").alias("n"),
                  F.col(f"{end}district_name").alias("dn"), F.col(f"{end}neighborhood_name").alias("nn"))
         for role, end in (("origin", ""), ("destination", "dest_"))])).alias("r")
-    return (moves.select("year", "moved", roles)
+    return (pairs.select("year", "n", "total", "most", roles)
                  .groupBy(F.col("r.role").alias("role"), F.col("r.d").alias("district_id"),
                           F.col("r.n").alias("neighborhood_id"), "year", F.col("r.dn").alias("district_name"),
                           F.col("r.nn").alias("neighbourhood_name"))
-                 .agg(F.count(F.lit(1)).alias("n"), F.sum("moved").alias("total"), F.max("moved").alias("most")))
+                 .agg(F.sum("n").alias("n"), F.sum("total").alias("total"), F.max("most").alias("most")))
 
 
 def merged_moves(partials: DataFrame) -> DataFrame:
@@ -116,13 +120,14 @@ def listings_of_years(spark: SparkSession, formatted: str, batches: list[str], y
     return read_batches(spark, formatted, SOURCES[LISTINGS], schemas.LISTING, batches).join(wanted, YEAR_PART, "left_semi")
 
 
-def new_listings(spark: SparkSession, formatted: str, batches: list[str], years: DataFrame | None) -> DataFrame:
-    """Listings of the new batches, without the years that are made again."""
+def new_listings(spark: SparkSession, formatted: str, batches: list[str], years: list | None) -> DataFrame:
+    """Listings of the new batches, without the years that are made again: the
+    folders of those are not read."""
     rows = read_batches(spark, formatted, SOURCES[LISTINGS], schemas.LISTING, batches)
-    if years is None:
+    if not years:
         return rows
-    gone = F.broadcast(years.select(F.col("year").alias(YEAR_PART)))
-    return rows.join(gone, YEAR_PART, "left_anti")
+    part = F.col(YEAR_PART)
+    return rows.where(part.isNull() | ~part.isin([y for y in years if y is not None]))
 
 
 # --- a run -----------------------------------------------------------------------
@@ -168,6 +173,11 @@ class _Run:
             self.entries[feed] = dict.fromkeys(self.entries[feed], whole)
         return [folder]
 
+    def merged_state(self, feed: str, merged) -> DataFrame:
+        """Merged state as of this run, written once for its several readers."""
+        return releases.read_parts(self.spark, [self.write(conform(merged(self.state(feed)), STATE[feed]), f"{feed}_now")],
+                                   STATE[feed])
+
     def replace(self, table: str, df: DataFrame) -> None:
         self.entries[table] = {WHOLE: self.write(df, table)}
 
@@ -196,40 +206,51 @@ def refresh(spark: SparkSession, formatted: str, exploitation: str) -> str | Non
 
 
 def _refresh(run: _Run) -> None:
+    """Steps that do not depend on each other run at the same time: the state
+    of the three sources, then the merged state, then the four tables."""
     spark, formatted = run.spark, run.formatted
-    new_moves = run.add_partials(MOVES, move_partials, merged_moves)
-    run.add_partials(LISTINGS, listing_counts, merged_listings)
     income = read_formatted(spark, formatted, SOURCES[INCOME], schemas.INCOME) if run.batches[INCOME] else None
-    places = None
-    if run.fresh[INCOME]:
-        before = list(run.entries.get(INCOME, {}).values())
-        run.entries[INCOME] = {run.fresh[INCOME][0]: run.write(conform(latest_income(income), STATE[INCOME]), INCOME)}
-        places = changed_places(run.state(INCOME), run.state(INCOME, before))
-    moves, counts = merged_moves(run.state(MOVES)), merged_listings(run.state(LISTINGS))
-    if income is not None and (run.fresh[MOVES] or run.fresh[INCOME]):
-        run.replace("neighbourhood", neighbourhood_rows(income, moved_sums(moves, "origin", "moved_out")))
-    if run.fresh[MOVES] or run.fresh[LISTINGS]:
-        ins = moved_sums(moves, "destination", "moved_in", "district_name", "neighbourhood_name")
-        run.replace("real_estate", real_estate_rows(ins, counts))
-    if not run.batches[LISTINGS]:
-        return
-    by_place = None if places is None else affected_years(counts, places, PLACE)
-    by_sum = affected_years(counts, run.state(MOVES, new_moves), PLACE_YEAR) if new_moves else None
+    before = list(run.entries.get(INCOME, {}).values())
+
+    def new_income() -> None:
+        if run.fresh[INCOME]:
+            run.entries[INCOME] = {run.fresh[INCOME][0]: run.write(conform(latest_income(income), STATE[INCOME]), INCOME)}
+
+    new_moves, *_ = at_once(lambda: run.add_partials(MOVES, move_partials, merged_moves),
+                            lambda: run.add_partials(LISTINGS, listing_counts, merged_listings), new_income)
+    places = changed_places(run.state(INCOME), run.state(INCOME, before)) if run.fresh[INCOME] else None
+    moves, counts = at_once(lambda: run.merged_state(MOVES, merged_moves), lambda: run.merged_state(LISTINGS, merged_listings))
     latest, sums = run.state(INCOME), sums_of_both(moves)
-    again = by_place if by_sum is None else by_sum if by_place is None else by_place.unionByName(by_sum).distinct()
-    for table, years, rows in (
-            ("sale_prices", by_place, lambda x: sale_price_rows(x, latest, (YEAR_PART,))),
-            ("sales", again, lambda x: sales_rows(x, latest, sums, (YEAR_PART,)))):
+
+    def neighbourhood() -> None:
+        if income is not None and (run.fresh[MOVES] or run.fresh[INCOME]):
+            run.replace("neighbourhood", neighbourhood_rows(income, moved_sums(moves, "origin", "moved_out")))
+
+    def real_estate() -> None:
+        if run.fresh[MOVES] or run.fresh[LISTINGS]:
+            ins = moved_sums(moves, "destination", "moved_in", "district_name", "neighbourhood_name")
+            run.replace("real_estate", real_estate_rows(ins, counts))
+
+    def by_listing(table: str, years: DataFrame | None, rows) -> None:
         parts = []
         names = [] if years is None else [r["year"] for r in years.collect()]     # one row a year
         if names:
             parts.append(listings_of_years(spark, formatted, run.batches[LISTINGS], years))
         if run.fresh[LISTINGS]:
-            parts.append(new_listings(spark, formatted, run.fresh[LISTINGS], years if names else None))
+            parts.append(new_listings(spark, formatted, run.fresh[LISTINGS], names))
         if parts:
             source = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
             run.replace_years(table, names, rows(source))
 
+    jobs = [neighbourhood, real_estate]
+    if run.batches[LISTINGS]:
+        by_place = None if places is None else affected_years(counts, places, PLACE)
+        by_sum = affected_years(counts, run.state(MOVES, new_moves), PLACE_YEAR) if new_moves else None
+        again = by_place if by_sum is None else by_sum if by_place is None else by_place.unionByName(by_sum).distinct()
+        jobs += [lambda: by_listing("sale_prices", by_place, lambda x: sale_price_rows(x, latest, (YEAR_PART,))),
+                 lambda: by_listing("sales", again, lambda x: sales_rows(x, latest, sums, (YEAR_PART,)))]
+    at_once(*jobs)
+
 
 def table(spark: SparkSession, exploitation: str, name: str, release: str | None = None) -> DataFrame:
     """A curated table as of a release (default: the latest). Tables read from

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from terrace import schemas
+from terrace.functions.columns import conform
 from terrace.operators import joins
 from terrace.plans import catalogue, curate, extract, incremental, standardise, standins
 from terrace.session import scratch_path
@@ -249,3 +250,24 @@ def test_deliveries_join_the_movements_once(spark, monkeypatch, table):
     monkeypatch.undo()
     want = catalogue.QUERIES[f"gold_{table}"](spark, SF_SMALL)
     assert _same_rows(got.select(want.columns), want)
+
+
+def test_deliveries_join_the_orders_once(spark, monkeypatch):
+    read, table_of = [], standins.table
+    monkeypatch.setattr(standins, "table", lambda spark, sf, name: read.append(name) or table_of(spark, sf, name))
+    got = catalogue.QUERIES["incremental_real_estate"](spark, SF_SMALL)
+    assert {t: read.count(t) for t in ("orders", "customer", "lineitem")} == {"orders": 1, "customer": 1, "lineitem": 1}
+    monkeypatch.undo()
+    want = catalogue.QUERIES["gold_real_estate"](spark, SF_SMALL)
+    assert _same_rows(got.select(want.columns), want)
+
+
+def test_years_made_again_are_not_read_as_new(spark):
+    formatted = scratch_path(spark, "years")
+    rows = conform(spark.createDataFrame([("1", "2020_01_02"), ("2", "2021_01_02"), ("3", None)],
+                                         "propertyCode string, queryDate string"), schemas.LISTING)
+    standardise.write_first_or_append(rows, f"{formatted}/idealista/out", True, "b0", standardise.listing_parts())
+    new = incremental.new_listings(spark, formatted, ["b0"], [2020])
+    assert {r["propertyCode"] for r in new.collect()} == {"2", "3"}
+    plan = new._jdf.queryExecution().executedPlan().toString()
+    assert "2020" in plan.split("PartitionFilters: [")[1].split("]")[0]       # its folder is not read
