@@ -159,6 +159,7 @@ class Units:
         self.shingle, self.scale, self.shift = odd(SHINGLE), odd(n), odd(n)
         self.band = odd(self.rows + 1)
         self.letters, *self.runs = (int(x) for x in odd(3))
+        self.place = odd(2)
         self.passage_words, self.anchor_range = passage_words, anchor_range
 
     def words(self, codes: np.ndarray, offsets: np.ndarray) -> Words:
@@ -196,33 +197,48 @@ class Units:
             out.append(_mix((sums[starts + sizes] - sums[starts]) * back[starts] + sizes.astype(np.uint64)).view(np.int64))
         return out
 
-    def paragraphs(self, w: Words, shingles: np.ndarray):
-        """(first word, words, signature) of all lines and blocks."""
-        n = len(shingles)
+    def spans(self, w: Words):
+        """(first word, words) of all lines and blocks, and what their
+        signatures come from: the shingles inside blocks, the first one of each
+        part, whether a part is a line, the first part of each block and whether
+        the block has several lines."""
+        n = max(len(w.hash) - SHINGLE + 1, 0)
         block = np.cumsum(np.append(0, np.diff(w.line) > 1))
         pure = w.line[:n] == w.line[SHINGLE - 1:]
-        at = np.flatnonzero(block[:n] == block[SHINGLE - 1:])
-        none = np.zeros(0, np.int64)
+        at = np.flatnonzero(block[:n] == block[SHINGLE - 1:]) if n else np.zeros(0, np.int64)
         if not len(at):
-            return none, none, np.zeros((0, self.bands * self.rows), np.uint64)
+            return at, at, None
         # Parts: the shingles of a line, and those that start there and cross its end.
         line, inside = w.line[at], pure[at]
         new = np.append(True, (line[1:] != line[:-1]) | (inside[1:] != inside[:-1]))
         part = np.flatnonzero(new)
-        least = self.signatures(shingles[at], part)
         whole = inside[part]
         sizes = np.diff(np.append(part, len(at)))
         # Blocks of one line are that line.
         owner = block[at[part]]
         head = np.flatnonzero(np.append(True, owner[1:] != owner[:-1]))
-        of_block = np.minimum.reduceat(least, head, axis=0)
         number = owner[head]
         starts = np.searchsorted(block, number)
         n_words = np.searchsorted(block, number, "right") - starts
         several = w.line[starts] != w.line[starts + n_words - 1]
         return (np.concatenate([at[part[whole]], starts[several]]),
                 np.concatenate([sizes[whole] + SHINGLE - 1, n_words[several]]),
-                np.concatenate([least[whole], of_block[several]]))
+                (at, part, whole, head, several))
+
+    def paragraphs(self, w: Words, shingles: np.ndarray):
+        """(first word, words, signature) of all lines and blocks."""
+        starts, sizes, parts = self.spans(w)
+        if not len(starts):
+            return starts, sizes, np.zeros((0, self.bands * self.rows), np.uint64)
+        at, part, whole, head, several = parts
+        least = self.signatures(shingles[at], part)
+        of_block = np.minimum.reduceat(least, head, axis=0)
+        return starts, sizes, np.concatenate([least[whole], of_block[several]])
+
+    def place_keys(self, doc_id: np.ndarray, start: np.ndarray, d1: np.ndarray) -> np.ndarray:
+        """Hash of the place and the words of paragraphs."""
+        a, b = self.place
+        return _mix(d1.view(np.uint64) + doc_id.astype(np.uint64) * a + start.astype(np.uint64) * b).view(np.int64)
 
     def anchors(self, w: Words, shingles: np.ndarray) -> np.ndarray:
         """First words of the passages."""
@@ -292,40 +308,41 @@ _SETS = "node long, d2 long, shingles array<int>"
 
 
 def _paragraph_sets(texts: DataFrame, units: DataFrame, nodes: DataFrame, how: Units) -> DataFrame:
-    """(node, d2, shingles) for paragraphs ``nodes``, read again from one text each."""
+    """(node, d2, shingles) for paragraphs ``nodes``, read again from one text
+    each; a few others may be listed too. The texts stay where they are read: a
+    Bloom filter of the places tells which paragraphs of a text to take."""
     place = (units.where(F.col("kind") == PARAGRAPH).join(nodes, F.col("d1") == F.col("node"), "left_semi")
-                  .groupBy("d1").agg(F.min(F.struct("doc_id", "start", "n_words", "d2")).alias("at"))
-                  .select("d1", "at.*"))
-    listed = place.groupBy("doc_id").agg(F.collect_list(F.struct("d1", "d2", "start", "n_words")).alias("own"))
+                  .groupBy("d1").agg(F.min(F.struct("doc_id", "start")).alias("at")).select("d1", "at.*"))
+
+    def keys(batches):
+        for batch in batches:
+            key = how.place_keys(*(batch.column(c).to_numpy(zero_copy_only=False) for c in ("doc_id", "start", "d1")))
+            yield pa.RecordBatch.from_arrays([pa.array(key)], names=["key"])
+
+    table = blocked_bloom.build(cut(place.mapInArrow(keys, "key long"), "substring-places"), "key")
     schema = pa.schema([("node", pa.int64()), ("d2", pa.int64()), ("shingles", pa.list_(pa.int32()))])
 
     def run(batches):
         for batch in batches:
-            own = batch.column("own")
+            ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
             for number, codes, offsets in text_lots(batch.column("text")):
                 w = how.words(codes, offsets)
-                # 32 bits tell the shingles of two paragraphs apart: a clash, in one
-                # of 10^5 pairs of 200, moves their similarity by one shingle.
-                shingles = how.shingles(w.hash).astype(np.uint32).view(np.int32)
-                lists = own.slice(int(number[0]), len(number))
-                lengths = pc.list_value_length(lists).to_numpy(zero_copy_only=False)
-                flat = lists.flatten()
-                d1, d2, start, size = (flat.field(f).to_numpy(zero_copy_only=False).astype(np.int64)
-                                       for f in ("d1", "d2", "start", "n_words"))
-                text = np.repeat(np.arange(len(number)), lengths)
-                start = start + w.first[text]
-                # A text with the same id but other words does not hold the unit.
-                fits = start + size <= w.first[text + 1]
-                d1, d2, start, size = d1[fits], d2[fits], start[fits], size[fits]
-                same = np.logical_and.reduce([x == y for x, y in zip(how.digests(w.hash, start, size), (d1, d2))])
-                rows = [(a, b, np.unique(shingles[s:s + n - SHINGLE + 1])) for a, b, s, n in
-                        zip(d1[same].tolist(), d2[same].tolist(), start[same].tolist(), size[same].tolist())]
-                if rows:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)],
-                                                     schema=schema)
-
-    both = texts.join(listed, "doc_id").select("text", "own")
-    return both.mapInArrow(run, _SETS).dropDuplicates(["node"])
+                start, size, _ = how.spans(w)
+                if not len(start):
+                    continue
+                d1, d2 = how.digests(w.hash, start, size)
+                text = w.text[start]
+                hit = blocked_bloom.held(table.value, how.place_keys(ids[number[text]], start - w.first[text], d1))
+                if len(hit):
+                    # 32 bits tell the shingles of two paragraphs apart: a clash, in one
+                    # of 10^5 pairs of 200, moves their similarity by one shingle.
+                    shingles = how.shingles(w.hash).astype(np.uint32).view(np.int32)
+                    sets = [np.unique(shingles[s:s + n - SHINGLE + 1]) for s, n in
+                            zip(start[hit].tolist(), size[hit].tolist())]
+                    yield pa.RecordBatch.from_arrays([pa.array(d1[hit]), pa.array(d2[hit]),
+                                                      pa.array(sets, schema.field("shingles").type)], schema=schema)
+
+    return texts.mapInArrow(run, _SETS).dropDuplicates(["node"])
 
 
 def _similar(a: Column, b: Column, threshold: float) -> Column:

@@ -1,4 +1,6 @@
+import os
 import random
+import time
 from itertools import combinations
 
 import numpy as np
@@ -6,6 +8,7 @@ import pytest
 from pyspark.sql import types as T
 
 from terrace.llm import substring_dedup as sd
+from terrace.llm.shared import CLEANUP_CONF
 
 DOCS = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType()),
                      T.StructField("kind", T.StringType()), T.StructField("_spans", T.LongType())])
@@ -226,3 +229,59 @@ def test_sketches_rule_out_what_is_not_similar(spark):
         assert j < 0.8 or apart <= limit
         ruled_out += j < 0.55 and apart > limit
     assert ruled_out > 0.95 * sum(len(known[u] & known[v]) < 0.55 * len(known[u] | known[v]) for u, v in combinations(known, 2))
+
+
+def nodes_of(units):
+    return units.where(units.kind == sd.PARAGRAPH).selectExpr("d1 AS node").distinct()
+
+
+def test_shingle_sets_are_made_where_the_texts_are_read(spark):
+    """The texts are neither joined nor shuffled for their paragraphs' sets."""
+    how = sd.Units(0.8, 0.999, 25, 27)
+    texts = frame(spark, sample()).where("doc_id IS NOT NULL AND text IS NOT NULL").select("doc_id", "text")
+    units = sd.cut(sd.extract_units(texts, how), "test-units")
+    sets = sd._paragraph_sets(texts, units, nodes_of(units), how)
+    assert "Join" not in sets._jdf.queryExecution().executedPlan().toString()
+    assert sets.count() == nodes_of(units).count()
+
+
+@pytest.mark.parametrize("filter_bytes", [32 << 20, 64])
+def test_shingle_sets_of_chosen_paragraphs(spark, monkeypatch, filter_bytes):
+    """Ids that stand for several texts, repeated rows, and a full filter,
+    which lets every paragraph through: each set is that of its words."""
+    monkeypatch.setattr(sd.blocked_bloom, "FILTER_BYTES", filter_bytes)
+    rng = random.Random(21)
+    lines = [" ".join(prose(rng, rng.choice((5, 8, 40)))) for _ in range(40)]
+    rows = [(i % 9, "\n\n".join(rng.sample(lines, 3))) for i in range(60)]
+    texts = frame(spark, [*rows, rows[-1]]).select("doc_id", "text")
+    how = sd.Units(0.8, 0.999, 25, 27)
+    units = sd.cut(sd.extract_units(texts, how), "test-units")
+    some = nodes_of(units).where("node % 2 = 0")
+    got = {r.node: r for r in sd._paragraph_sets(texts, units, some, how).collect()}
+    want = {}
+    for line in {x for _, t in rows for x in t.split("\n\n")}:
+        w = how.words(np.frombuffer(line.encode(), np.uint8), np.array([0, len(line)]))
+        (d1,), (d2,) = how.digests(w.hash, np.array([0]), np.array([len(w.hash)]))
+        want[int(d1)] = (int(d2), sorted(set(how.shingles(w.hash).astype(np.uint32).view(np.int32).tolist())))
+    asked = {r.node for r in some.collect()}
+    assert asked and asked <= set(got) <= set(want)
+    assert all((r.d2, r.shingles) == want[n] for n, r in got.items())
+
+
+def test_cut_leaves_no_shuffle_files(spark):
+    """The disk that a step's shuffle took is free once its copy is written,
+    and the session's setting is as before."""
+    manager = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def held():
+        return {f for d in manager.localDirs() for _, _, names in os.walk(d.getPath()) for f in names
+                if f.startswith("shuffle_")}
+
+    before, setting = held(), spark.conf.get(CLEANUP_CONF, None)
+    rows = sd.cut(spark.range(1000).selectExpr("id % 7 AS k", "id").groupBy("k").agg({"id": "sum"}), "test-cut")
+    until = time.time() + 20
+    while held() - before and time.time() < until:
+        time.sleep(0.1)
+    assert not held() - before
+    assert spark.conf.get(CLEANUP_CONF, None) == setting
+    assert rows.count() == 7
