@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import cut
+from .shared import by_key, cut
 
 
 def _checksum(edges: DataFrame) -> tuple:
@@ -26,13 +26,13 @@ def _checksum(edges: DataFrame) -> tuple:
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    return (both.join(low, "u").where(F.col("v") > F.col("u"))
+    return (both.join(by_key(low), "u").where(F.col("v") > F.col("u"))
                 .select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     low = edges.groupBy("u").agg(F.min("v").alias("m"))
-    moved = (edges.join(low, "u").where(F.col("v") != F.col("m"))
+    moved = (edges.join(by_key(low), "u").where(F.col("v") != F.col("m"))
                   .select(F.col("v").alias("u"), F.col("m").alias("v")))
     return moved.unionByName(low.select("u", F.col("m").alias("v"))).distinct()
 

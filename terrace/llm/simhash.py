@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .components import components
-from .shared import column, cut, free_name, small_batches
+from .shared import by_key, column, cut, free_name, small_batches
 
 SEED = 42
 # Fixed value: generator polynomial of the binary Golay code,
@@ -165,18 +165,18 @@ def mark_components(marks: DataFrame, max_bits: int) -> DataFrame:
                        F.min(F.when(~F.col("probe"), F.col("mark"))).alias("pivot"))
                   .where((F.col("lo") != F.col("hi")) & F.col("pivot").isNotNull())
                   .select("key", "pivot"))
-    rows = cut(rows.join(shared, "key"), "simhash-buckets")
+    rows = cut(rows.join(by_key(shared), "key"), "simhash-buckets")
     star = (rows.where(_apart(F.col("mark"), F.col("pivot")).between(1, max_bits))
                 .select(F.col("mark").alias("u"), F.col("pivot").alias("v")).distinct())
     first = components(star, "simhash-star")
-    rows = (rows.join(first, rows["mark"] == first["node"], "left")
+    rows = (rows.join(by_key(first), rows["mark"] == first["node"], "left")
                 .select("key", "mark", "probe", F.coalesce("component", "mark").alias("c")))
     mixed = (rows.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi"))
                  .where(F.col("lo") != F.col("hi")).select("key"))
-    rows = cut(rows.join(mixed, "key"), "simhash-mixed")
+    rows = cut(rows.join(by_key(mixed), "key"), "simhash-mixed")
     filed = rows.where(~F.col("probe")).select("key", F.col("mark").alias("a"), F.col("c").alias("ca"))
     probe = rows.where("probe").select("key", F.col("mark").alias("b"), F.col("c").alias("cb"))
-    cross = (filed.join(probe, (filed["key"] == probe["key"]) & (F.col("a") < F.col("b"))
+    cross = (filed.join(by_key(probe), (filed["key"] == probe["key"]) & (F.col("a") < F.col("b"))
                         & (F.col("ca") != F.col("cb"))
                         & (_apart(F.col("a"), F.col("b")) <= max_bits))
                   .select(F.col("a").alias("u"), F.col("b").alias("v")).distinct())
@@ -207,15 +207,15 @@ def _groups(marked: DataFrame, max_bits: int) -> DataFrame:
     (doc_id, mark) and the smallest doc_id under that mark."""
     nodes = cut(marked.groupBy("mark").agg(F.min("doc_id").alias("first")), "simhash-nodes")
     found = mark_components(nodes.select("mark"), max_bits)
-    return nodes.join(found, "mark", "left").select(
+    return nodes.join(by_key(found), "mark", "left").select(
         "mark", F.coalesce("component", "mark").alias("group"), "first")
 
 
 def _labelled(marked: DataFrame, max_bits: int) -> DataFrame:
     groups = cut(_groups(marked, max_bits), "simhash-groups")
     lowest = groups.groupBy("group").agg(F.min("first").alias("component_id"))
-    ids = groups.join(lowest, "group").select("mark", "component_id")
-    return marked.join(ids, "mark")
+    ids = groups.join(by_key(lowest), "group").select("mark", "component_id")
+    return marked.join(by_key(ids), "mark")
 
 
 def keep_one(docs: DataFrame, shingle: int, max_bits: int, id_col: str = "doc_id",
@@ -233,6 +233,6 @@ def keep_one(docs: DataFrame, shingle: int, max_bits: int, id_col: str = "doc_id
     kept = (groups.groupBy("group")
                   .agg(F.min(F.struct(F.col("first").isNull().alias("none"), "first", "mark")).alias("k"))
                   .select(F.col("k.mark").alias("_k_mark"), F.col("k.first").alias("_k_id")))
-    rows = marked.join(kept, (marked[mark] == kept["_k_mark"])
+    rows = marked.join(by_key(kept), (marked[mark] == kept["_k_mark"])
                        & column(marked, id_col).eqNullSafe(kept["_k_id"]), "left_semi")
     return rows.dropDuplicates([id_col, mark]).drop(mark)

@@ -6,6 +6,7 @@ import pytest
 import xxhash
 from pyspark.sql import types as T
 
+from terrace.llm import components as component_module
 from terrace.llm import simhash
 from terrace.llm.components import components
 
@@ -139,3 +140,22 @@ def test_components_of_long_path_and_star(spark):
     assert {got[i] for i in range(61)} == {0} and {got[i] for i in range(100, 400)} == {100}
     assert 500 not in got and len(got) == 61 + 300
     assert components(spark.createDataFrame([], "u long, v long")).count() == 0
+
+
+def test_no_side_that_grows_is_broadcast(spark, monkeypatch):
+    """Whatever size Spark gives the buckets (it takes them to be no more than
+    the marks they were made from), no join gathers them in the driver."""
+    plans, write = [], simhash.cut
+
+    def seen(df, name):
+        plans.append((name, df._jdf.queryExecution().sparkPlan().toString()))
+        return write(df, name)
+
+    monkeypatch.setattr(simhash, "cut", seen)
+    monkeypatch.setattr(component_module, "cut", seen)
+    docs = frame(spark, texts())
+    for name, out in (("near", simhash.near_duplicates(docs, 3, 3)), ("keep", simhash.keep_one(docs, 3, 3))):
+        plans.append((name, out._jdf.queryExecution().sparkPlan().toString()))
+    assert {"near", "keep", "simhash-buckets", "simhash-mixed", "simhash-links"} <= {n for n, _ in plans}
+    assert [n for n, p in plans if "Broadcast" in p] == []
+    assert sum("SortMergeJoin" in p for _, p in plans) >= 10
