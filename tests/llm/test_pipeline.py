@@ -9,7 +9,7 @@ import pytest
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from terrace.llm import language_id, pii, queries
+from terrace.llm import components, language_id, pii, queries, simhash
 from terrace.llm.shared import cut
 
 from .test_scans import brute_items
@@ -87,6 +87,26 @@ def test_every_stage_against_plain_python(spark, corpus):
     assert all(r["n_tokens"] == len(r["ids"]) for r in last.values())
 
 
+def test_near_dedup_broadcasts_nothing(spark, monkeypatch):
+    """The buckets of a mark are about 70 rows, which Spark sizes as one: no
+    join of the stage may broadcast by that size."""
+    plans, write = {}, simhash.cut
+
+    def seen(df, name):
+        plans[name] = df._jdf.queryExecution().sparkPlan().toString()
+        return write(df, name)
+
+    monkeypatch.setattr(simhash, "cut", seen)
+    monkeypatch.setattr(components, "cut", seen)
+    words = [f"w{i}" for i in range(60)]
+    rows = [(i, " ".join(words[:30 + i % 25]), "en", "x", 1) for i in range(50)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    kept = seen(corpus_pipeline.near_dedup(spark, docs, SF), "kept")
+    assert 0 < kept.count() < 50
+    assert {"kept", "simhash-buckets", "simhash-mixed", "simhash-links"} <= set(plans)
+    assert [n for n, p in plans.items() if "Broadcast" in p] == []
+
+
 def test_the_key_comes_from_the_session(spark):
     spark.conf.set(corpus_pipeline.KEY_SETTING, "abc")
     assert corpus_pipeline.pseudonym_key(spark) == b"abc"
